@@ -60,3 +60,34 @@ def exact_sum(col: str | Column, places: int, value_scale: int = 2, as_double: b
 def exact_pct(flag_count: Column, total: Column, places: int = 1) -> Column:
     """Percent of ``total`` as ``round(100 * part / total, places)``."""
     return exact_ratio(flag_count * 100, total, places)
+
+
+_DEC = "decimal(38,0)"
+
+
+def floor_div(a: Column, b: Column) -> Column:
+    """Exact floor division of non-negative decimals (``a - a mod b`` divides evenly)."""
+    return ((a - F.pmod(a, b)) / b).cast(_DEC)
+
+
+def half_up_text(num: Column, den: Column, places: int) -> Column:
+    """``num / den`` rounded half away from zero to ``places`` decimals, as text.
+
+    Exact in 38-digit integers; if those would overflow (numbers far beyond
+    any table here) the double value is formatted instead.  NULL for a zero
+    denominator.
+    """
+    scale = 10 ** places
+    n, d = num.cast(_DEC), den.cast(_DEC)
+    mag = F.abs(n)
+    top = F.try_add(F.try_multiply(mag, F.lit(2 * scale).cast(_DEC)), d)
+    k = floor_div(top, d * 2)
+    sign = F.when((n < 0) & (k > 0), F.lit("-")).otherwise(F.lit(""))
+    if places == 0:
+        body = k.cast("long").cast("string")
+    else:
+        body = F.format_string(f"%d.%0{places}d", floor_div(k, F.lit(scale).cast(_DEC)).cast("long"),
+                               F.pmod(k, F.lit(scale).cast(_DEC)).cast("long"))
+    exact = F.concat(sign, body)
+    approx = F.format_string(f"%.{places}f", n.cast("double") / d.cast("double"))
+    return F.when(d != 0, F.coalesce(exact, approx))

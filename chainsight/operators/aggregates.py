@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
-from chainsight.functions.exact import exact_mean, exact_pct, exact_ratio, exact_sum
+from chainsight.functions.exact import exact_mean, exact_ratio, exact_sum, half_up_text, scaled_long
 
 
 def delay_pct(flag: str = "is_delayed", places: int = 1) -> Column:
@@ -88,7 +88,7 @@ def market_bands(market: DataFrame) -> DataFrame:
 
 # G7 + W1 --------------------------------------------------------------------
 def route_risk(silver: DataFrame, min_orders: int = K.ROUTE_MIN_ORDERS) -> DataFrame:
-    """Route mart with a dense ``risk_rank`` (rank by delay %, then volume).
+    """Route mart with ``risk_rank`` = ``rank()`` by delay % then volume (ties share a rank).
 
     The rank window has no partition key, but it runs on the aggregated,
     filtered routes (one row per country x region x mode), not on lines.
@@ -185,30 +185,31 @@ def kpi_summary(silver: DataFrame, model_metrics: DataFrame, news_level: Column,
                 pipeline_version: str) -> DataFrame:
     """KPI rows (metric, value) as strings, all computed (none hard-coded).
 
-    ``model_metrics`` is a one-row frame with ``auc``, ``accuracy``, ``f1``.
+    Totals are one aggregate pass; ``model_metrics`` is a one-row frame with
+    the text columns ``model_auc``, ``model_accuracy``, ``model_f1``;
+    ``news_level`` is a scalar column.  Numbers are rounded half-up from exact
+    integer fractions before they become text.
     """
-    totals = kpi_totals(silver, as_double=False)
-
-    def fmt4(c: str) -> Column:
-        return F.round(F.col(c).cast("decimal(38,18)"), 4).cast("string")
-
-    metrics = model_metrics.select(fmt4("auc").alias("model_auc"),
-                                   fmt4("accuracy").alias("model_accuracy"),
-                                   fmt4("f1").alias("model_f1"))
-    t = totals.select(
-        F.col("total_orders").cast("string").alias("total_orders"),
-        F.col("delayed_orders").cast("string").alias("delayed_orders"),
-        F.col("delay_rate_pct").cast("string").alias("delay_rate_pct"),
-        F.col("total_sales_usd").cast("string").alias("total_sales_usd"),
-        F.col("total_profit_usd").cast("string").alias("total_profit_usd"),
-        F.col("avg_delay_days").cast("string").alias("avg_delay_days"),
-        metrics.select("model_auc").scalar().alias("model_auc"),
-        metrics.select("model_accuracy").scalar().alias("model_accuracy"),
-        metrics.select("model_f1").scalar().alias("model_f1"),
+    delayed = F.count_if(F.col("is_delayed") == 1)
+    totals = silver.agg(
+        F.count(F.lit(1)).alias("_n"), delayed.alias("_delayed"),
+        F.sum(scaled_long("sales", 2)).alias("_sales_cents"),
+        F.sum(scaled_long("order_profit", 2)).alias("_profit_cents"),
+        F.sum(F.col("delay_days").cast("long")).alias("_delay_sum"), F.count("delay_days").alias("_delay_n"))
+    row = totals.select(
+        F.col("_n").cast("string").alias("total_orders"),
+        F.col("_delayed").cast("string").alias("delayed_orders"),
+        half_up_text(F.col("_delayed") * 100, F.col("_n"), 1).alias("delay_rate_pct"),
+        half_up_text(F.col("_sales_cents"), F.lit(100), 0).alias("total_sales_usd"),
+        half_up_text(F.col("_profit_cents"), F.lit(100), 0).alias("total_profit_usd"),
+        half_up_text(F.col("_delay_sum"), F.col("_delay_n"), 2).alias("avg_delay_days"),
+        model_metrics.select("model_auc").scalar().alias("model_auc"),
+        model_metrics.select("model_accuracy").scalar().alias("model_accuracy"),
+        model_metrics.select("model_f1").scalar().alias("model_f1"),
         news_level.alias("news_risk_level"),
         F.lit(pipeline_version).alias("pipeline_version"),
     )
-    names = t.columns
+    names = row.columns
     stack = "stack({n}, {pairs}) as (metric, value)".format(
         n=len(names), pairs=", ".join(f"'{c}', `{c}`" for c in names))
-    return t.selectExpr(stack)
+    return row.selectExpr(stack)

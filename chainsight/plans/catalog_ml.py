@@ -1 +1,271 @@
-"""Model queries (M1-M11, G11, G13, G14); filled in below."""
+"""Model queries.
+
+Metric queries run on a deterministic prediction table derived from the
+shipping lines (score = delay / 7, predicted late when the score is
+positive), so their SQL twins can check them exactly.  The gradient-boosted
+model itself (``risk_predictions``, ``feature_importance``, ``model_metrics``)
+is checked by row count and by the pytest suite.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chainsight import PIPELINE_VERSION
+from chainsight.functions import constants as K
+from chainsight.operators import aggregates as G
+from chainsight.operators import ml as M
+from chainsight.operators import topk as TK
+from chainsight.plans import oracle as O
+from chainsight.plans import silver as S
+from chainsight.plans.catalog import bronze, lines, register, silver
+
+SPLIT_COLUMNS = ["order_id", "line_number", "market", "shipping_mode", "order_country", "delay_days",
+                 "sales", "order_profit", "late_delivery_risk"]
+
+
+def fixed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic scores for the metric operators (FIXTURES.md: predictions)."""
+    score = (F.col("days_real") - F.col("days_scheduled")).cast("double") / F.lit(7.0)
+    return lines(spark, sf_dir).select(
+        "order_id", "market", F.col("late_delivery_risk").alias("actual_risk"), score.alias("score"),
+        F.when(score > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("predicted_risk"),
+    ).withColumn("label", F.col("actual_risk").cast("double")).withColumn("prediction", F.col("predicted_risk"))
+
+
+_PREDS = """
+, preds AS (
+  SELECT order_id, market, late_delivery_risk AS actual_risk,
+         CAST(days_real - days_scheduled AS DOUBLE) / 7.0 AS score,
+         CAST(CASE WHEN CAST(days_real - days_scheduled AS DOUBLE) / 7.0 > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS predicted_risk,
+         CAST(late_delivery_risk AS DOUBLE) AS label
+  FROM lines)
+, counts AS (
+  SELECT COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE label = 1 AND predicted_risk = 1) AS tp,
+         COUNT(*) FILTER (WHERE label = 0 AND predicted_risk = 0) AS tn,
+         COUNT(*) FILTER (WHERE label = 0 AND predicted_risk = 1) AS fp,
+         COUNT(*) FILTER (WHERE label = 1 AND predicted_risk = 0) AS fn
+  FROM preds)
+, per_score AS (
+  SELECT score, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) FILTER (WHERE label = 0) AS neg
+  FROM preds GROUP BY score)
+, auc_frac AS (
+  SELECT CAST(SUM(CAST(pos AS HUGEINT) * (2 * neg_below + neg)) AS HUGEINT) AS auc_num2,
+         CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives,
+         2 * CAST(SUM(pos) AS HUGEINT) * CAST(SUM(neg) AS HUGEINT) AS auc_den2
+  FROM (SELECT score, pos, neg,
+               COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+        FROM per_score) c)
+"""
+
+
+def _pred_sql(body: str, extra_ctes: tuple[str, ...] = ()) -> str:
+    return O.with_ctes("lines", *extra_ctes).rstrip() + _PREDS + body.strip()
+
+
+# G11 + F14 ------------------------------------------------------------------
+@register("accuracy_by_market", _pred_sql(f"""
+SELECT market, COUNT(order_id) AS predictions, {O.exact_mean('correct', 1, times=100)} AS accuracy_pct
+FROM (SELECT *, CASE WHEN actual_risk = predicted_risk THEN 1 ELSE 0 END AS correct FROM preds) p
+GROUP BY market"""))
+def q_accuracy_by_market(spark, sf_dir):
+    return G.accuracy_by_market(fixed_predictions(spark, sf_dir))
+
+
+# M9 -------------------------------------------------------------------------
+@register("confusion", _pred_sql("""
+SELECT label, predicted_risk AS prediction, COUNT(*) AS count FROM preds GROUP BY 1, 2"""))
+def q_confusion(spark, sf_dir):
+    return M.confusion(fixed_predictions(spark, sf_dir))
+
+
+# M8 -------------------------------------------------------------------------
+@register("accuracy_f1", _pred_sql("""
+SELECT CAST(tp + tn AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy,
+       (CAST(tn + fp AS DOUBLE) / CAST(n AS DOUBLE)) * COALESCE(CAST(2 * tn AS DOUBLE) / NULLIF(CAST(2 * tn + fn + fp AS DOUBLE), 0), 0.0)
+     + (CAST(tp + fn AS DOUBLE) / CAST(n AS DOUBLE)) * COALESCE(CAST(2 * tp AS DOUBLE) / NULLIF(CAST(2 * tp + fp + fn AS DOUBLE), 0), 0.0) AS f1,
+       n, tp, tn, fp, fn
+FROM counts"""))
+def q_accuracy_f1(spark, sf_dir):
+    return M.accuracy_f1(fixed_predictions(spark, sf_dir))
+
+
+# M7 -------------------------------------------------------------------------
+@register("auc", _pred_sql("""
+SELECT CAST(auc_num2 AS DOUBLE) / CAST(auc_den2 AS DOUBLE) AS auc, positives, negatives FROM auc_frac"""))
+def q_auc(spark, sf_dir):
+    return M.area_under_roc(fixed_predictions(spark, sf_dir), "label", "score")
+
+
+# G13 ------------------------------------------------------------------------
+def _kpi_sql() -> str:
+    h = O.half_up_text
+    news = "(SELECT news_risk_level FROM news_sum)"
+    f1_num = ("((CAST(tn + fp AS HUGEINT)) * 2 * tn * (2 * tp + fp + fn) "
+              "+ (CAST(tp + fn AS HUGEINT)) * 2 * tp * (2 * tn + fn + fp))")
+    f1_den = ("(CASE WHEN CAST(n AS HUGEINT) * (2 * tn + fn + fp) * (2 * tp + fp + fn) = 0 THEN 1 "
+              "ELSE CAST(n AS HUGEINT) * (2 * tn + fn + fp) * (2 * tp + fp + fn) END)")
+    rows = [
+        ("total_orders", "CAST(COUNT(*) AS VARCHAR)", "silver"),
+        ("delayed_orders", "CAST(COUNT(*) FILTER (WHERE is_delayed = 1) AS VARCHAR)", "silver"),
+        ("delay_rate_pct", h("COUNT(*) FILTER (WHERE is_delayed = 1) * 100", "COUNT(*)", 1), "silver"),
+        ("total_sales_usd", h("SUM(CAST(round(sales * 100) AS BIGINT))", "100", 0), "silver"),
+        ("total_profit_usd", h("SUM(CAST(round(order_profit * 100) AS BIGINT))", "100", 0), "silver"),
+        ("avg_delay_days", h("SUM(CAST(delay_days AS BIGINT))", "COUNT(delay_days)", 2), "silver"),
+        ("model_auc", h("auc_num2", "auc_den2", 4), "auc_frac"),
+        ("model_accuracy", h("tp + tn", "n", 4), "counts"),
+        ("model_f1", h(f1_num, f1_den, 4), "counts"),
+        ("news_risk_level", news, "silver LIMIT 1"),
+        ("pipeline_version", O.q(PIPELINE_VERSION), "silver LIMIT 1"),
+    ]
+    body = "\nUNION ALL ".join(f"(SELECT {O.q(m)} AS metric, {v} AS value FROM {src})" for m, v, src in rows)
+    return _pred_sql(body, ("silver",))
+
+
+@register("kpi_summary", _kpi_sql())
+def q_kpi_summary(spark, sf_dir):
+    preds = fixed_predictions(spark, sf_dir)
+    metrics = M.exact_metric_strings(M.confusion_counts(preds), M.auc_fraction(preds, "label", "score"))
+    b = bronze(spark, sf_dir)
+    level = S.news_summary(b).select("news_risk_level").scalar()
+    return G.kpi_summary(S.silver(b), metrics, level, PIPELINE_VERSION)
+
+
+# M1 -------------------------------------------------------------------------
+def _index_sql(col: str) -> str:
+    return O.sql(["silver"], f"""
+SELECT {col}, COUNT(*) AS count,
+       CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {col}) - 1 AS DOUBLE) AS {col}_idx
+FROM silver GROUP BY {col}""")
+
+
+def _index_query(col: str):
+    def run(spark, sf_dir):
+        s = silver(spark, sf_dir)
+        model = [i for i in M.indexers() if i.getInputCol() == col][0].fit(s)
+        return model.transform(s.groupBy(col).count())
+    return run
+
+
+register("mode_index", _index_sql("shipping_mode"))(_index_query("shipping_mode"))
+register("market_index", _index_sql("market"))(_index_query("market"))
+
+
+# F12, F13, N3 ---------------------------------------------------------------
+_NEWS_CODE = ("CASE " + " ".join(f"WHEN news_risk_level = {O.q(k)} THEN {v}" for k, v in K.NEWS_LEVEL_CODES)
+              + f" ELSE {K.NEWS_LEVEL_CODE_DEFAULT} END")
+_LPI_CODE = ("CASE " + " ".join(f"WHEN logistics_risk_tier = {O.q(k)} THEN {v}" for k, v in K.LPI_TIER_CODES)
+             + f" ELSE {K.LPI_TIER_CODE_DEFAULT} END")
+
+
+@register("ml_encodings", O.sql(["silver"], f"""
+SELECT news_risk_level, logistics_risk_tier, CAST({_NEWS_CODE} AS DOUBLE) AS news_risk_numeric,
+       CAST({_LPI_CODE} AS DOUBLE) AS lpi_risk_numeric, COUNT(*) AS count,
+       SUM(CAST(COALESCE(lead_time_days, 14) AS BIGINT)) AS lead_time_total,
+       {O.exact_mean('COALESCE(supplier_quality_score, 3.0)', 2, 2)} AS avg_quality
+FROM silver GROUP BY 1, 2, 3, 4"""))
+def q_ml_encodings(spark, sf_dir):
+    df = M.model_frame(silver(spark, sf_dir))
+    from chainsight.functions.exact import exact_mean
+    return df.groupBy("news_risk_level", "logistics_risk_tier", "news_risk_numeric", "lpi_risk_numeric").agg(
+        F.count(F.lit(1)).alias("count"), F.sum(F.col("lead_time_days").cast("long")).alias("lead_time_total"),
+        exact_mean("supplier_quality_score", 2, value_scale=2).alias("avg_quality"))
+
+
+# G14 ------------------------------------------------------------------------
+@register("class_balance", O.sql(["silver"], """
+SELECT CAST(late_delivery_risk AS DOUBLE) AS label, COUNT(*) AS count FROM silver GROUP BY 1"""))
+def q_class_balance(spark, sf_dir):
+    return G.class_balance(M.model_frame(silver(spark, sf_dir)))
+
+
+# M3 -------------------------------------------------------------------------
+def _standardize_sql() -> str:
+    fills = {"route_delay_rate": "COALESCE(route_delay_rate, 0.5)",
+             "route_avg_delay_days": "COALESCE(route_avg_delay_days, 0.0)",
+             "weather_risk_score": "COALESCE(weather_risk_score, 1.0)",
+             "lpi_score": "COALESCE(lpi_score, 3.0)",
+             "supplier_quality_score": "COALESCE(supplier_quality_score, 3.0)",
+             "supplier_esg_score": "COALESCE(supplier_esg_score, 3.0)",
+             "lead_time_days": "COALESCE(lead_time_days, 14)",
+             "news_risk_numeric": _NEWS_CODE, "lpi_risk_numeric": _LPI_CODE}
+    sel = ",\n       ".join(f"CAST({fills.get(c, c)} AS DOUBLE) AS {c}" for c in K.FEATURE_COLS
+                           if c not in ("shipping_mode_idx", "market_idx"))
+    body = f"""
+, mode_idx AS (SELECT shipping_mode, row_number() OVER (ORDER BY COUNT(*) DESC, shipping_mode) - 1 AS shipping_mode_idx
+               FROM silver GROUP BY shipping_mode)
+, market_idx AS (SELECT market, row_number() OVER (ORDER BY COUNT(*) DESC, market) - 1 AS market_idx
+                 FROM silver GROUP BY market)
+, feats AS (
+  SELECT {sel},
+         CAST(mi.shipping_mode_idx AS DOUBLE) AS shipping_mode_idx, CAST(ki.market_idx AS DOUBLE) AS market_idx
+  FROM silver s JOIN mode_idx mi USING (shipping_mode) JOIN market_idx ki USING (market))
+, long AS (UNPIVOT feats ON {', '.join(K.FEATURE_COLS)} INTO NAME feature VALUE v)
+, pos AS (SELECT * FROM (VALUES {', '.join(f"({O.q(c)}, {i})" for i, c in enumerate(K.FEATURE_COLS))}) t(feature, position))
+SELECT feature, CAST(position AS INTEGER) AS position, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std
+FROM long JOIN pos USING (feature) GROUP BY feature, position"""
+    return O.with_ctes("silver").rstrip() + body
+
+
+@register("standardize", _standardize_sql())
+def q_standardize(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    df = M.model_frame(silver(spark, sf_dir))
+    model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
+    sc = model.stages[-1]
+    rows = [(name, i, float(m), float(s)) for i, (name, m, s) in
+            enumerate(zip(K.FEATURE_COLS, sc.mean.toArray(), sc.std.toArray()))]
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("position", T.IntegerType()),
+                           T.StructField("mean", T.DoubleType()), T.StructField("std", T.DoubleType())])
+    out = spark.createDataFrame(rows, schema)
+    return out.select("feature", "position", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+# The fitted model ----------------------------------------
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
+
+
+def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return M.train_test_split(M.model_frame(silver(spark, sf_dir)), SPLIT_COLUMNS)
+
+
+def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """Fit once per session and input folder (a fitted model is an artifact,
+    like the one ``sinks.save_model`` writes)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        train, _ = split(spark, sf_dir)
+        _MODELS[key] = M.fit(spark, train)
+    return _MODELS[key]
+
+
+@register("split_counts")
+def q_split_counts(spark, sf_dir):
+    df = M.model_frame(silver(spark, sf_dir))
+    side = F.when(M.split_flag(SPLIT_COLUMNS), F.lit("train")).otherwise(F.lit("test"))
+    return df.groupBy(side.alias("side"), "label").count()
+
+
+@register("risk_predictions")
+def q_risk_predictions(spark, sf_dir):
+    _, test = split(spark, sf_dir)
+    return M.predictions_table(fitted_model(spark, sf_dir), test)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    return TK.top_importances(M.feature_importances(spark, fitted_model(spark, sf_dir)), K.TOP_K)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    _, test = split(spark, sf_dir)
+    pred = M.predictions_table(fitted_model(spark, sf_dir), test) \
+        .withColumn("label", F.col("actual_risk").cast("double"))
+    acc = M.accuracy_f1(pred, "label", "predicted_risk").select("accuracy", "f1", "n")
+    auc = M.area_under_roc(pred, "label", "late_probability").select("auc").scalar()
+    return acc.withColumn("auc", auc)

@@ -30,6 +30,16 @@ def half_up(num: str, den: str, places: int) -> str:
     return (f"(CAST(sign({num}) * ((2 * {p} * abs({num}) + ({den})) // NULLIF(2 * ({den}), 0)) AS DOUBLE) / {p})")
 
 
+def half_up_text(num: str, den: str, places: int) -> str:
+    """num / den rounded half away from zero to ``places`` decimals, as text."""
+    p = 10 ** places
+    k = f"((2 * {p} * abs(CAST({num} AS HUGEINT)) + CAST({den} AS HUGEINT)) // (2 * CAST({den} AS HUGEINT)))"
+    sign = f"(CASE WHEN ({num}) < 0 AND {k} > 0 THEN '-' ELSE '' END)"
+    body = (f"CAST({k} AS VARCHAR)" if places == 0 else
+            f"CAST({k} // {p} AS VARCHAR) || '.' || lpad(CAST({k} % {p} AS VARCHAR), {places}, '0')")
+    return f"(CASE WHEN ({den}) <> 0 THEN {sign} || {body} END)"
+
+
 def exact_mean(expr: str, places: int, value_scale: int = 0, times: int = 1) -> str:
     s = 10 ** value_scale
     scaled = f"CAST({expr} AS BIGINT)" if s == 1 else f"CAST(round(({expr}) * {s}) AS BIGINT)"
