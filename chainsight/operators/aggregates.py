@@ -20,6 +20,23 @@ from chainsight.functions import features as FX
 from chainsight.functions.exact import exact_mean, exact_ratio, exact_sum, half_up_text, scaled_long
 
 
+# Silver columns each mart reads (lets a caller build only those).
+COLUMNS = {
+    "delay_by_market": ("market", "is_delayed", "order_id"),
+    "delay_by_mode": ("shipping_mode", "is_delayed", "delay_days"),
+    "kpi_totals": ("is_delayed", "sales", "order_profit", "delay_days"),
+    "market_kpi": ("market", "order_id", "is_delayed", "delay_days", "sales", "lpi_score", "weather_risk_score"),
+    "route_risk": ("order_country", "order_region", "shipping_mode", "order_id", "is_delayed", "delay_days",
+                   "lpi_score", "weather_risk_score"),
+    "supplier_leaderboard": ("supplier_name", "supplier_tier", "supplier_region", "order_id", "is_delayed",
+                             "delay_days", "supplier_quality_score", "supplier_esg_score", "lead_time_days",
+                             "sales"),
+    "supplier_preview": ("supplier_name", "supplier_tier", "supplier_region", "order_id", "is_delayed",
+                         "supplier_quality_score"),
+    "mode_performance": ("shipping_mode", "order_id", "is_delayed", "delay_days", "sales", "order_profit"),
+}
+
+
 def delay_pct(flag: str = "is_delayed", places: int = 1) -> Column:
     return exact_mean(flag, places, times=100)
 

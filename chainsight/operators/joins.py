@@ -63,10 +63,10 @@ def supplier_keyed(suppliers: DataFrame) -> DataFrame:
 
 
 def supplier_range(keyed: DataFrame) -> tuple[Column, Column]:
-    """(min, max - min + 1) of supplier numbers as scalar-subquery columns."""
-    low = keyed.agg(F.min("sup_key")).scalar()
-    span = keyed.agg((F.max("sup_key") - F.min("sup_key") + 1)).scalar()
-    return low, span
+    """(min, max - min + 1) of supplier numbers (G12), from one scalar subquery."""
+    rng = keyed.agg(F.struct(F.min("sup_key").alias("low"),
+                             (F.max("sup_key") - F.min("sup_key") + 1).alias("span"))).scalar()
+    return rng.getField("low"), rng.getField("span")
 
 
 def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id",

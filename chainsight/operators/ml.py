@@ -41,9 +41,13 @@ def model_frame(silver: DataFrame) -> DataFrame:
     Integer columns take a fill truncated to int (``lead_time_days`` 14.0 ->
     14), as ``fillna`` does.
     """
-    df = (silver.withColumn("news_risk_numeric", FX.news_risk_numeric("news_risk_level"))
-          .withColumn("lpi_risk_numeric", FX.lpi_risk_numeric("logistics_risk_tier")))
-    df = df.fillna(K.MODEL_DEFAULTS)
+    df = silver
+    if "news_risk_level" in df.columns:
+        df = df.withColumn("news_risk_numeric", FX.news_risk_numeric("news_risk_level"))
+    if "logistics_risk_tier" in df.columns:
+        df = df.withColumn("lpi_risk_numeric", FX.lpi_risk_numeric("logistics_risk_tier"))
+    fills = {k: v for k, v in K.MODEL_DEFAULTS.items() if k in df.columns}
+    df = df.fillna(fills) if fills else df
     return df.withColumn("label", FX.label("late_delivery_risk"))
 
 

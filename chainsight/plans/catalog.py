@@ -60,10 +60,17 @@ def bronze(spark: SparkSession, sf_dir: str, with_product: bool = False) -> S.Br
     )
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    """Silver over the test tables; ``columns`` limits it to what a query reads."""
+    if columns is not None:
+        return S.silver(bronze(spark, sf_dir), columns=list(columns))
     return S.silver(bronze(spark, sf_dir), extra=["line_number"])
 
 
+def mart_input(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+    return silver(spark, sf_dir, G.COLUMNS[mart])
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.shipping_features(TestTables(spark, sf_dir).shipping_events(with_product=False))
 
@@ -82,7 +89,7 @@ SELECT market, COUNT(order_id) AS total_orders, {_PCT} AS delay_rate_pct,
        {O.exact_mean('weather_risk_score', 2, 2)} AS avg_weather_risk
 FROM silver GROUP BY market ORDER BY delay_rate_pct DESC, market"""))
 def q_market_kpi(spark, sf_dir):
-    return G.market_kpi(silver(spark, sf_dir))
+    return G.market_kpi(mart_input(spark, sf_dir, "market_kpi"))
 
 
 @register("market_bands", O.sql(["silver"], f"""
@@ -98,7 +105,7 @@ FROM (
            {O.exact_mean('lpi_score', 2, 1)} AS avg_lpi_score
     FROM silver GROUP BY market) m) b"""))
 def q_market_bands(spark, sf_dir):
-    return G.market_bands(G.market_kpi(silver(spark, sf_dir)))
+    return G.market_bands(G.market_kpi(mart_input(spark, sf_dir, "market_kpi")))
 
 
 def _route_body(min_orders: int) -> str:
@@ -118,12 +125,12 @@ def _route_sql(min_orders: int) -> str:
 
 @register("route_risk", _route_sql(K.ROUTE_MIN_ORDERS))
 def q_route_risk(spark, sf_dir):
-    return G.route_risk(silver(spark, sf_dir), K.ROUTE_MIN_ORDERS)
+    return G.route_risk(mart_input(spark, sf_dir, "route_risk"), K.ROUTE_MIN_ORDERS)
 
 
 @register("route_risk_busy", _route_sql(TEST_BUSY_ROUTE_ORDERS))
 def q_route_risk_busy(spark, sf_dir):
-    return G.route_risk(silver(spark, sf_dir), TEST_BUSY_ROUTE_ORDERS)
+    return G.route_risk(mart_input(spark, sf_dir, "route_risk"), TEST_BUSY_ROUTE_ORDERS)
 
 
 _SUPPLIER_BOARD = f"""
@@ -139,7 +146,7 @@ _SUPPLIER_BOARD = f"""
 
 @register("supplier_leaderboard", O.sql(["silver"], _SUPPLIER_BOARD))
 def q_supplier_leaderboard(spark, sf_dir):
-    return G.supplier_leaderboard(silver(spark, sf_dir))
+    return G.supplier_leaderboard(mart_input(spark, sf_dir, "supplier_leaderboard"))
 
 
 _KEYS_ASC = "supplier_name ASC NULLS FIRST, supplier_tier ASC NULLS FIRST, supplier_region ASC NULLS FIRST"
@@ -148,13 +155,13 @@ _KEYS_ASC = "supplier_name ASC NULLS FIRST, supplier_tier ASC NULLS FIRST, suppl
 @register("top_suppliers", O.sql(["silver"], f"""
 SELECT * FROM ({_SUPPLIER_BOARD}) b ORDER BY delay_rate_pct ASC NULLS FIRST, {_KEYS_ASC} LIMIT {K.TOP_K}"""))
 def q_top_suppliers(spark, sf_dir):
-    return T.best_suppliers(G.supplier_leaderboard(silver(spark, sf_dir)), K.TOP_K)
+    return T.best_suppliers(G.supplier_leaderboard(mart_input(spark, sf_dir, "supplier_leaderboard")), K.TOP_K)
 
 
 @register("worst_suppliers", O.sql(["silver"], f"""
 SELECT * FROM ({_SUPPLIER_BOARD}) b ORDER BY delay_rate_pct DESC NULLS LAST, {_KEYS_ASC} LIMIT {K.TOP_K}"""))
 def q_worst_suppliers(spark, sf_dir):
-    return T.worst_suppliers(G.supplier_leaderboard(silver(spark, sf_dir)), K.TOP_K)
+    return T.worst_suppliers(G.supplier_leaderboard(mart_input(spark, sf_dir, "supplier_leaderboard")), K.TOP_K)
 
 
 @register("supplier_preview", O.sql(["silver"], f"""
@@ -163,7 +170,7 @@ SELECT supplier_name, supplier_tier, supplier_region, COUNT(order_id) AS orders,
 FROM silver GROUP BY supplier_name, supplier_tier, supplier_region
 HAVING COUNT(order_id) >= {K.SUPPLIER_PREVIEW_MIN_ORDERS}"""))
 def q_supplier_preview(spark, sf_dir):
-    return G.supplier_preview(silver(spark, sf_dir))
+    return G.supplier_preview(mart_input(spark, sf_dir, "supplier_preview"))
 
 
 @register("top_routes_excl", O.sql(["silver"], f"""
@@ -171,7 +178,7 @@ SELECT * FROM ({_route_body(K.ROUTE_MIN_ORDERS)}) x
 WHERE shipping_mode != {O.q(TEST_EXCLUDED_MODE)}
 ORDER BY delay_rate_pct DESC, order_count DESC, order_country, order_region, shipping_mode LIMIT {K.TOP_K}"""))
 def q_top_routes_excl(spark, sf_dir):
-    routes = G.route_risk(silver(spark, sf_dir), K.ROUTE_MIN_ORDERS)
+    routes = G.route_risk(mart_input(spark, sf_dir, "route_risk"), K.ROUTE_MIN_ORDERS)
     return T.riskiest_routes(routes, f"shipping_mode != '{TEST_EXCLUDED_MODE}'", K.TOP_K)
 
 
@@ -181,7 +188,7 @@ SELECT shipping_mode, COUNT(order_id) AS orders, {_PCT} AS delay_rate_pct,
        {O.exact_mean('order_profit', 2, 2)} AS avg_profit
 FROM silver GROUP BY shipping_mode"""))
 def q_mode_performance(spark, sf_dir):
-    return G.mode_performance(silver(spark, sf_dir))
+    return G.mode_performance(mart_input(spark, sf_dir, "mode_performance"))
 
 
 @register("kpi_totals", O.sql(["silver"], f"""
@@ -191,20 +198,20 @@ SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE is_delayed = 1) AS delay
        {O.exact_mean('delay_days', 2)} AS avg_delay_days
 FROM silver"""))
 def q_kpi_totals(spark, sf_dir):
-    return G.kpi_totals(silver(spark, sf_dir))
+    return G.kpi_totals(mart_input(spark, sf_dir, "kpi_totals"))
 
 
 @register("delay_by_market", O.sql(["silver"], """
 SELECT market, avg(is_delayed) AS delay_rate, COUNT(order_id) AS orders FROM silver GROUP BY market"""))
 def q_delay_by_market(spark, sf_dir):
-    return G.delay_by_market(silver(spark, sf_dir))
+    return G.delay_by_market(mart_input(spark, sf_dir, "delay_by_market"))
 
 
 @register("delay_by_mode", O.sql(["silver"], """
 SELECT shipping_mode, avg(is_delayed) AS delay_rate, avg(delay_days) AS avg_delay_days
 FROM silver GROUP BY shipping_mode"""))
 def q_delay_by_mode(spark, sf_dir):
-    return G.delay_by_mode(silver(spark, sf_dir))
+    return G.delay_by_mode(mart_input(spark, sf_dir, "delay_by_mode"))
 
 
 # ---------------------------------------------------------------------------
@@ -304,7 +311,7 @@ def q_join_coverage(spark, sf_dir):
 SELECT commodity_shock_flag, news_risk_level, news_risk_score_global, COUNT(*) AS lines
 FROM silver GROUP BY 1, 2, 3"""))
 def q_global_signals(spark, sf_dir):
-    return silver(spark, sf_dir).groupBy("commodity_shock_flag", "news_risk_level", "news_risk_score_global") \
+    return silver(spark, sf_dir, S.SIGNAL_COLUMNS).groupBy("commodity_shock_flag", "news_risk_level", "news_risk_score_global") \
                                 .agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -314,7 +321,8 @@ SELECT order_country, customer_state, lpi_score, logistics_risk_tier, infrastruc
 FROM silver
 GROUP BY ALL"""))
 def q_null_defaults(spark, sf_dir):
-    df = S.silver(bronze(spark, sf_dir), extra=["customer_state"])
+    cols = ["order_country", "customer_state", *S.COUNTRY_COLUMNS, *S.WEATHER_COLUMNS]
+    df = S.silver(bronze(spark, sf_dir), columns=cols)
     return df.groupBy("order_country", "customer_state", "lpi_score", "logistics_risk_tier",
                       "infrastructure_score", "timeliness_score", "supplier_risk_flag", "weather_risk_score",
                       "storm_event_count", "high_critical_storm_count").agg(F.count(F.lit(1)).alias("lines"))
@@ -410,7 +418,7 @@ SELECT COUNT(*) AS total_rows,
        """ + O.half_up("CAST(COUNT(*) FILTER (WHERE commodity_shock_flag = 1) AS HUGEINT) * 100", "COUNT(*)", 1) + """ AS shock_pct
 FROM silver"""))
 def q_dq_silver(spark, sf_dir):
-    return Q.silver_check(silver(spark, sf_dir))
+    return Q.silver_check(silver(spark, sf_dir, ["is_delayed", "supplier_risk_flag", "commodity_shock_flag"]))
 
 
 @register("row_parity", O.sql(["enriched", "shipping"], """

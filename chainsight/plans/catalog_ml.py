@@ -132,7 +132,7 @@ def q_kpi_summary(spark, sf_dir):
     metrics = M.exact_metric_strings(M.confusion_counts(preds), M.auc_fraction(preds, "label", "score"))
     b = bronze(spark, sf_dir)
     level = S.news_summary(b).select("news_risk_level").scalar()
-    return G.kpi_summary(S.silver(b), metrics, level, PIPELINE_VERSION)
+    return G.kpi_summary(S.silver(b, columns=G.COLUMNS["kpi_totals"]), metrics, level, PIPELINE_VERSION)
 
 
 # M1 -------------------------------------------------------------------------
@@ -145,7 +145,7 @@ FROM silver GROUP BY {col}""")
 
 def _index_query(col: str):
     def run(spark, sf_dir):
-        s = silver(spark, sf_dir)
+        s = silver(spark, sf_dir, [col])
         model = [i for i in M.indexers() if i.getInputCol() == col][0].fit(s)
         return model.transform(s.groupBy(col).count())
     return run
@@ -169,7 +169,9 @@ SELECT news_risk_level, logistics_risk_tier, CAST({_NEWS_CODE} AS DOUBLE) AS new
        {O.exact_mean('COALESCE(supplier_quality_score, 3.0)', 2, 2)} AS avg_quality
 FROM silver GROUP BY 1, 2, 3, 4"""))
 def q_ml_encodings(spark, sf_dir):
-    df = M.model_frame(silver(spark, sf_dir))
+    cols = ["news_risk_level", "logistics_risk_tier", "lead_time_days", "supplier_quality_score",
+            "late_delivery_risk"]
+    df = M.model_frame(silver(spark, sf_dir, cols))
     from chainsight.functions.exact import exact_mean
     return df.groupBy("news_risk_level", "logistics_risk_tier", "news_risk_numeric", "lpi_risk_numeric").agg(
         F.count(F.lit(1)).alias("count"), F.sum(F.col("lead_time_days").cast("long")).alias("lead_time_total"),
@@ -180,7 +182,7 @@ def q_ml_encodings(spark, sf_dir):
 @register("class_balance", O.sql(["silver"], """
 SELECT CAST(late_delivery_risk AS DOUBLE) AS label, COUNT(*) AS count FROM silver GROUP BY 1"""))
 def q_class_balance(spark, sf_dir):
-    return G.class_balance(M.model_frame(silver(spark, sf_dir)))
+    return G.class_balance(M.model_frame(silver(spark, sf_dir, ["late_delivery_risk"])))
 
 
 # M3 -------------------------------------------------------------------------

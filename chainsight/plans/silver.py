@@ -77,35 +77,76 @@ SILVER_COLUMNS = [
 ]
 
 
-def global_signals(bronze: BronzeTables) -> dict:
-    """J5 scalars: commodity shock flag, news level and mean news score."""
-    shock = G.commodity_shock(bronze.commodity, bronze.oil_metric)
-    news = news_summary(bronze)
-    return {
-        "commodity_shock_flag": shock.select("commodity_shock_flag").scalar(),
-        "news_risk_level": news.select("news_risk_level").scalar(),
-        "news_risk_score_global": news.select("avg_news_risk").scalar(),
-    }
-
-
-def enrich(bronze: BronzeTables, keep: Sequence[str] = ()) -> DataFrame:
-    """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet)."""
+def global_signals(bronze: BronzeTables, needed: Sequence[str] | None = None) -> dict:
+    """J5 scalars: commodity shock flag, news level and mean news score, each
+    news pair from one scalar subquery."""
+    out = {}
+    want = set(needed) if needed is not None else set(SIGNAL_COLUMNS)
+    if "commodity_shock_flag" in want:
+        shock = G.commodity_shock(bronze.commodity, bronze.oil_metric)
+        out["commodity_shock_flag"] = shock.select("commodity_shock_flag").scalar()
+    if want & {"news_risk_level", "news_risk_score_global"}:
+        news = news_summary(bronze).select(F.struct("news_risk_level", "avg_news_risk")).scalar()
+        if "news_risk_level" in want:
+            out["news_risk_level"] = news.getField("news_risk_level")
+        if "news_risk_score_global" in want:
+            out["news_risk_score_global"] = news.getField("avg_news_risk")
+    return out
+
+
+# Output columns of each enrichment step.  Every step is a left join on a key
+# that is unique on its right side (supplier number, country, normalised
+# state, route) or a scalar, so it never changes the number of lines; a query
+# that reads none of a step's columns can skip the step.  (Catalyst cannot
+# drop an unused left join by itself: it does not know the keys are unique.)
+SUPPLIER_COLUMNS = tuple(J.SUPPLIER_COLUMNS.values())
+COUNTRY_COLUMNS = ("lpi_score", "logistics_risk_tier", "infrastructure_score", "timeliness_score",
+                   "supplier_risk_flag")
+WEATHER_COLUMNS = tuple(K.WEATHER_DEFAULTS)
+SIGNAL_COLUMNS = ("commodity_shock_flag", "news_risk_level", "news_risk_score_global")
+ROUTE_COLUMNS = ("route_delay_rate", "route_avg_delay_days", "route_order_count")
+
+
+def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None) -> DataFrame:
+    """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet).
+
+    ``needed`` (default: all) names the output columns a caller reads; steps
+    producing none of them are left out.
+    """
+    want = set(needed) if needed is not None else None
+
+    def uses(cols) -> bool:
+        return want is None or bool(want & set(cols))
+
     lines = shipping_features(bronze.shipping)
-    df = J.join_suppliers(lines, bronze.suppliers)
-    df = J.join_country_scores(df, bronze.country_scores)
-    df = J.join_weather(df, bronze.weather)
-    df = J.attach_scalars(df, **global_signals(bronze))
-    # Route statistics come from the bare feature lines, so their branch does
-    # not repeat the dimension joins.
-    df = J.join_route_stats(df, source=lines)
+    df = lines
+    if uses(SUPPLIER_COLUMNS):
+        df = J.join_suppliers(df, bronze.suppliers)
+    if uses(COUNTRY_COLUMNS):
+        df = J.join_country_scores(df, bronze.country_scores)
+    if uses(WEATHER_COLUMNS):
+        df = J.join_weather(df, bronze.weather)
+    if uses(SIGNAL_COLUMNS):
+        df = J.attach_scalars(df, **global_signals(bronze, None if want is None else sorted(want)))
+    if uses(ROUTE_COLUMNS):
+        # Route statistics come from the bare feature lines, so their branch
+        # does not repeat the dimension joins.
+        df = J.join_route_stats(df, source=lines)
     return df
 
 
-def silver(bronze: BronzeTables, extra: Sequence[str] = ()) -> DataFrame:
-    """The silver table (without lineage columns) with its N2 defaults."""
-    df = enrich(bronze)
-    cols = SILVER_COLUMNS + [c for c in extra if c not in SILVER_COLUMNS]
-    return df.select(*cols).fillna(K.SILVER_DEFAULTS)
+def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+    """The silver table (without lineage columns) with its N2 defaults.
+
+    ``columns`` restricts the output (and the enrichment steps) to what a
+    reader needs; by default all silver columns are built.
+    """
+    cols = list(SILVER_COLUMNS) if columns is None else list(columns)
+    cols += [c for c in extra if c not in cols]
+    df = enrich(bronze, None if columns is None else cols)
+    fills = {k: v for k, v in K.SILVER_DEFAULTS.items() if k in cols}
+    out = df.select(*cols)
+    return out.fillna(fills) if fills else out
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
