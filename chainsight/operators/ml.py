@@ -99,6 +99,16 @@ def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATU
     has_ckpt = ensure_checkpoint_dir(spark) is not None
     cols = sorted(set(features) - set(INDEXED.values()) | set(INDEXED) | {"label"})
     data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()
+    # Each boosting level is one distributed pass; a training frame in fewer
+    # partitions than task slots (few input files) would leave cores idle for
+    # all 50 x 5 passes, so spread it once.  Large inputs already have more.
+    slots = spark.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < slots:
+        spread = data.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
+        spread.count()
+        data.unpersist()
+        data = spread
     try:
         return risk_pipeline(features, params, checkpoint=has_ckpt).fit(data)
     finally:

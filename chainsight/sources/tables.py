@@ -20,7 +20,7 @@ news_disruptions title, published, summary, link, source, query_used,
 
 Joins inside the adapter are written in the order that shuffles the largest
 table (lineitem) once: orders are enriched with customer / nation / region
-first, then meet lineitem on the order key.  Nation and region are fixed
+first, then meet lineitem on the order key in a sort-merge join.  Nation and region are fixed
 25- and 5-row domains and are broadcast; customer and part are left to the
 planner (AQE broadcasts them only when their measured size allows).
 """
@@ -87,7 +87,11 @@ class TestTables:
         lines = self.raw("lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount",
             "l_returnflag", "l_linestatus", "l_shipdate")
-        df = lines.join(orders_enriched, lines.l_orderkey == orders_enriched.o_orderkey)
+        # lineitem and orders are both fact-sized: co-partition them on the order
+        # key (sort-merge), the plan at any real scale.  Left to itself the
+        # planner broadcasts orders at tiny scale factors, which keeps every
+        # line in the single task reading the one-row-group lineitem file.
+        df = lines.join(orders_enriched.hint("merge"), lines.l_orderkey == orders_enriched.o_orderkey)
         if with_product:
             part = self.raw("part").select("p_partkey", "p_name")
             df = df.join(part, df.l_partkey == part.p_partkey)

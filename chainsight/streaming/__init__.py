@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package rebuilds is batch only (no stream sources, no
+watermarks, no stateful operators); its real-time feeds are an unbuilt
+roadmap item.  Adding streaming operators here would add capabilities the
+pipeline does not have, so none are provided.
+"""
