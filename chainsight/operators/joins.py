@@ -23,8 +23,9 @@ from chainsight.functions import features as FX
 from chainsight.functions.exact import exact_mean
 
 # Upper bound on rows of a side we are willing to ship to every executor.
-# 2M narrow rows is a few tens of MB: well under executor memory.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# The broadcast sides here are narrow (at most 10 columns): 1M rows is a few
+# tens of MB, well under executor memory.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -39,7 +40,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     if materialize:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    if materialize:
+        df.unpersist()  # too large to keep around: the shuffle join recomputes it once
+    return df
 
 
 # J1 -------------------------------------------------------------------------
@@ -155,24 +160,31 @@ def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
-def route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:
-    """The same columns through a window, one shuffle of the raw fact.
+def route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS, salts: int = 64) -> DataFrame:
+    """Route statistics through window functions, one row per route.
 
-    Windows group NULL keys together where the join would not match them, so
-    the values are masked to NULL unless every key is present.  This form keeps
-    all raw rows of one route in one task; ``join_route_stats`` is the default.
+    A per-line ``avg().over(partitionBy(route))`` would put every line of a
+    route in one task, so a route holding a third of all lines would hold a
+    third of the table in one task.  Here lines are first reduced to at most
+    ``salts`` partial rows per route (partial sums keyed by a hash of the
+    line), and the windows run over those; the result equals ``route_stats``
+    (NULL keys form their own routes, as in ``groupBy``).
     """
     from pyspark.sql import Window
 
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
+    part = (fact.groupBy(*keys, salt.alias("_salt"))
+            .agg(F.sum("is_delayed").alias("_d"), F.count("is_delayed").alias("_dn"),
+                 F.sum("delay_days").alias("_s"), F.count("delay_days").alias("_sn"),
+                 F.count("order_id").alias("_n")))
     w = Window.partitionBy(*keys)
-    all_keys = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        all_keys = c if all_keys is None else all_keys & c
-    return (fact
-            .withColumn("route_delay_rate", F.when(all_keys, F.avg("is_delayed").over(w)))
-            .withColumn("route_avg_delay_days", F.when(all_keys, F.avg("delay_days").over(w)))
-            .withColumn("route_order_count", F.when(all_keys, F.count("order_id").over(w))))
+    out = part.select(
+        *keys,
+        (F.sum("_d").over(w).cast("double") / F.sum("_dn").over(w).cast("double")).alias("route_delay_rate"),
+        (F.sum("_s").over(w).cast("double") / F.sum("_sn").over(w).cast("double")).alias("route_avg_delay_days"),
+        F.sum("_n").over(w).alias("route_order_count"),
+        F.row_number().over(w.orderBy("_salt")).alias("_first"))
+    return out.where(F.col("_first") == 1).drop("_first")
 
 
 # J5 -------------------------------------------------------------------------

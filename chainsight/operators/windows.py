@@ -1,14 +1,14 @@
-"""Window-shaped operators (W1-W3) and de-duplication.
+"""De-duplication.
 
 W1 (route rank) lives with the route mart in ``operators.aggregates``;
-W3 (route statistics as a window) in ``operators.joins``.
+W3 (route statistics through windows) in ``operators.joins``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,9 +27,3 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     packed = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_first")
     out = df.groupBy(*keys).agg(packed)
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [*order, *rest]]).select(*df.columns)
-
-
-def first_per_key_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """W2 in its ``row_number`` form (same rows as ``first_per_key``)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -234,8 +234,7 @@ def q_route_stats(spark, sf_dir):
 
 @register("route_stats_window", O.sql(["routes"], "SELECT * FROM routes"))
 def q_route_stats_window(spark, sf_dir):
-    keyed = J.route_stats_window(lines(spark, sf_dir))
-    return keyed.select(*J.ROUTE_KEYS, "route_delay_rate", "route_avg_delay_days", "route_order_count").distinct()
+    return J.route_stats_window(lines(spark, sf_dir))
 
 
 @register("lpi_tiers", O.sql(["country_scores"], """

@@ -61,7 +61,8 @@ def score_news(news: DataFrame, level3: Sequence[str] = K.NEWS_LEVEL3_KEYWORDS,
 
 def news_summary(bronze: BronzeTables) -> DataFrame:
     """G15 + F10 over the de-duplicated, scored feed."""
-    scored = score_news(dedup_news(bronze.news), bronze.news_level3, bronze.news_level2)
+    titles = dedup_news(bronze.news.select("title", "feed_order"))
+    scored = score_news(titles, bronze.news_level3, bronze.news_level2)
     return G.news_level_summary(scored)
 
 
