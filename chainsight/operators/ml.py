@@ -32,6 +32,8 @@ from chainsight.functions.exact import exact_ratio, half_up_text
 from chainsight.session import ensure_checkpoint_dir
 
 INDEXED = {"shipping_mode": "shipping_mode_idx", "market": "market_idx"}
+# ~16 numeric columns per row: 1M rows is roughly 100 MB per training partition.
+TRAINING_ROWS_PER_PARTITION = 1_000_000
 
 
 # F12, F13, N3, F19 ----------------------------------------------------------
@@ -99,16 +101,21 @@ def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATU
     has_ckpt = ensure_checkpoint_dir(spark) is not None
     cols = sorted(set(features) - set(INDEXED.values()) | set(INDEXED) | {"label"})
     data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()
-    # Each boosting level is one distributed pass; a training frame in fewer
-    # partitions than task slots (few input files) would leave cores idle for
-    # all 50 x 5 passes, so spread it once.  Large inputs already have more.
+    rows = data.count()
+    # Each boosting level is one pass with one task per partition, 250+ passes
+    # in all: size partitions to the data once.  Fewer partitions than task
+    # slots leave cores idle (spread with one shuffle); many tiny partitions
+    # (a 200-partition shuffle of a small table) make every pass pay for
+    # hundreds of near-empty tasks (merge them, no shuffle).
     slots = spark.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < slots:
-        spread = data.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
-        spread.count()
+    current = data.rdd.getNumPartitions()
+    target = max(slots, min(current, -(-rows // TRAINING_ROWS_PER_PARTITION)))
+    if target != current:
+        sized = (data.coalesce(target) if target < current else data.repartition(target))
+        sized = sized.persist(StorageLevel.MEMORY_AND_DISK)
+        sized.count()
         data.unpersist()
-        data = spread
+        data = sized
     try:
         return risk_pipeline(features, params, checkpoint=has_ckpt).fit(data)
     finally:

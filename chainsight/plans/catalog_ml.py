@@ -215,9 +215,14 @@ FROM long JOIN pos USING (feature) GROUP BY feature, position"""
 
 @register("standardize", _standardize_sql())
 def q_standardize(spark, sf_dir):
+    from pyspark import StorageLevel
     from pyspark.ml import Pipeline
-    df = M.model_frame(silver(spark, sf_dir))
-    model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
+    # three estimators (two indexers, the scaler) each make a pass: persist once
+    df = M.model_frame(silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
+    finally:
+        df.unpersist()
     sc = model.stages[-1]
     rows = [(name, i, float(m), float(s)) for i, (name, m, s) in
             enumerate(zip(K.FEATURE_COLS, sc.mean.toArray(), sc.std.toArray()))]
