@@ -47,6 +47,23 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df
 
 
+def broadcast_all_if_bounded(sides: dict[str, tuple[DataFrame, bool]],
+                             max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
+    """``broadcast_if_bounded`` for several independent sides at once.
+
+    ``sides`` maps a name to ``(frame, materialize)``.  The size checks are
+    small independent jobs; they are submitted together from driver threads
+    (the scheduler runs them side by side) instead of one after another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if not sides:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
+        futures = {name: pool.submit(broadcast_if_bounded, df, max_rows, mat) for name, (df, mat) in sides.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 # J1 -------------------------------------------------------------------------
 SUPPLIER_COLUMNS = {
     "supplier_name": "supplier_name",
@@ -75,30 +92,34 @@ def supplier_range(keyed: DataFrame) -> tuple[Column, Column]:
 
 
 def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
     """Give every order line a supplier by ``pmod(order_id, span) + min``.
 
     Supplier columns already on the fact are replaced (drop-if-present).
+    ``checked`` is ``supplier_keyed(suppliers)`` already through the size check.
     """
     keyed = supplier_keyed(suppliers)
     low, span = supplier_range(keyed)
     fact = fact.drop(*[c for c in SUPPLIER_COLUMNS.values() if c in fact.columns])
     fact = fact.withColumn("_supplier_join_key", FX.supplier_assignment(order_col, low, span))
-    dim = broadcast_if_bounded(keyed, max_rows)
+    dim = checked if checked is not None else broadcast_if_bounded(keyed, max_rows)
     out = fact.join(dim, fact["_supplier_join_key"] == dim["sup_key"], "left")
     return out.drop("_supplier_join_key", "sup_key")
 
 
 # J2 -------------------------------------------------------------------------
-def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country",
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Order country -> logistics scores on trimmed, case-sensitive names,
-    then F5 from the order country's tier (before any default is filled)."""
-    dim = scores.select(
+def country_side(scores: DataFrame) -> DataFrame:
+    return scores.select(
         FX.clean_key("country").alias("_lpi_country"),
         "lpi_score", "logistics_risk_tier", "infrastructure_score", "timeliness_score",
     )
-    dim = broadcast_if_bounded(dim, max_rows)
+
+
+def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country",
+                        max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
+    """Order country -> logistics scores on trimmed, case-sensitive names,
+    then F5 from the order country's tier (before any default is filled)."""
+    dim = checked if checked is not None else broadcast_if_bounded(country_side(scores), max_rows)
     out = fact.join(dim, FX.clean_key(country_col) == dim["_lpi_country"], "left").drop("_lpi_country")
     return out.withColumn("supplier_risk_flag", FX.supplier_risk_flag("logistics_risk_tier"))
 
@@ -113,9 +134,10 @@ def storm_stats_by_state(weather: DataFrame) -> DataFrame:
 
 
 def join_weather(fact: DataFrame, weather: DataFrame, state_col: str = "customer_state",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
     """J3 + N1: customer state -> storm statistics; misses take the defaults."""
-    stats = broadcast_if_bounded(storm_stats_by_state(weather), max_rows, materialize=True)
+    stats = checked if checked is not None else \
+        broadcast_if_bounded(storm_stats_by_state(weather), max_rows, materialize=True)
     out = fact.join(stats, FX.clean_upper_key(state_col) == stats["state_key"], "left").drop("state_key")
     return out.fillna(K.WEATHER_DEFAULTS)
 
@@ -136,8 +158,15 @@ def route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:
                  F.count("order_id").alias("route_order_count")))
 
 
+def route_side(source: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:
+    """Route statistics with key columns renamed for the join back to lines."""
+    return route_stats(source, keys).select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                                            "route_delay_rate", "route_avg_delay_days", "route_order_count")
+
+
 def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
-                     max_rows: int = DEFAULT_BROADCAST_ROWS, source: DataFrame | None = None) -> DataFrame:
+                     max_rows: int = DEFAULT_BROADCAST_ROWS, source: DataFrame | None = None,
+                     checked: DataFrame | None = None) -> DataFrame:
     """Attach each line's route statistics.
 
     NULL in any key does not match (SQL equality), so such lines keep NULL
@@ -147,11 +176,8 @@ def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
     are computed from; passing the lines before enrichment keeps dimension
     joins out of the aggregate branch.
     """
-    stats = route_stats(fact if source is None else source, keys)
-    stats = broadcast_if_bounded(stats.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                                              "route_delay_rate", "route_avg_delay_days",
-                                              "route_order_count"),
-                                 max_rows, materialize=True)
+    stats = checked if checked is not None else \
+        broadcast_if_bounded(route_side(fact if source is None else source, keys), max_rows, materialize=True)
     cond = None
     for k in keys:
         c = fact[k] == stats[f"_r_{k}"]

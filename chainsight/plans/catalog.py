@@ -9,6 +9,7 @@ checked by row count and by the pytest suite.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,19 +46,45 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def bronze(spark: SparkSession, sf_dir: str, with_product: bool = False) -> S.BronzeTables:
-    t = TestTables(spark, sf_dir)
-    return S.BronzeTables(
-        shipping=t.shipping_events(with_product=with_product),
-        suppliers=t.supplier_master(),
-        country_scores=t.supplier_risk(),
-        weather=t.weather_events(),
-        commodity=t.commodity_prices(),
-        news=t.news_disruptions(),
-        oil_metric=TEST_OIL_METRIC,
-        news_level3=TEST_NEWS_KEYWORDS.level3,
-        news_level2=TEST_NEWS_KEYWORDS.level2,
-    )
+class TestBronze:
+    """The bronze role tables over the test tables, each defined on first use
+    (a query touching two role tables does not resolve the other four)."""
+
+    oil_metric = TEST_OIL_METRIC
+    news_level3 = TEST_NEWS_KEYWORDS.level3
+    news_level2 = TEST_NEWS_KEYWORDS.level2
+
+    def __init__(self, spark: SparkSession, sf_dir: str, with_product: bool = False):
+        self._t = TestTables(spark, sf_dir)
+        self._with_product = with_product
+
+    @cached_property
+    def shipping(self) -> DataFrame:
+        return self._t.shipping_events(with_product=self._with_product)
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        return self._t.supplier_master()
+
+    @cached_property
+    def country_scores(self) -> DataFrame:
+        return self._t.supplier_risk()
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return self._t.weather_events()
+
+    @cached_property
+    def commodity(self) -> DataFrame:
+        return self._t.commodity_prices()
+
+    @cached_property
+    def news(self) -> DataFrame:
+        return self._t.news_disruptions()
+
+
+def bronze(spark: SparkSession, sf_dir: str, with_product: bool = False) -> TestBronze:
+    return TestBronze(spark, sf_dir, with_product)
 
 
 def silver(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:

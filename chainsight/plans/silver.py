@@ -120,19 +120,31 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None) -> DataFra
         return want is None or bool(want & set(cols))
 
     lines = shipping_features(bronze.shipping)
-    df = lines
+    # Right sides of the joins, size-checked together (independent small jobs).
+    # Route statistics come from the bare feature lines, so their branch does
+    # not repeat the dimension joins.
+    sides = {}
     if uses(SUPPLIER_COLUMNS):
-        df = J.join_suppliers(df, bronze.suppliers)
+        sides["supplier"] = (J.supplier_keyed(bronze.suppliers), False)
     if uses(COUNTRY_COLUMNS):
-        df = J.join_country_scores(df, bronze.country_scores)
+        sides["country"] = (J.country_side(bronze.country_scores), False)
     if uses(WEATHER_COLUMNS):
-        df = J.join_weather(df, bronze.weather)
+        sides["weather"] = (J.storm_stats_by_state(bronze.weather), True)
+    if uses(ROUTE_COLUMNS):
+        sides["route"] = (J.route_side(lines), True)
+    checked = J.broadcast_all_if_bounded(sides)
+
+    df = lines
+    if "supplier" in checked:
+        df = J.join_suppliers(df, bronze.suppliers, checked=checked["supplier"])
+    if "country" in checked:
+        df = J.join_country_scores(df, bronze.country_scores, checked=checked["country"])
+    if "weather" in checked:
+        df = J.join_weather(df, bronze.weather, checked=checked["weather"])
     if uses(SIGNAL_COLUMNS):
         df = J.attach_scalars(df, **global_signals(bronze, None if want is None else sorted(want)))
-    if uses(ROUTE_COLUMNS):
-        # Route statistics come from the bare feature lines, so their branch
-        # does not repeat the dimension joins.
-        df = J.join_route_stats(df, source=lines)
+    if "route" in checked:
+        df = J.join_route_stats(df, checked=checked["route"])
     return df
 
 

@@ -70,7 +70,10 @@ class TestTables:
     _cache: dict = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
-        return test_table(self.spark, self.sf_dir, name)
+        """One scan definition per table (a read resolves the file's schema)."""
+        if name not in self._cache:
+            self._cache[name] = test_table(self.spark, self.sf_dir, name)
+        return self._cache[name]
 
     # -- shipping_events ---------------------------------------------------
     def shipping_events(self, with_product: bool = True) -> DataFrame:
