@@ -14,7 +14,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainsight import PIPELINE_VERSION
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
 from chainsight.operators import aggregates as G
@@ -488,7 +487,7 @@ def q_latest_prices(spark, sf_dir):
 
 
 @register("series_profile", O.sql(["commodity"], """
-SELECT series_id, COUNT(*) AS observations, SUM(COUNT(*)) OVER () AS total_rows FROM commodity GROUP BY series_id"""))
+SELECT series_id, COUNT(*) AS observations, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total_rows FROM commodity GROUP BY series_id"""))
 def q_series_profile(spark, sf_dir):
     return Q.series_profile(TestTables(spark, sf_dir).commodity_prices())
 

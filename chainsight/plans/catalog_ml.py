@@ -165,7 +165,7 @@ _LPI_CODE = ("CASE " + " ".join(f"WHEN logistics_risk_tier = {O.q(k)} THEN {v}"
 @register("ml_encodings", O.sql(["silver"], f"""
 SELECT news_risk_level, logistics_risk_tier, CAST({_NEWS_CODE} AS DOUBLE) AS news_risk_numeric,
        CAST({_LPI_CODE} AS DOUBLE) AS lpi_risk_numeric, COUNT(*) AS count,
-       SUM(CAST(COALESCE(lead_time_days, 14) AS BIGINT)) AS lead_time_total,
+       CAST(SUM(CAST(COALESCE(lead_time_days, 14) AS BIGINT)) AS BIGINT) AS lead_time_total,
        {O.exact_mean('COALESCE(supplier_quality_score, 3.0)', 2, 2)} AS avg_quality
 FROM silver GROUP BY 1, 2, 3, 4"""))
 def q_ml_encodings(spark, sf_dir):

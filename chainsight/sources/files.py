@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chainsight import PIPELINE_VERSION
 from chainsight import schemas as SC
@@ -75,6 +76,16 @@ def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 # S4 + W2 --------------------------------------------------------------------
+def _feed_source(items: DataFrame):
+    """The ``<source url=...>name</source>`` text: a struct with ``_VALUE``
+    when any item carries the attribute, plain text otherwise, or absent."""
+    if "source" not in items.columns:
+        return F.lit(None)
+    if isinstance(items.schema["source"].dataType, T.StructType):
+        return F.col("source._VALUE")
+    return F.col("source")
+
+
 def read_news(spark: SparkSession, path: str, summary_chars: int = K.NEWS_SUMMARY_CHARS) -> DataFrame:
     """Landed RSS feeds, one folder per search query: ``<path>/<query>/*.xml``.
 
@@ -85,16 +96,13 @@ def read_news(spark: SparkSession, path: str, summary_chars: int = K.NEWS_SUMMAR
     """
     items = (spark.read.format("xml").option("rowTag", "item")
              .option("recursiveFileLookup", True).load(path))
-    src = F.col("source._VALUE") if "source" in items.columns and \
-        "_VALUE" in str(items.schema["source"].dataType) else F.col("source") if "source" in items.columns \
-        else F.lit(None).cast("string")
     file_path = F.col("_metadata.file_path")
     df = items.select(
         F.coalesce(F.col("title").cast("string"), F.lit("")).alias("title"),
         F.coalesce(F.col("pubDate").cast("string"), F.lit("")).alias("published"),
         F.substring(F.coalesce(F.col("description").cast("string"), F.lit("")), 1, summary_chars).alias("summary"),
         F.coalesce(F.col("link").cast("string"), F.lit("")).alias("link"),
-        F.coalesce(src.cast("string"), F.lit("Unknown")).alias("source"),
+        F.coalesce(_feed_source(items).cast("string"), F.lit("Unknown")).alias("source"),
         F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1).alias("query_used"),
         F.current_date().cast("string").alias("ingested_date"),
         F.struct(file_path.alias("file"), F.monotonically_increasing_id().alias("item")).alias("feed_order"),
