@@ -210,7 +210,30 @@ def exact_metric_strings(counts: DataFrame, auc_frac: DataFrame, places: int = 4
 
 
 # M7 -------------------------------------------------------------------------
-def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
+def score_counts(pred: DataFrame, label: str = "label", score: str = "score",
+                 prediction: str | None = None) -> DataFrame:
+    """Positives and negatives per distinct score (and prediction, if named):
+    the one pass over a prediction table that both the confusion counts and
+    the area under ROC can be read from."""
+    keys = [score] + ([prediction] if prediction else [])
+    return (pred.where(F.col(score).isNotNull()).groupBy(*keys)
+            .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+
+
+def confusion_from_score_counts(per: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """``confusion_counts`` (n, tp, tn, fp, fn) from ``score_counts(..., prediction)``."""
+    p = F.col(prediction)
+    return per.agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n"),
+        F.sum(F.when(p == 1, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(p == 0, F.col("neg")).otherwise(0)).alias("tn"),
+        F.sum(F.when(p == 1, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(p == 0, F.col("pos")).otherwise(0)).alias("fn"),
+    )
+
+
+def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 256,
+                 per_score: DataFrame | None = None) -> DataFrame:
     """Area under ROC as an exact fraction ``auc_num2 / auc_den2``.
 
     AUC = P(score of a positive > score of a negative) + 1/2 P(tie), i.e. the
@@ -220,10 +243,13 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
     score are a prefix sum: distinct scores are cut into ``buckets`` ranges at
     approximate quantiles; each range is summed in its own task and ranges are
     offset by the running total of the ones before (``buckets`` rows).
+    ``per_score`` (from ``score_counts``) replaces the first pass when given.
     """
     s = F.col(score)
-    per = (pred.where(s.isNotNull()).groupBy(score)
-           .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+    if per_score is None:
+        per = score_counts(pred, label, score)
+    else:  # from score_counts, possibly split by prediction
+        per = per_score.groupBy(score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = per.agg(F.percentile_approx(score, probs, 10_000)).scalar()
     # number of bounds strictly below the score = its position in the sorted set {bounds} + {score}, minus one

@@ -326,7 +326,7 @@ UNION ALL
 SELECT 'country_scores', COUNT(*), COUNT(lpi_score),
        """ + O.half_up("CAST(COUNT(lpi_score) AS HUGEINT) * 100", "COUNT(*)", 1) + """ FROM enriched"""))
 def q_join_coverage(spark, sf_dir):
-    df = S.enrich(bronze(spark, sf_dir))
+    df = S.enrich(bronze(spark, sf_dir), needed=["supplier_name", "lpi_score"])
     sup = J.join_coverage(df, "supplier_name").select(F.lit("supplier").alias("join_name"), "*")
     lpi = J.join_coverage(df, "lpi_score").select(F.lit("country_scores").alias("join_name"), "*")
     return sup.unionByName(lpi)

@@ -128,8 +128,12 @@ def _kpi_sql() -> str:
 
 @register("kpi_summary", _kpi_sql())
 def q_kpi_summary(spark, sf_dir):
+    from pyspark import StorageLevel
     preds = fixed_predictions(spark, sf_dir)
-    metrics = M.exact_metric_strings(M.confusion_counts(preds), M.auc_fraction(preds, "label", "score"))
+    # one pass over the predictions feeds both the confusion counts and the AUC
+    per = M.score_counts(preds, "label", "score", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    metrics = M.exact_metric_strings(M.confusion_from_score_counts(per),
+                                     M.auc_fraction(preds, "label", "score", per_score=per))
     b = bronze(spark, sf_dir)
     level = S.news_summary(b).select("news_risk_level").scalar()
     return G.kpi_summary(S.silver(b, columns=G.COLUMNS["kpi_totals"]), metrics, level, PIPELINE_VERSION)
@@ -218,7 +222,7 @@ def q_standardize(spark, sf_dir):
     from pyspark import StorageLevel
     from pyspark.ml import Pipeline
     # three estimators (two indexers, the scaler) each make a pass: persist once
-    df = M.model_frame(silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    df = M.model_frame(model_silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
     finally:
@@ -236,8 +240,20 @@ def q_standardize(spark, sf_dir):
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
+# Silver columns the model, its split and its prediction table read.
+MODEL_INPUT = sorted(set(K.FEATURE_COLS) - {"shipping_mode_idx", "market_idx", "lpi_risk_numeric",
+                                             "news_risk_numeric"}
+                     | {"shipping_mode", "market", "logistics_risk_tier", "news_risk_level",
+                        "late_delivery_risk", "order_country", "order_region", "is_delayed", "line_number"}
+                     | set(SPLIT_COLUMNS))
+
+
+def model_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver(spark, sf_dir, MODEL_INPUT)
+
+
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return M.train_test_split(M.model_frame(silver(spark, sf_dir)), SPLIT_COLUMNS)
+    return M.train_test_split(M.model_frame(model_silver(spark, sf_dir)), SPLIT_COLUMNS)
 
 
 def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -252,7 +268,7 @@ def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 @register("split_counts")
 def q_split_counts(spark, sf_dir):
-    df = M.model_frame(silver(spark, sf_dir))
+    df = M.model_frame(model_silver(spark, sf_dir))
     side = F.when(M.split_flag(SPLIT_COLUMNS), F.lit("train")).otherwise(F.lit("test"))
     return df.groupBy(side.alias("side"), "label").count()
 

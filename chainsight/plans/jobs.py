@@ -99,9 +99,12 @@ def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parq
 
 def model_metrics(predictions: DataFrame) -> DataFrame:
     """Text metrics (4 places) of a prediction table, for the KPI summary."""
+    from pyspark import StorageLevel
+
     pred = predictions.withColumn("label", F.col("actual_risk").cast("double"))
-    counts = M.confusion_counts(pred, "label", "predicted_risk")
-    frac = M.auc_fraction(pred, "label", "late_probability")
+    per = M.score_counts(pred, "label", "late_probability", "predicted_risk").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = M.confusion_from_score_counts(per, "predicted_risk")
+    frac = M.auc_fraction(pred, "label", "late_probability", per_score=per)
     return M.exact_metric_strings(counts, frac)
 
 
