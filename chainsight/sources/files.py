@@ -97,11 +97,17 @@ def read_news(spark: SparkSession, path: str, summary_chars: int = K.NEWS_SUMMAR
     items = (spark.read.format("xml").option("rowTag", "item")
              .option("recursiveFileLookup", True).load(path))
     file_path = F.col("_metadata.file_path")
+    def text(name: str):
+        """An item field as text; a field no item carries is absent from the
+        inferred schema and reads as empty, like a missing field."""
+        c = F.col(name).cast("string") if name in items.columns else F.lit(None).cast("string")
+        return F.coalesce(c, F.lit(""))
+
     df = items.select(
-        F.coalesce(F.col("title").cast("string"), F.lit("")).alias("title"),
-        F.coalesce(F.col("pubDate").cast("string"), F.lit("")).alias("published"),
-        F.substring(F.coalesce(F.col("description").cast("string"), F.lit("")), 1, summary_chars).alias("summary"),
-        F.coalesce(F.col("link").cast("string"), F.lit("")).alias("link"),
+        text("title").alias("title"),
+        text("pubDate").alias("published"),
+        F.substring(text("description"), 1, summary_chars).alias("summary"),
+        text("link").alias("link"),
         F.coalesce(_feed_source(items).cast("string"), F.lit("Unknown")).alias("source"),
         F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1).alias("query_used"),
         F.current_date().cast("string").alias("ingested_date"),
