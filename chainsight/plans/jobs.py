@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chainsight import PIPELINE_VERSION
@@ -70,11 +70,24 @@ def bronze_from_paths(spark: SparkSession, out: str, fmt: str = "parquet", **par
                           commodity=read("commodity_prices"), news=read("news_disruptions"), **params)
 
 
+class RowParityError(RuntimeError):
+    pass
+
+
 def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str = "parquet") -> int:
-    """Build silver in one plan and write it partitioned by market (K3)."""
-    df = S.with_lineage(S.silver(bronze))
+    """Build silver in one plan and write it partitioned by market (K3).
+
+    Q6: the lines entering the enrichment joins and the rows written are
+    both counted during the write; they must be equal (every join is a left
+    join on a unique key), otherwise a dimension with duplicate keys fanned
+    lines out and the job fails.
+    """
+    seen = Observation("silver_input")
+    df = S.with_lineage(S.silver(bronze, lines_seen=seen))
     path = f"{out}/silver/supply_chain_master"
     rows = W.write_counted(df, path, fmt, partition_by="market")
+    if int(seen.get["rows"]) != rows:
+        raise RowParityError(f"silver: {seen.get['rows']} lines in, {rows} rows out")
     W.log_run(spark, f"{out}/run_log", "silver", path, "WRITE", rows, PIPELINE_VERSION)
     return rows
 

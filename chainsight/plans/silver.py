@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chainsight import PIPELINE_VERSION
@@ -108,7 +108,8 @@ SIGNAL_COLUMNS = ("commodity_shock_flag", "news_risk_level", "news_risk_score_gl
 ROUTE_COLUMNS = ("route_delay_rate", "route_avg_delay_days", "route_order_count")
 
 
-def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None) -> DataFrame:
+def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
+           lines_seen: Observation | None = None) -> DataFrame:
     """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet).
 
     ``needed`` (default: all) names the output columns a caller reads; steps
@@ -120,6 +121,9 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None) -> DataFra
         return want is None or bool(want & set(cols))
 
     lines = shipping_features(bronze.shipping)
+    if lines_seen is not None:
+        # Q6: counted inside the same job as the write, no extra pass
+        lines = lines.observe(lines_seen, F.count(F.lit(1)).alias("rows"))
     # Right sides of the joins, size-checked together (independent small jobs).
     # Route statistics come from the bare feature lines, so their branch does
     # not repeat the dimension joins.
@@ -148,15 +152,17 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None) -> DataFra
     return df
 
 
-def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None,
+           lines_seen: Observation | None = None) -> DataFrame:
     """The silver table (without lineage columns) with its N2 defaults.
 
     ``columns`` restricts the output (and the enrichment steps) to what a
-    reader needs; by default all silver columns are built.
+    reader needs; by default all silver columns are built.  ``lines_seen``
+    receives the number of shipping lines entering the joins.
     """
     cols = list(SILVER_COLUMNS) if columns is None else list(columns)
     cols += [c for c in extra if c not in cols]
-    df = enrich(bronze, None if columns is None else cols)
+    df = enrich(bronze, None if columns is None else cols, lines_seen)
     fills = {k: v for k, v in K.SILVER_DEFAULTS.items() if k in cols}
     out = df.select(*cols)
     return out.fillna(fills) if fills else out

@@ -94,3 +94,16 @@ def test_bronze_then_silver_from_raw_files(spark, tmp_dir):
     tx = silver.where("weather_risk_score <> 1.0").select("weather_risk_score").distinct().collect()
     assert [r.weather_risk_score for r in tx] == [4.0]  # TX: hurricane 5, flood 3
     assert silver.where("supplier_name IS NULL").count() == 0
+
+
+def test_silver_job_rejects_fan_out(spark, tmp_dir):
+    """A duplicated country in the score table would multiply lines: Q6 stops it."""
+    import pytest
+    from pyspark.sql import functions as F
+    from chainsight.plans.catalog import bronze
+
+    b = bronze(spark, SF001)
+    dup = b.country_scores.unionByName(b.country_scores.where(F.col("country") == "NATION_0"))
+    b.__dict__["country_scores"] = dup
+    with pytest.raises(JB.RowParityError):
+        JB.silver_job(spark, b, os.path.join(tmp_dir, "fan"))
