@@ -70,6 +70,15 @@ def bronze_from_paths(spark: SparkSession, out: str, fmt: str = "parquet", **par
                           commodity=read("commodity_prices"), news=read("news_disruptions"), **params)
 
 
+def shipping_enriched_job(spark: SparkSession, shipping: DataFrame, out: str, fmt: str = "parquet") -> str:
+    """Side table: shipping lines plus F1-F4, overwritten only with an
+    unchanged schema (K2).  Nothing downstream reads it; silver derives the
+    same features itself."""
+    path = f"{out}/silver/shipping_enriched"
+    W.overwrite_same_schema(spark, S.shipping_features(shipping), path, fmt)
+    return path
+
+
 class RowParityError(RuntimeError):
     pass
 

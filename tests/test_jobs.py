@@ -107,3 +107,14 @@ def test_silver_job_rejects_fan_out(spark, tmp_dir):
     b.__dict__["country_scores"] = dup
     with pytest.raises(JB.RowParityError):
         JB.silver_job(spark, b, os.path.join(tmp_dir, "fan"))
+
+
+def test_shipping_enriched_side_table(spark, tmp_dir):
+    from chainsight.plans.catalog import bronze
+
+    b = bronze(spark, SF001)
+    path = JB.shipping_enriched_job(spark, b.shipping, tmp_dir)
+    df = spark.read.parquet(path)
+    assert {"delay_days", "is_delayed", "route_key", "profit_margin_flag"} <= set(df.columns)
+    assert df.count() == b.shipping.count()
+    JB.shipping_enriched_job(spark, b.shipping, tmp_dir)  # same schema: overwrite allowed
