@@ -171,7 +171,7 @@ weather AS (
 commodity AS (SELECT ts AS date, value, event_type AS series_id, event_type AS metric_name FROM events)""",
     "news": """
 news AS (
-  SELECT split_part(text, chr(10), 1) AS title, source, lang AS query_used, doc_id AS feed_order
+  SELECT text AS title, source, lang AS query_used, doc_id AS feed_order
   FROM documents
 )""",
     "news_dedup": """
