@@ -54,7 +54,7 @@ class TestBronze:
     news_level2 = TEST_NEWS_KEYWORDS.level2
 
     def __init__(self, spark: SparkSession, sf_dir: str, with_product: bool = False):
-        self._t = TestTables(spark, sf_dir)
+        self._t = TestTables.shared(spark, sf_dir)
         self._with_product = with_product
 
     @cached_property
@@ -98,7 +98,7 @@ def mart_input(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.shipping_features(TestTables(spark, sf_dir).shipping_events(with_product=False))
+    return S.shipping_features(TestTables.shared(spark, sf_dir).shipping_events(with_product=False))
 
 
 # ---------------------------------------------------------------------------
@@ -266,7 +266,7 @@ def q_route_stats_window(spark, sf_dir):
 @register("lpi_tiers", O.sql(["country_scores"], """
 SELECT country, lpi_score, infrastructure_score, timeliness_score, logistics_risk_tier FROM country_scores"""))
 def q_lpi_tiers(spark, sf_dir):
-    return TestTables(spark, sf_dir).supplier_risk().select(
+    return TestTables.shared(spark, sf_dir).supplier_risk().select(
         "country", "lpi_score", "infrastructure_score", "timeliness_score", "logistics_risk_tier")
 
 
@@ -293,20 +293,20 @@ def q_weather_enrich(spark, sf_dir):
 
 @register("weather_by_state", O.sql(["storm"], "SELECT * FROM storm"))
 def q_weather_by_state(spark, sf_dir):
-    return J.storm_stats_by_state(TestTables(spark, sf_dir).weather_events())
+    return J.storm_stats_by_state(TestTables.shared(spark, sf_dir).weather_events())
 
 
 @register("supplier_key", O.sql(["suppliers"], f"""
 SELECT supplier_id, TRY_CAST(regexp_extract(supplier_id, {O.q(K.SUPPLIER_ID_PATTERN)}, 1) AS INTEGER) AS sup_key
 FROM suppliers"""))
 def q_supplier_key(spark, sf_dir):
-    s = TestTables(spark, sf_dir).supplier_master()
+    s = TestTables.shared(spark, sf_dir).supplier_master()
     return s.select("supplier_id", FX.supplier_number("supplier_id").alias("sup_key"))
 
 
 @register("supplier_dim", O.sql(["sup_keyed"], "SELECT * FROM sup_keyed"))
 def q_supplier_dim(spark, sf_dir):
-    return J.supplier_keyed(TestTables(spark, sf_dir).supplier_master())
+    return J.supplier_keyed(TestTables.shared(spark, sf_dir).supplier_master())
 
 
 @register("supplier_enrich", O.sql(["enriched"], """
@@ -358,14 +358,14 @@ def q_null_defaults(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @register("weather_select", O.sql(["weather"], "SELECT event_id, state, event_type, severity_score, severity_label FROM weather"))
 def q_weather_select(spark, sf_dir):
-    return TestTables(spark, sf_dir).weather_events().select(
+    return TestTables.shared(spark, sf_dir).weather_events().select(
         "event_id", "state", "event_type", "severity_score", "severity_label")
 
 
 @register("weather_severity", O.sql(["weather"], """
 SELECT event_type, severity_score, severity_label, COUNT(*) AS events FROM weather GROUP BY 1, 2, 3"""))
 def q_weather_severity(spark, sf_dir):
-    return TestTables(spark, sf_dir).weather_events() \
+    return TestTables.shared(spark, sf_dir).weather_events() \
         .groupBy("event_type", "severity_score", "severity_label").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -373,13 +373,13 @@ def q_weather_severity(spark, sf_dir):
 SELECT event_type, COUNT(*) AS count FROM weather GROUP BY event_type
 ORDER BY count DESC, event_type ASC NULLS FIRST LIMIT {K.TOP_K}"""))
 def q_dist_event(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).weather_events(), ["event_type"], top=K.TOP_K)
+    return G.value_distribution(TestTables.shared(spark, sf_dir).weather_events(), ["event_type"], top=K.TOP_K)
 
 
 @register("dist_severity", O.sql(["weather"], """
 SELECT severity_label, severity_score, COUNT(*) AS count FROM weather GROUP BY 1, 2"""))
 def q_dist_severity(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).weather_events(), ["severity_label", "severity_score"],
+    return G.value_distribution(TestTables.shared(spark, sf_dir).weather_events(), ["severity_label", "severity_score"],
                                 order_by=[F.col("severity_score").desc()])
 
 
@@ -387,27 +387,27 @@ def q_dist_severity(spark, sf_dir):
 SELECT state, COUNT(*) AS count FROM weather GROUP BY state
 ORDER BY count DESC, state ASC NULLS FIRST LIMIT {K.TOP_K}"""))
 def q_dist_state(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).weather_events(), ["state"], top=K.TOP_K)
+    return G.value_distribution(TestTables.shared(spark, sf_dir).weather_events(), ["state"], top=K.TOP_K)
 
 
 @register("dist_mode", O.sql(["shipping"], "SELECT shipping_mode, COUNT(*) AS count FROM shipping GROUP BY 1"))
 def q_dist_mode(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).shipping_events(with_product=False), ["shipping_mode"])
+    return G.value_distribution(TestTables.shared(spark, sf_dir).shipping_events(with_product=False), ["shipping_mode"])
 
 
 @register("dist_market", O.sql(["shipping"], "SELECT market, COUNT(*) AS count FROM shipping GROUP BY 1"))
 def q_dist_market(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).shipping_events(with_product=False), ["market"])
+    return G.value_distribution(TestTables.shared(spark, sf_dir).shipping_events(with_product=False), ["market"])
 
 
 @register("dist_delivery_status", O.sql(["shipping"], "SELECT delivery_status, COUNT(*) AS count FROM shipping GROUP BY 1"))
 def q_dist_delivery_status(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).shipping_events(with_product=False), ["delivery_status"])
+    return G.value_distribution(TestTables.shared(spark, sf_dir).shipping_events(with_product=False), ["delivery_status"])
 
 
 @register("dist_tier", O.sql(["country_scores"], "SELECT logistics_risk_tier, COUNT(*) AS count FROM country_scores GROUP BY 1"))
 def q_dist_tier(spark, sf_dir):
-    return G.value_distribution(TestTables(spark, sf_dir).supplier_risk(), ["logistics_risk_tier"])
+    return G.value_distribution(TestTables.shared(spark, sf_dir).supplier_risk(), ["logistics_risk_tier"])
 
 
 @register("dq_shipping", O.sql(["shipping", "lines"], """
@@ -421,7 +421,7 @@ SELECT COUNT(*) AS total_rows,
        """ + O.half_up("CAST(COUNT(*) FILTER (WHERE late_delivery_risk = 0) AS HUGEINT) * 100", "COUNT(*)", 1) + """ AS on_time_pct
 FROM lines"""))
 def q_dq_shipping(spark, sf_dir):
-    return Q.shipping_check(TestTables(spark, sf_dir).shipping_events(with_product=False))
+    return Q.shipping_check(TestTables.shared(spark, sf_dir).shipping_events(with_product=False))
 
 
 @register("dq_weather", O.sql(["weather"], f"""
@@ -430,7 +430,7 @@ SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE state IS NULL) AS null_sta
        COUNT(*) FILTER (WHERE severity_score >= {K.SEVERE_STORM_AT}) AS severe_events
 FROM weather"""))
 def q_dq_weather(spark, sf_dir):
-    return Q.weather_check(TestTables(spark, sf_dir).weather_events())
+    return Q.weather_check(TestTables.shared(spark, sf_dir).weather_events())
 
 
 @register("dq_silver", O.sql(["silver"], """
@@ -474,14 +474,14 @@ SELECT metric_name, arg_max(value, (date, value)) AS latest_value, COUNT(*) AS o
        CAST(COALESCE(CASE WHEN arg_max(value, (date, value)) > {K.COMMODITY_SHOCK_ABOVE} THEN 1 ELSE 0 END, 0) AS INTEGER) AS shock_flag
 FROM commodity GROUP BY metric_name"""))
 def q_commodity_shock(spark, sf_dir):
-    return G.latest_by_series(TestTables(spark, sf_dir).commodity_prices()).drop("latest_date")
+    return G.latest_by_series(TestTables.shared(spark, sf_dir).commodity_prices()).drop("latest_date")
 
 
 @register("latest_prices", O.sql(["commodity"], f"""
 SELECT strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date, value, series_id FROM commodity
 ORDER BY commodity.date DESC, value DESC, series_id LIMIT {K.LATEST_PRICES_K}"""))
 def q_latest_prices(spark, sf_dir):
-    top = T.latest_rows(TestTables(spark, sf_dir).commodity_prices(), "date", K.LATEST_PRICES_K,
+    top = T.latest_rows(TestTables.shared(spark, sf_dir).commodity_prices(), "date", K.LATEST_PRICES_K,
                         tie_breakers=[F.col("value").desc(), F.col("series_id").asc()])
     return top.select(F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"), "value", "series_id")
 
@@ -489,14 +489,14 @@ def q_latest_prices(spark, sf_dir):
 @register("series_profile", O.sql(["commodity"], """
 SELECT series_id, COUNT(*) AS observations, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total_rows FROM commodity GROUP BY series_id"""))
 def q_series_profile(spark, sf_dir):
-    return Q.series_profile(TestTables(spark, sf_dir).commodity_prices())
+    return Q.series_profile(TestTables.shared(spark, sf_dir).commodity_prices())
 
 
 @register("series_union", O.sql(["commodity"], """
 SELECT metric_name, series_id, COUNT(*) AS observations, min(value) AS min_value, max(value) AS max_value
 FROM commodity WHERE value IS NOT NULL GROUP BY 1, 2"""))
 def q_series_union(spark, sf_dir):
-    prices = TestTables(spark, sf_dir).commodity_prices()
+    prices = TestTables.shared(spark, sf_dir).commodity_prices()
     names = ["click", "error", "purchase", "signup", "view"]
     frames = {n: prices.where(F.col("series_id") == n).select("date", "value", "series_id") for n in names}
     unioned = U.union_series(frames)
@@ -511,13 +511,13 @@ def q_series_union(spark, sf_dir):
 SELECT title, feed_order, source, query_used FROM news
 WHERE feed_order IN (SELECT min(feed_order) FROM news GROUP BY title)"""))
 def q_news_dedup(spark, sf_dir):
-    news = TestTables(spark, sf_dir).news_disruptions().select("title", "feed_order", "source", "query_used")
+    news = TestTables.shared(spark, sf_dir).news_disruptions().select("title", "feed_order", "source", "query_used")
     return first_per_key(news, ["title"], ["feed_order"])
 
 
 @register("news_scores", O.sql(["news_scored"], "SELECT title, feed_order, news_risk_score FROM news_scored"))
 def q_news_scores(spark, sf_dir):
-    news = S.dedup_news(TestTables(spark, sf_dir).news_disruptions())
+    news = S.dedup_news(TestTables.shared(spark, sf_dir).news_disruptions())
     return S.score_news(news, TEST_NEWS_KEYWORDS.level3, TEST_NEWS_KEYWORDS.level2) \
         .select("title", "feed_order", "news_risk_score")
 
@@ -531,7 +531,7 @@ def q_news_level(spark, sf_dir):
 SELECT query_used, COUNT(*) AS count FROM news
 WHERE feed_order IN (SELECT min(feed_order) FROM news GROUP BY title) GROUP BY 1"""))
 def q_news_by_query(spark, sf_dir):
-    return G.value_distribution(S.dedup_news(TestTables(spark, sf_dir).news_disruptions()), ["query_used"])
+    return G.value_distribution(S.dedup_news(TestTables.shared(spark, sf_dir).news_disruptions()), ["query_used"])
 
 
 def queries() -> dict[str, Query]:

@@ -61,6 +61,9 @@ TEST_NEWS_KEYWORDS = NewsKeywords(level3=("ing", "able"), level2=("the", "un"))
 TEST_OIL_METRIC = "purchase"
 
 
+_SHARED: dict[tuple[str, str], "TestTables"] = {}
+
+
 @dataclass
 class TestTables:
     """Role tables derived from ``/root/testdata/sf*/`` parquet files."""
@@ -69,6 +72,15 @@ class TestTables:
     sf_dir: str
     _cache: dict = field(default_factory=dict)
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "TestTables":
+        """One instance per session and folder: each file's listing and schema
+        are resolved once (scan definitions only; no data is cached)."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir)
+        return _SHARED[key]
+
     def raw(self, name: str) -> DataFrame:
         """One scan definition per table (a read resolves the file's schema)."""
         if name not in self._cache:
