@@ -51,10 +51,12 @@ def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parque
         "supplier_risk": SRC.read_country_scores(spark, raw.country_scores_csv),
         "supplier_master": SRC.read_suppliers(spark, raw.suppliers, raw.suppliers_fmt),
     }
+    # commodity and supplier tables keep their schema across runs (K2)
+    schema_guarded = {"commodity_prices", "supplier_master"}
     counts = {}
     for name, df in tables.items():
         path = f"{out}/bronze/{name}"
-        counts[name] = W.write_counted(df, path, fmt)
+        counts[name] = W.write_counted(df, path, fmt, same_schema_as=spark if name in schema_guarded else None)
         W.log_run(spark, f"{out}/run_log", "bronze", path, "WRITE", counts[name], PIPELINE_VERSION)
     return counts
 

@@ -42,14 +42,19 @@ def existing_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.S
         return None
 
 
-def overwrite_same_schema(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite only when the target is new or has the same columns and types."""
+def check_same_schema(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Raise unless the target is new or has the same columns and types."""
     current = existing_schema(spark, path, fmt)
     if current is not None:
         have = [(f.name, f.dataType.simpleString()) for f in current.fields]
         want = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
         if sorted(have) != sorted(want):
             raise SchemaMismatch(f"{path}: existing {have} != new {want}")
+
+
+def overwrite_same_schema(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Overwrite only when the target is new or has the same columns and types."""
+    check_same_schema(spark, df, path, fmt)
     overwrite(df, path, fmt)
 
 
@@ -62,8 +67,14 @@ def versioned_path(base: str, version: str) -> str:
 
 # K5 -------------------------------------------------------------------------
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
-                  partition_by: str | list[str] | None = None) -> int:
-    """Write and return the number of rows written, observed during the write."""
+                  partition_by: str | list[str] | None = None, same_schema_as: SparkSession | None = None) -> int:
+    """Write and return the number of rows written, observed during the write.
+
+    With ``same_schema_as=spark`` the write is K2: refused when the existing
+    table has other columns or types.
+    """
+    if same_schema_as is not None:
+        check_same_schema(same_schema_as, df, path, fmt)
     obs = Observation("written")
     overwrite(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by)
     return int(obs.get["rows"])
