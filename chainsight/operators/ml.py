@@ -62,7 +62,13 @@ def split_flag(cols: Sequence[str], train_percent: int = K.TRAIN_PERCENT, seed:
 
 
 def train_test_split(df: DataFrame, cols: Sequence[str], train_percent: int = K.TRAIN_PERCENT,
-                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                     seed: int = 42, method: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """80/20 split.  ``method="hash"`` (default) is the content-hash split;
+    ``method="random"`` is ``randomSplit`` with the same seed, whose rows
+    depend on partitioning and row order (so it differs across layouts)."""
+    if method == "random":
+        train, test = df.randomSplit([train_percent / 100, 1 - train_percent / 100], seed=seed)
+        return train, test
     flag = split_flag(cols, train_percent, seed)
     return df.where(flag), df.where(~flag)
 

@@ -77,3 +77,10 @@ def test_exact_metric_strings(spark):
     assert r.model_accuracy == "0.9751"  # 19501/20000 = 0.97505 exactly -> half up
     assert r.model_auc == "0.9750"       # 0.975025
     assert r.model_f1.startswith("0.97")
+
+
+def test_random_split_option(spark):
+    frame = M.model_frame(CM.silver(spark, SF001))
+    train, test = M.train_test_split(frame, CM.SPLIT_COLUMNS, method="random")
+    n = frame.count()
+    assert train.count() + test.count() == n and 0.7 < train.count() / n < 0.9
