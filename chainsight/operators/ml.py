@@ -74,9 +74,16 @@ def train_test_split(df: DataFrame, cols: Sequence[str], train_percent: int = K.
 
 
 # M1, M2, M3, M5 -------------------------------------------------------------
+def indexer(cols: Sequence[str] = tuple(INDEXED)) -> StringIndexer:
+    """M1: category -> index by descending frequency (ties alphabetical);
+    unseen and NULL values -> one extra last index.  All columns are indexed
+    by one estimator, i.e. one pass over the data."""
+    return StringIndexer(inputCols=list(cols), outputCols=[INDEXED[c] for c in cols],
+                         handleInvalid="keep", stringOrderType="frequencyDesc")
+
+
 def indexers() -> list[StringIndexer]:
-    return [StringIndexer(inputCol=c, outputCol=o, handleInvalid="keep", stringOrderType="frequencyDesc")
-            for c, o in INDEXED.items()]
+    return [indexer()]
 
 
 def assembler(features: Sequence[str] = K.FEATURE_COLS) -> VectorAssembler:

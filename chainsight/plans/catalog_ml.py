@@ -150,7 +150,7 @@ FROM silver GROUP BY {col}""")
 def _index_query(col: str):
     def run(spark, sf_dir):
         s = silver(spark, sf_dir, [col])
-        model = [i for i in M.indexers() if i.getInputCol() == col][0].fit(s)
+        model = M.indexer([col]).fit(s)
         return model.transform(s.groupBy(col).count())
     return run
 
@@ -221,7 +221,7 @@ FROM long JOIN pos USING (feature) GROUP BY feature, position"""
 def q_standardize(spark, sf_dir):
     from pyspark import StorageLevel
     from pyspark.ml import Pipeline
-    # three estimators (two indexers, the scaler) each make a pass: persist once
+    # two estimators (the indexer, the scaler) each make a pass: persist once
     df = M.model_frame(model_silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
