@@ -109,7 +109,8 @@ ROUTE_COLUMNS = ("route_delay_rate", "route_avg_delay_days", "route_order_count"
 
 
 def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
-           lines_seen: Observation | None = None) -> DataFrame:
+           lines_seen: Observation | None = None,
+           max_broadcast_rows: int = J.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet).
 
     ``needed`` (default: all) names the output columns a caller reads; steps
@@ -136,7 +137,7 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
         sides["weather"] = (J.storm_stats_by_state(bronze.weather), True)
     if uses(ROUTE_COLUMNS):
         sides["route"] = (J.route_side(lines), True)
-    checked = J.broadcast_all_if_bounded(sides)
+    checked = J.broadcast_all_if_bounded(sides, max_broadcast_rows)
 
     df = lines
     if "supplier" in checked:
@@ -153,16 +154,19 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
 
 
 def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None,
-           lines_seen: Observation | None = None) -> DataFrame:
+           lines_seen: Observation | None = None,
+           max_broadcast_rows: int = J.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The silver table (without lineage columns) with its N2 defaults.
 
     ``columns`` restricts the output (and the enrichment steps) to what a
     reader needs; by default all silver columns are built.  ``lines_seen``
     receives the number of shipping lines entering the joins.
+    ``max_broadcast_rows`` bounds the join sides that are broadcast; larger
+    sides are shuffle-joined.
     """
     cols = list(SILVER_COLUMNS) if columns is None else list(columns)
     cols += [c for c in extra if c not in cols]
-    df = enrich(bronze, None if columns is None else cols, lines_seen)
+    df = enrich(bronze, None if columns is None else cols, lines_seen, max_broadcast_rows)
     fills = {k: v for k, v in K.SILVER_DEFAULTS.items() if k in cols}
     out = df.select(*cols)
     return out.fillna(fills) if fills else out

@@ -106,3 +106,22 @@ def test_scalars_attach_without_cross_join(spark):
     out = J.attach_scalars(fact, v=one.select("v").scalar())
     assert {r.v for r in out.collect()} == {7}
     assert "CartesianProduct" not in plan_text(out) and "BroadcastNestedLoopJoin" not in plan_text(out)
+
+
+def test_silver_same_rows_without_broadcasts(spark):
+    """The fallback above the broadcast bound (shuffle joins) gives the same silver."""
+    from chainsight.plans import catalog as C
+    from .conftest import SF001
+
+    b = C.bronze(spark, SF001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = S.silver(b, extra=["line_number"], max_broadcast_rows=0)
+        rows_shuffled = sorted(map(tuple, shuffled.collect()), key=str)
+        assert "SortMergeJoin" in plan_text(shuffled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    broadcast = S.silver(b, extra=["line_number"])
+    assert rows_shuffled == sorted(map(tuple, broadcast.collect()), key=str)
