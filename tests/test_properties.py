@@ -45,3 +45,31 @@ def test_severity_label_is_a_function_of_score(spark):
     w = C.TestTables.shared(spark, SF001).weather_events()
     assert w.groupBy("severity_score").agg(F.countDistinct("severity_label").alias("k")) \
             .where("k > 1").count() == 0
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One market / route / title with a third of all rows: aggregates stay exact
+    and the plan aggregates partially before any shuffle."""
+    from chainsight.operators import joins as J
+    from chainsight.operators.windows import first_per_key
+
+    n = 3000
+    rows = [("HOT" if i % 3 == 0 else f"m{i % 7}", "C", "R", "HOT" if i % 3 == 0 else f"x{i % 5}",
+             i % 2, (i % 5) - 2, i, 10.25) for i in range(n)]
+    fact = spark.createDataFrame(rows, "market string, order_country string, order_region string, "
+                                       "shipping_mode string, is_delayed int, delay_days int, order_id long, "
+                                       "sales double").withColumn("lpi_score", F.lit(3.0)) \
+                                                      .withColumn("weather_risk_score", F.lit(1.0))
+    hot = [r for r in rows if r[0] == "HOT"]
+    mart = {r.market: r for r in G.market_kpi(fact).collect()}
+    assert mart["HOT"].total_orders == len(hot) == n // 3
+    assert mart["HOT"].delay_rate_pct == round(100 * sum(r[4] for r in hot) / len(hot), 1)
+    stats = {r.shipping_mode: r for r in J.route_stats(fact).collect()}
+    window = {r.shipping_mode: r for r in J.route_stats_window(fact).collect()}
+    assert stats["HOT"].route_order_count == window["HOT"].route_order_count == n // 3
+    assert stats["HOT"].route_delay_rate == window["HOT"].route_delay_rate
+    plan = G.market_kpi(fact)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan  # map-side combine before the exchange
+    titles = fact.select(F.col("market").alias("title"), F.col("order_id").alias("feed_order"))
+    firsts = {r.title: r.feed_order for r in first_per_key(titles, ["title"], ["feed_order"]).collect()}
+    assert firsts["HOT"] == 0
