@@ -5,6 +5,12 @@ tables with::
 
     python -m chainsight.plans.jobs --test-tables /root/testdata/sf0.01 --out /shared/run1
 
+or on landed raw files with::
+
+    python -m chainsight.plans.jobs --out /shared/run1 --shipping-csv orders.csv \
+        --storm-csv storms_2022.csv.gz storms_2023.csv.gz --news-dir news/ --prices-dir prices/ \
+        --country-scores-csv lpi.csv --suppliers suppliers/
+
 On a cluster ``--out`` must be a shared folder; checkpoints go to the
 folder the session names in ``spark.checkpoint.dir``.
 """
@@ -103,14 +109,15 @@ def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str =
     return rows
 
 
-def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parquet") -> DataFrame:
+def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parquet",
+              params: dict | None = None) -> DataFrame:
     """Fit on the training split, write scored test rows by market, save the
     model, return the one-row metrics frame (AUC, accuracy, F1)."""
     frame = M.model_frame(silver)
     split_cols = [c for c in ("order_id", "line_number", "market", "shipping_mode", "order_country",
                               "delay_days", "sales", "order_profit", "late_delivery_risk") if c in frame.columns]
     train, test = M.train_test_split(frame, split_cols)
-    model = M.fit(spark, train)
+    model = M.fit(spark, train, params=params)
     pred = (M.predictions_table(model, test)
             .withColumn("_gold_processed_at", F.current_timestamp())
             .withColumn("_model_version", F.lit(K.MODEL_VERSION)))
@@ -165,15 +172,42 @@ def run_on_test_tables(spark: SparkSession, sf_dir: str, out: str) -> dict[str,
     return result
 
 
+def run_on_raw_files(spark: SparkSession, raw: RawInputs, out: str, params: dict | None = None) -> dict[str, object]:
+    """Raw files -> bronze -> silver -> model -> gold, each stage reading the
+    table the previous one wrote."""
+    result: dict[str, object] = {"bronze": bronze_job(spark, raw, out)}
+    b = bronze_from_paths(spark, out)
+    result["silver_rows"] = silver_job(spark, b, out)
+    silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
+    result["model_metrics"] = model_job(spark, silver, out, params=params).first().asDict()
+    predictions = spark.read.parquet(f"{out}/gold/risk_predictions")
+    level = S.news_summary(b).select("news_risk_level").scalar()
+    result["gold"] = gold_job(spark, silver, predictions, level, out)
+    return result
+
+
 def main(argv: list[str] | None = None) -> None:
     from chainsight.session import local_session
 
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("--test-tables", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--test-tables", help="folder of the shared test tables")
+    p.add_argument("--shipping-csv")
+    p.add_argument("--storm-csv", nargs="+")
+    p.add_argument("--news-dir")
+    p.add_argument("--prices-dir")
+    p.add_argument("--country-scores-csv")
+    p.add_argument("--suppliers")
+    p.add_argument("--suppliers-fmt", default="parquet")
     args = p.parse_args(argv)
     spark = local_session()
-    print(run_on_test_tables(spark, args.test_tables, args.out))
+    if args.test_tables:
+        print(run_on_test_tables(spark, args.test_tables, args.out))
+        return
+    raw = RawInputs(shipping_csv=args.shipping_csv, storm_csv=args.storm_csv, news_dir=args.news_dir,
+                    prices_dir=args.prices_dir, country_scores_csv=args.country_scores_csv,
+                    suppliers=args.suppliers, suppliers_fmt=args.suppliers_fmt)
+    print(run_on_raw_files(spark, raw, args.out))
 
 
 if __name__ == "__main__":

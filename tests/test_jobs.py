@@ -67,7 +67,7 @@ def _raw_inputs(root):
     return root
 
 
-def test_bronze_then_silver_from_raw_files(spark, tmp_dir):
+def test_raw_files_through_all_jobs(spark, tmp_dir):
     root = _raw_inputs(os.path.join(tmp_dir, "raw"))
     sup_path = os.path.join(root, "suppliers")
     rows = [(f"SUP-{i:06d}", f"S{i}", "USA", "USA", "NA", "Retail", 1 + i % 3, 10 + i, 1.0, 70.0 + i, 50.0, None,
@@ -78,11 +78,11 @@ def test_bronze_then_silver_from_raw_files(spark, tmp_dir):
                        prices_dir=os.path.join(root, "prices"), country_scores_csv=os.path.join(root, "lpi.csv"),
                        suppliers=sup_path)
     out = os.path.join(tmp_dir, "out")
-    counts = JB.bronze_job(spark, raw, out)
-    assert counts == {"shipping_events": 60, "weather_events": 3, "news_disruptions": 2, "commodity_prices": 2,
-                      "supplier_risk": 2, "supplier_master": 5}
-    bronze = JB.bronze_from_paths(spark, out)
-    assert JB.silver_job(spark, bronze, out) == 60
+    result = JB.run_on_raw_files(spark, raw, out, params={"maxIter": 5})
+    assert result["bronze"] == {"shipping_events": 60, "weather_events": 3, "news_disruptions": 2,
+                                "commodity_prices": 2, "supplier_risk": 2, "supplier_master": 5}
+    assert result["silver_rows"] == 60
+    assert set(result["gold"]) == {"market_dashboard", "route_risk", "supplier_leaderboard", "kpi_summary"}
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     by_country = {r.order_country: r for r in silver.select("order_country", "lpi_score", "logistics_risk_tier",
                                                             "supplier_risk_flag", "commodity_shock_flag",
