@@ -73,3 +73,19 @@ def test_hot_key_holding_a_third_of_rows(spark):
     titles = fact.select(F.col("market").alias("title"), F.col("order_id").alias("feed_order"))
     firsts = {r.title: r.feed_order for r in first_per_key(titles, ["title"], ["feed_order"]).collect()}
     assert firsts["HOT"] == 0
+
+
+def test_quality_reports_on_empty_input(spark):
+    """Q1/Q3 on no rows: counts 0, percentages NULL (no ANSI division error)."""
+    from chainsight.operators import quality as Q
+
+    empty = spark.createDataFrame([], "order_id long, delivery_status string, order_date date, "
+                                      "late_delivery_risk int")
+    r = Q.shipping_check(empty).first()
+    assert (r.total_rows, r.late_rows, r.late_pct, r.on_time_pct) == (0, 0, None, None)
+    empty_silver = spark.createDataFrame([], "is_delayed int, supplier_risk_flag int, commodity_shock_flag int")
+    s = Q.silver_check(empty_silver).first()
+    assert (s.total_rows, s.delayed_pct, s.shock_pct) == (0, None, None)
+    k = G.kpi_totals(empty_silver.withColumn("sales", F.lit(1.0)).withColumn("order_profit", F.lit(1.0))
+                     .withColumn("delay_days", F.lit(1))).first()
+    assert (k.total_orders, k.delay_rate_pct, k.avg_delay_days) == (0, None, None)
