@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,13 +67,16 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")) \
         .where("lang IS NOT NULL AND text IS NOT NULL")
 
+    letter_table()  # goes to the tasks as it is
+
     def count(batches):
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def report():
             for lang, (codes, counts) in held.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(codes)), pa.array(codes.view(np.int64)), pa.array(counts)],
+                    [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64), pa.int64()),
+                     pa.array(counts, pa.int64())],
                     names=["lang", "code", "n"])
             held.clear()
 
@@ -119,6 +121,7 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 def classify_column(text: Column, model: dict[str, list[int]], size: int = SIZE) -> Column:
     """struct(lang_pred, score) of a text column."""
     langs = sorted(model)
+    letter_table()  # goes to the tasks as it is
     codes = np.unique(np.array([c for l in langs for c in model[l]], np.int64)).astype(np.uint64)
     place = np.full((len(codes) + 1, len(langs)), size, np.int32)  # the last row: in no profile
     for j, lang in enumerate(langs):
@@ -136,10 +139,13 @@ def classify_column(text: Column, model: dict[str, list[int]], size: int = SIZE)
         best = int(apart.argmin())
         return langs[best], 1.0 - float(apart[best]) / (size * len(own))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score"])
+            found = [one(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=["lang_pred", "score"])
     return run(text)
 
 

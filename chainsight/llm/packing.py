@@ -30,7 +30,7 @@ from .common import materialize
 
 CAPACITY = 4096
 END = 1                 # id that ends every document
-PER_TASK = 50_000       # pieces that one task packs
+PER_TASK = 100_000      # pieces that one task packs
 NEARLY_FULL = 0.99
 ROUNDS = 8
 KNOWN = 500_000         # words whose ids a worker remembers
@@ -54,56 +54,55 @@ def worker_state(key: str) -> dict:
     return holder.__dict__.setdefault(key, {})
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of whole texts, equal to the tokenizer's.
 
-    The tokenizer never merges across white space, so ids are remembered for
-    each white-space-separated part.  Texts that hold one of the few control
-    characters on whose being white space Python and the tokenizer disagree
-    are encoded whole."""
-
-    ODD = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
+    The tokenizer never merges across white space, nor across the border of a
+    run of letters, so this remembers the ids of every white-space-separated
+    part, and those of the runs of letters in them.  Texts that hold one of the
+    few control characters on whose being white space Python and the tokenizer
+    disagree are encoded whole."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(text)
-        self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.signs = {c: self.raw(c) for c in ",."}
 
     def raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, word: str) -> bytes:
-        """Ids of a run of ASCII letters, whatever its case (the tokenizer lower-cases)."""
-        word = word.lower()
+        """Ids of a run of letters."""
+        plain = word.isascii()
+        if plain:  # the tokenizer lower-cases, and knows ASCII letters as they are
+            word = word.lower()
         found = self.words.get(word)
         if found is None:
             if len(self.words) > KNOWN:
                 self.words.clear()
-            found = self.words[word] = self.raw(word)
+            found = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes() if plain \
+                else self.raw(word)
+            self.words[word] = found
         return found
 
-    def part(self, part: str) -> bytes:
-        if part.isascii():
-            if part.isalpha():
-                return self.word(part)
-            if part[-1] in ",." and part[:-1].isalpha():  # a letter run and a sign: two words to the tokenizer
-                return self.word(part[:-1]) + self.word(part[-1])
-        return self.raw(part)
+    def __missing__(self, part: str) -> bytes:
+        sign = self.signs.get(part[-1])
+        core = part if sign is None else part[:-1]
+        if not core.isalpha():
+            found = self.raw(part)
+        else:
+            found = self.word(core) if sign is None else self.word(core) + sign
+        self[part] = found
+        return found
 
     def encode(self, text: str) -> bytes:
-        if text.translate(self.ODD) != text:
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             return self.raw(text)
-        parts = text.split()
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            for p in set(parts).difference(known):
-                known[p] = self.part(p)
-        return b"".join([known[p] for p in parts])
+        if len(self) > KNOWN:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def pieces_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

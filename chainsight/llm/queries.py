@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, secret_scan, simhash
+from . import ann, decontaminate, langid, licenses, packing, pii, secret_scan, sharding, simhash, toxicity
 from .common import read_table, spans_text
 
 
@@ -30,6 +30,46 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", is_held_out(3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *[count(k) for k in pii.BASE],
+        F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"))
+
+
+def op5_byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards of near-equal bytes."""
+    rows = sharding.shard_by_bytes(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
+    return rows.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed licence paragraphs of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = licenses.scan_licences(docs, licenses.train(docs))
+    each = F.transform("licences", lambda x: F.concat_ws(":", x["family"], x["start"], x["end"]))
+    families = F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["family"])))
+    return found.select(
+        "doc_id", F.size("licences").cast("long").alias("n_licences"), F.array_join(families, ",").alias("families"),
+        F.array_max(F.transform("licences", lambda x: x["probability"])).alias("probability"),
+        F.array_join(each, ",").alias("spans"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, max_bits=3)
@@ -59,12 +99,40 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels only from those whose crc32 mod 5 isn't 0."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~is_held_out(5, 0))
+    model = toxicity.train(docs.where(~is_held_out(5, 0)), labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", is_held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_personal_data": op4_personal_data,
+    "op5_byte_sharding": op5_byte_sharding,
+    "op6_license_scan": op6_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_nearest_neighbours": """
+        WITH v AS (
+          SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x <> 0)) > 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+        r AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+          FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}

@@ -34,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -78,11 +77,11 @@ def fingerprint(text: str | None, words: int) -> int:
 
 def fingerprint_column(text: Column, words: int = 3) -> Column:
     """Fingerprint of a text column as a (signed) long."""
-    @F.pandas_udf("long")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [fingerprint(t, words) for t in texts]
-            yield pd.Series(np.array(found, np.uint64).view(np.int64))
+            found = [fingerprint(t.as_py(), words) for t in texts]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
     return run(text)
 
 
