@@ -416,4 +416,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     heads = label_components(skinny, max_bits).select("fingerprint", "head")
     copies = materialize(skinny.join(heads, "fingerprint").where("row <> head")
                          .select(F.col("row").alias("_simhash_row")))
-    return rows.join(copies, "_simhash_row", "left_anti").drop("_simhash_code", "_simhash_row")
+    # a merge join at every size, rather than a broadcast while there are few copies
+    return rows.join(copies.hint("merge"), "_simhash_row", "left_anti").drop("_simhash_code", "_simhash_row")
