@@ -8,7 +8,6 @@ functions/  row-level Column expressions (features, encodings, defaults)
 operators/  DataFrame -> DataFrame operators (joins, aggregates, windows,
             top-k, set ops, quality reports, ML)
 plans/      the bronze / silver / gold jobs and the query catalogue
-streaming/  (empty: the batch pipeline has no streaming stage)
 """
 
 __version__ = "0.1.0"

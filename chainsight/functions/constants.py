@@ -71,7 +71,10 @@ SUPPLIER_MIN_ORDERS = 10
 SUPPLIER_PREVIEW_MIN_ORDERS = 50
 TOP_K = 10
 LATEST_PRICES_K = 20
-NEWS_SUMMARY_CHARS = 500
+
+# --- FIXED VALUES: edition of the country logistics scores ---
+SCORE_YEAR = 2023
+SCORE_SOURCE = "World Bank LPI 2023"
 
 # --- FIXED VALUES: null defaults ---
 # after the storm join

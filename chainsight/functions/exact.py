@@ -2,11 +2,10 @@
 
 A double sum depends on the order rows arrive in, which changes with the
 partitioning; rounding such a sum (or a mean built on it) to 1-2 places can
-then flip the last digit between runs and engines.  These helpers sum integers
-(flags, day counts, or values scaled to whole cents / tenths), divide once per
-group in decimal and round half-up, so a mart's numbers are the same on any
-cluster layout.  Integer sums are plain ``long`` aggregates (fast path, with
-map-side partial aggregation); only the one division per group is decimal.
+then flip the last digit between runs and engines.  These helpers sum whole
+numbers as ``long`` and other numbers as ``decimal(38,10)``, without rounding a
+value first, divide once per group in decimal and round half-up once, so a
+mart's numbers are the same on any cluster layout.
 """
 
 from __future__ import annotations
@@ -14,47 +13,46 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Ten decimals of a value are summed: all that scores, prices and profits carry.
+VALUE = "decimal(28,10)"
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def scaled_long(col: str | Column, value_scale: int = 0) -> Column:
-    """The value times ``10**value_scale`` as a whole number."""
-    c = _c(col)
-    if value_scale == 0:
-        return c.cast("long")
-    return F.round(c * (10 ** value_scale)).cast("long")
+def _rounded(num: Column, den: Column, places: int, as_double: bool) -> Column:
+    q = F.round(F.try_divide(num, den.cast("decimal(20,0)")), places)
+    return q.cast("double") if as_double else q
 
 
 def exact_ratio(num: Column, den: Column, places: int, as_double: bool = True) -> Column:
-    """``round(num / den, places)`` half-up in decimal; NULL when ``den`` is 0.
+    """``round(num / den, places)`` of whole numbers, half-up in decimal; NULL when
+    ``den`` is 0.
 
     ``as_double=False`` keeps the decimal, whose text form has exactly
     ``places`` digits (used for the KPI strings).
     """
-    q = F.round(F.try_divide(num.cast("decimal(20,0)"), den.cast("decimal(20,0)")), places)
-    return q.cast("double") if as_double else q
+    return _rounded(num.cast("decimal(20,0)"), den, places, as_double)
 
 
-def exact_mean(col: str | Column, places: int, value_scale: int = 0, times: int = 1) -> Column:
-    """``round(avg(col) * times, places)`` computed exactly.
+def exact_mean(col: str | Column, places: int, times: int = 1) -> Column:
+    """``round(avg(col) * times, places)`` of whole numbers; NULLs are skipped, like avg."""
+    c = _c(col)
+    num = F.sum(c.cast("long"))
+    return exact_ratio(num * times if times != 1 else num, F.count(c), places)
 
-    ``value_scale`` is the number of decimals the values carry (0 for ints,
-    1 for scores like 3.4, 2 for money).  NULL values are skipped, like avg.
-    """
+
+def decimal_mean(col: str | Column, places: int) -> Column:
+    """``round(avg(col), places)`` of any numbers; NULLs are skipped, like avg."""
     c = _c(col)
-    num = F.sum(scaled_long(c, value_scale))
-    if times != 1:
-        num = num * times
-    den = F.count(c) * (10 ** value_scale)
-    return exact_ratio(num, den, places)
+    return _rounded(F.sum(c.cast(VALUE)), F.count(c), places, True)
 
 
-def exact_sum(col: str | Column, places: int, value_scale: int = 2, as_double: bool = True) -> Column:
-    """``round(sum(col), places)`` summed in whole units of ``10**-value_scale``."""
-    num = F.sum(scaled_long(col, value_scale))
-    return exact_ratio(num, F.lit(10 ** value_scale), places, as_double)
+def exact_sum(col: str | Column, places: int, as_double: bool = True) -> Column:
+    """``round(sum(col), places)`` of any numbers."""
+    q = F.round(F.sum(_c(col).cast(VALUE)), places)
+    return q.cast("double") if as_double else q
 
 
 def exact_pct(flag_count: Column, total: Column, places: int = 1) -> Column:
@@ -62,32 +60,12 @@ def exact_pct(flag_count: Column, total: Column, places: int = 1) -> Column:
     return exact_ratio(flag_count * 100, total, places)
 
 
-_DEC = "decimal(38,0)"
-
+def ratio(num: Column, den: Column) -> Column:
+    """``num / den`` of non-negative whole numbers with ``num <= den``, to 18 decimals;
+    NULL when ``den`` is 0."""
+    return F.try_divide(num.cast("decimal(20,0)"), den.cast("decimal(20,0)")).cast("decimal(19,18)")
 
-def floor_div(a: Column, b: Column) -> Column:
-    """Exact floor division of non-negative decimals (``a - a mod b`` divides evenly)."""
-    return ((a - F.pmod(a, b)) / b).cast(_DEC)
 
-
-def half_up_text(num: Column, den: Column, places: int) -> Column:
-    """``num / den`` rounded half away from zero to ``places`` decimals, as text.
-
-    Exact in 38-digit integers; if those would overflow (numbers far beyond
-    any table here) the double value is formatted instead.  NULL for a zero
-    denominator.
-    """
-    scale = 10 ** places
-    n, d = num.cast(_DEC), den.cast(_DEC)
-    mag = F.abs(n)
-    top = F.try_add(F.try_multiply(mag, F.lit(2 * scale).cast(_DEC)), d)
-    k = floor_div(top, d * 2)
-    sign = F.when((n < 0) & (k > 0), F.lit("-")).otherwise(F.lit(""))
-    if places == 0:
-        body = k.cast("long").cast("string")
-    else:
-        body = F.format_string(f"%d.%0{places}d", floor_div(k, F.lit(scale).cast(_DEC)).cast("long"),
-                               F.pmod(k, F.lit(scale).cast(_DEC)).cast("long"))
-    exact = F.concat(sign, body)
-    approx = F.format_string(f"%.{places}f", n.cast("double") / d.cast("double"))
-    return F.when(d != 0, F.coalesce(exact, approx))
+def text(value: Column, places: int) -> Column:
+    """A decimal rounded half-up, as text with exactly ``places`` decimals."""
+    return F.round(value, places).cast("string")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
-from chainsight.functions.exact import exact_mean, exact_ratio, exact_sum, half_up_text, scaled_long
+from chainsight.functions.exact import decimal_mean, exact_mean, exact_ratio, exact_sum
 
 
 # Silver columns each mart reads (lets a caller build only those).
@@ -73,8 +73,8 @@ def kpi_totals(silver: DataFrame, as_double: bool = True) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if(F.col("is_delayed") == 1).alias("delayed_orders"),
         exact_ratio(F.count_if(F.col("is_delayed") == 1) * 100, F.count(F.lit(1)), 1, as_double).alias("delay_rate_pct"),
-        exact_sum("sales", 0, 2, as_double).alias("total_sales_usd"),
-        exact_sum("order_profit", 0, 2, as_double).alias("total_profit_usd"),
+        exact_sum("sales", 0, as_double).alias("total_sales_usd"),
+        exact_sum("order_profit", 0, as_double).alias("total_profit_usd"),
         exact_ratio(F.sum(F.col("delay_days").cast("long")), F.count("delay_days"), 2, as_double).alias("avg_delay_days"),
     )
 
@@ -87,8 +87,8 @@ def market_kpi(silver: DataFrame) -> DataFrame:
                  delay_pct().alias("delay_rate_pct"),
                  exact_mean("delay_days", 2).alias("avg_delay_days"),
                  exact_sum("sales", 0).alias("total_sales_usd"),
-                 exact_mean("lpi_score", 2, value_scale=1).alias("avg_lpi_score"),
-                 exact_mean("weather_risk_score", 2, value_scale=2).alias("avg_weather_risk"))
+                 decimal_mean("lpi_score", 2).alias("avg_lpi_score"),
+                 decimal_mean("weather_risk_score", 2).alias("avg_weather_risk"))
             .orderBy(F.col("delay_rate_pct").desc(), "market"))
 
 
@@ -114,8 +114,8 @@ def route_risk(silver: DataFrame, min_orders: int = K.ROUTE_MIN_ORDERS) -> DataF
               .agg(F.count("order_id").alias("order_count"),
                    delay_pct().alias("delay_rate_pct"),
                    exact_mean("delay_days", 2).alias("avg_delay_days"),
-                   exact_mean("lpi_score", 2, value_scale=1).alias("avg_lpi_score"),
-                   exact_mean("weather_risk_score", 2, value_scale=2).alias("avg_weather_risk"))
+                   decimal_mean("lpi_score", 2).alias("avg_lpi_score"),
+                   decimal_mean("weather_risk_score", 2).alias("avg_weather_risk"))
               .where(F.col("order_count") >= min_orders))
     w = Window.orderBy(F.col("delay_rate_pct").desc(), F.col("order_count").desc())
     return routes.withColumn("risk_rank", F.rank().over(w))
@@ -130,8 +130,8 @@ def supplier_leaderboard(silver: DataFrame, min_orders: int = K.SUPPLIER_MIN_ORD
             .agg(F.count("order_id").alias("order_count"),
                  delay_pct().alias("delay_rate_pct"),
                  exact_mean("delay_days", 2).alias("avg_delay_days"),
-                 exact_mean("supplier_quality_score", 2, value_scale=2).alias("quality_score"),
-                 exact_mean("supplier_esg_score", 2, value_scale=2).alias("esg_score"),
+                 decimal_mean("supplier_quality_score", 2).alias("quality_score"),
+                 decimal_mean("supplier_esg_score", 2).alias("esg_score"),
                  exact_mean("lead_time_days", 1).alias("avg_lead_time"),
                  exact_sum("sales", 0).alias("total_sales"))
             .where(F.col("order_count") >= min_orders))
@@ -142,7 +142,7 @@ def supplier_preview(silver: DataFrame, min_orders: int = K.SUPPLIER_PREVIEW_MIN
     return (silver.groupBy(*SUPPLIER_GROUP)
             .agg(F.count("order_id").alias("orders"),
                  delay_pct().alias("delay_rate_pct"),
-                 exact_mean("supplier_quality_score", 1, value_scale=2).alias("quality"))
+                 decimal_mean("supplier_quality_score", 1).alias("quality"))
             .where(F.col("orders") >= min_orders))
 
 
@@ -153,7 +153,7 @@ def mode_performance(silver: DataFrame) -> DataFrame:
                  delay_pct().alias("delay_rate_pct"),
                  exact_mean("delay_days", 2).alias("avg_delay_days"),
                  exact_sum("sales", 0).alias("total_sales"),
-                 exact_mean("order_profit", 2, value_scale=2).alias("avg_profit"))
+                 decimal_mean("order_profit", 2).alias("avg_profit"))
             .orderBy(F.col("delay_rate_pct").desc(), "shipping_mode"))
 
 
@@ -181,10 +181,11 @@ def news_level_summary(scored_news: DataFrame, score_col: str = "news_risk_score
 # F11 / T4 -------------------------------------------------------------------
 def latest_by_series(prices: DataFrame, series_col: str = "metric_name",
                      above: float = K.COMMODITY_SHOCK_ABOVE) -> DataFrame:
-    """Latest observation per series (``max_by``, no sort) and its shock flag."""
-    return (prices.groupBy(series_col)
+    """Latest observation per series (``max_by``, no sort; of one date's several values
+    the largest) and its shock flag.  Rows without a value are no observations."""
+    return (prices.where(F.col("value").isNotNull()).groupBy(series_col)
             .agg(F.max("date").alias("latest_date"),
-                 F.max_by("value", "date").alias("latest_value"),
+                 F.max_by("value", F.struct("date", "value")).alias("latest_value"),
                  F.count(F.lit(1)).alias("observations"))
             .withColumn("shock_flag", FX.shock_flag("latest_value", above)))
 
@@ -193,7 +194,7 @@ def commodity_shock(prices: DataFrame, metric: str = K.OIL_METRIC,
                     above: float = K.COMMODITY_SHOCK_ABOVE) -> DataFrame:
     """One row with the latest price of ``metric`` and the shock flag; no rows -> flag 0."""
     latest = (prices.where((F.col("metric_name") == metric) & F.col("value").isNotNull())
-              .agg(F.max_by("value", "date").alias("latest_price")))
+              .agg(F.max_by("value", F.struct("date", "value")).alias("latest_price")))
     return latest.withColumn("commodity_shock_flag", FX.shock_flag("latest_price", above))
 
 
@@ -204,25 +205,14 @@ def kpi_summary(silver: DataFrame, model_metrics: DataFrame, news_level: Column,
 
     Totals are one aggregate pass; ``model_metrics`` is a one-row frame with
     the text columns ``model_auc``, ``model_accuracy``, ``model_f1``;
-    ``news_level`` is a scalar column.  Numbers are rounded half-up from exact
-    integer fractions before they become text.
+    ``news_level`` is a scalar column.  Numbers are rounded half-up in decimal
+    before they become text.
     """
-    delayed = F.count_if(F.col("is_delayed") == 1)
-    totals = silver.agg(
-        F.count(F.lit(1)).alias("_n"), delayed.alias("_delayed"),
-        F.sum(scaled_long("sales", 2)).alias("_sales_cents"),
-        F.sum(scaled_long("order_profit", 2)).alias("_profit_cents"),
-        F.sum(F.col("delay_days").cast("long")).alias("_delay_sum"), F.count("delay_days").alias("_delay_n"))
+    totals = kpi_totals(silver, as_double=False)
+    metrics = model_metrics.select(F.struct("model_auc", "model_accuracy", "model_f1")).scalar()
     row = totals.select(
-        F.col("_n").cast("string").alias("total_orders"),
-        F.col("_delayed").cast("string").alias("delayed_orders"),
-        half_up_text(F.col("_delayed") * 100, F.col("_n"), 1).alias("delay_rate_pct"),
-        half_up_text(F.col("_sales_cents"), F.lit(100), 0).alias("total_sales_usd"),
-        half_up_text(F.col("_profit_cents"), F.lit(100), 0).alias("total_profit_usd"),
-        half_up_text(F.col("_delay_sum"), F.col("_delay_n"), 2).alias("avg_delay_days"),
-        model_metrics.select("model_auc").scalar().alias("model_auc"),
-        model_metrics.select("model_accuracy").scalar().alias("model_accuracy"),
-        model_metrics.select("model_f1").scalar().alias("model_f1"),
+        *[F.col(c).cast("string").alias(c) for c in totals.columns],
+        *[metrics.getField(c).alias(c) for c in ("model_auc", "model_accuracy", "model_f1")],
         news_level.alias("news_risk_level"),
         F.lit(pipeline_version).alias("pipeline_version"),
     )

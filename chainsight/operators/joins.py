@@ -3,9 +3,9 @@
 All joins are left outer equi-joins from the order-line fact, so the fact's
 row count is kept whenever the right key is unique.
 
-Broadcast policy: a dimension is broadcast only after its row count was
-checked against a bound (``broadcast_if_bounded``).  Above the bound the join
-is left to the planner as a shuffle join, with AQE splitting skewed fact
+The joins carry no hints: Spark measures each dimension, and each aggregated
+side, in bytes while the query runs (AQE), broadcasts it where it is under the
+session's threshold, and otherwise shuffles both sides and splits skewed fact
 partitions.  Global scalars (J5) are attached as scalar subqueries, so nothing
 goes through the driver and no cross join is planned.
 """
@@ -14,54 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
-from chainsight.functions.exact import exact_mean
-
-# Upper bound on rows of a side we are willing to ship to every executor.
-# The broadcast sides here are narrow (at most 10 columns): 1M rows is a few
-# tens of MB, well under executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                         materialize: bool = False) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check is ``limit(max_rows + 1).count()``, which stops early on large
-    inputs.  ``materialize=True`` persists an aggregated side first, so the
-    check and the join read the same computed rows instead of aggregating the
-    fact twice.
-    """
-    if materialize:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    if materialize:
-        df.unpersist()  # too large to keep around: the shuffle join recomputes it once
-    return df
-
-
-def broadcast_all_if_bounded(sides: dict[str, tuple[DataFrame, bool]],
-                             max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
-    """``broadcast_if_bounded`` for several independent sides at once.
-
-    ``sides`` maps a name to ``(frame, materialize)``.  The size checks are
-    small independent jobs; they are submitted together from driver threads
-    (the scheduler runs them side by side) instead of one after another.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    if not sides:
-        return {}
-    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
-        futures = {name: pool.submit(broadcast_if_bounded, df, max_rows, mat) for name, (df, mat) in sides.items()}
-        return {name: f.result() for name, f in futures.items()}
+from chainsight.functions.exact import exact_mean, exact_ratio
 
 
 # J1 -------------------------------------------------------------------------
@@ -91,19 +49,16 @@ def supplier_range(keyed: DataFrame) -> tuple[Column, Column]:
     return rng.getField("low"), rng.getField("span")
 
 
-def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
+def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id") -> DataFrame:
     """Give every order line a supplier by ``pmod(order_id, span) + min``.
 
     Supplier columns already on the fact are replaced (drop-if-present).
-    ``checked`` is ``supplier_keyed(suppliers)`` already through the size check.
     """
     keyed = supplier_keyed(suppliers)
     low, span = supplier_range(keyed)
     fact = fact.drop(*[c for c in SUPPLIER_COLUMNS.values() if c in fact.columns])
     fact = fact.withColumn("_supplier_join_key", FX.supplier_assignment(order_col, low, span))
-    dim = checked if checked is not None else broadcast_if_bounded(keyed, max_rows)
-    out = fact.join(dim, fact["_supplier_join_key"] == dim["sup_key"], "left")
+    out = fact.join(keyed, fact["_supplier_join_key"] == keyed["sup_key"], "left")
     return out.drop("_supplier_join_key", "sup_key")
 
 
@@ -115,11 +70,10 @@ def country_side(scores: DataFrame) -> DataFrame:
     )
 
 
-def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country",
-                        max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
+def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country") -> DataFrame:
     """Order country -> logistics scores on trimmed, case-sensitive names,
     then F5 from the order country's tier (before any default is filled)."""
-    dim = checked if checked is not None else broadcast_if_bounded(country_side(scores), max_rows)
+    dim = country_side(scores)
     out = fact.join(dim, FX.clean_key(country_col) == dim["_lpi_country"], "left").drop("_lpi_country")
     return out.withColumn("supplier_risk_flag", FX.supplier_risk_flag("logistics_risk_tier"))
 
@@ -133,11 +87,9 @@ def storm_stats_by_state(weather: DataFrame) -> DataFrame:
                  F.count_if(F.col("severity_score") >= K.SEVERE_STORM_AT).alias("high_critical_storm_count")))
 
 
-def join_weather(fact: DataFrame, weather: DataFrame, state_col: str = "customer_state",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, checked: DataFrame | None = None) -> DataFrame:
+def join_weather(fact: DataFrame, weather: DataFrame, state_col: str = "customer_state") -> DataFrame:
     """J3 + N1: customer state -> storm statistics; misses take the defaults."""
-    stats = checked if checked is not None else \
-        broadcast_if_bounded(storm_stats_by_state(weather), max_rows, materialize=True)
+    stats = storm_stats_by_state(weather)
     out = fact.join(stats, FX.clean_upper_key(state_col) == stats["state_key"], "left").drop("state_key")
     return out.fillna(K.WEATHER_DEFAULTS)
 
@@ -165,19 +117,15 @@ def route_side(source: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame
 
 
 def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
-                     max_rows: int = DEFAULT_BROADCAST_ROWS, source: DataFrame | None = None,
-                     checked: DataFrame | None = None) -> DataFrame:
+                     source: DataFrame | None = None) -> DataFrame:
     """Attach each line's route statistics.
 
     NULL in any key does not match (SQL equality), so such lines keep NULL
-    here and take the silver defaults later.  The statistics are one row per
-    route; when that count is bounded they are broadcast back and the fact is
-    never shuffled.  ``source`` (default: ``fact``) is the frame the statistics
-    are computed from; passing the lines before enrichment keeps dimension
-    joins out of the aggregate branch.
+    here and take the silver defaults later.  ``source`` (default: ``fact``) is the
+    frame the statistics are computed from; passing the lines before enrichment
+    keeps dimension joins out of the aggregate branch.
     """
-    stats = checked if checked is not None else \
-        broadcast_if_bounded(route_side(fact if source is None else source, keys), max_rows, materialize=True)
+    stats = route_side(fact if source is None else source, keys)
     cond = None
     for k in keys:
         c = fact[k] == stats[f"_r_{k}"]
@@ -192,13 +140,12 @@ def route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS, salts:
     A per-line ``avg().over(partitionBy(route))`` would put every line of a
     route in one task, so a route holding a third of all lines would hold a
     third of the table in one task.  Here lines are first reduced to at most
-    ``salts`` partial rows per route (partial sums keyed by a hash of the
-    line), and the windows run over those; the result equals ``route_stats``
-    (NULL keys form their own routes, as in ``groupBy``).
+    ``salts`` partial rows per route (partial sums keyed by a hash of the order
+    id), and the windows run over those; the result equals ``route_stats``
+    (NULL keys form their own routes, as in ``groupBy``).  ``salts`` bounds the
+    rows of a route that meet in one task, and loses none.
     """
-    from pyspark.sql import Window
-
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
+    salt = F.pmod(F.xxhash64("order_id"), F.lit(salts))
     part = (fact.groupBy(*keys, salt.alias("_salt"))
             .agg(F.sum("is_delayed").alias("_d"), F.count("is_delayed").alias("_dn"),
                  F.sum("delay_days").alias("_s"), F.count("delay_days").alias("_sn"),
@@ -222,12 +169,15 @@ def attach_scalars(fact: DataFrame, **scalars: Column) -> DataFrame:
 
 
 # J6 -------------------------------------------------------------------------
-def join_coverage(df: DataFrame, matched_col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Total rows, rows where ``matched_col`` is set, and the matched percent."""
-    aggs = [F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(F.col(matched_col).isNotNull()).alias("matched_rows")]
-    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return out.withColumn(
-        "matched_pct",
-        F.round(F.try_divide(F.col("matched_rows").cast("decimal(20,0)") * 100,
-                             F.col("total_rows").cast("decimal(20,0)")), 1).cast("double"))
+def join_coverage(df: DataFrame, matched: dict[str, str]) -> DataFrame:
+    """For each named join, total rows, rows where its column is set, and the
+    matched percent, from one pass.  ``matched`` maps a join's name to its column."""
+    counts = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count(c).alias(f"_m{i}") for i, c in enumerate(matched.values())])
+    pairs = ", ".join(f"'{name}', _total, _m{i}" for i, name in enumerate(matched))
+    out = counts.selectExpr(f"stack({len(matched)}, {pairs}) as (join_name, total_rows, matched_rows)")
+    return out.withColumn("matched_pct", exact_ratio(F.col("matched_rows") * 100, F.col("total_rows"), 1))
+
+
+def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once on a side that must be unique (NULL never matches)."""
+    return dim.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")

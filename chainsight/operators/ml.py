@@ -28,12 +28,12 @@ from pyspark.sql import types as T
 
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
-from chainsight.functions.exact import exact_ratio, half_up_text
+from chainsight.functions.exact import ratio, text
 from chainsight.session import ensure_checkpoint_dir
 
 INDEXED = {"shipping_mode": "shipping_mode_idx", "market": "market_idx"}
-# ~16 numeric columns per row: 1M rows is roughly 100 MB per training partition.
-TRAINING_ROWS_PER_PARTITION = 1_000_000
+# An order line's key: the split of every caller hashes it, and nothing else.
+LINE_KEY = ("order_id", "line_number")
 
 
 # F12, F13, N3, F19 ----------------------------------------------------------
@@ -54,22 +54,24 @@ def model_frame(silver: DataFrame) -> DataFrame:
 
 
 # M4 -------------------------------------------------------------------------
-def split_flag(cols: Sequence[str], train_percent: int = K.TRAIN_PERCENT, seed: int = 42) -> Column:
-    """True for training rows: a hash of the row's content, so the split does
-    not depend on partitioning or row order (``randomSplit`` does); identical
-    rows land on the same side."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(100)) < train_percent
+def split_flag(cols: Sequence[str] = LINE_KEY, train_percent: int = K.TRAIN_PERCENT) -> Column:
+    """True for training rows: the first 32 bits of the MD5 of the key's text, modulo
+    100, so the split does not depend on partitioning, row order or engine
+    (``randomSplit`` does); rows of one key land on the same side.  NULL parts of the
+    key are left out."""
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 100 < train_percent
 
 
-def train_test_split(df: DataFrame, cols: Sequence[str], train_percent: int = K.TRAIN_PERCENT,
+def train_test_split(df: DataFrame, cols: Sequence[str] = LINE_KEY, train_percent: int = K.TRAIN_PERCENT,
                      seed: int = 42, method: str = "hash") -> tuple[DataFrame, DataFrame]:
-    """80/20 split.  ``method="hash"`` (default) is the content-hash split;
-    ``method="random"`` is ``randomSplit`` with the same seed, whose rows
+    """80/20 split.  ``method="hash"`` (default) is the key-hash split;
+    ``method="random"`` is ``randomSplit`` with a seed, whose rows
     depend on partitioning and row order (so it differs across layouts)."""
     if method == "random":
         train, test = df.randomSplit([train_percent / 100, 1 - train_percent / 100], seed=seed)
         return train, test
-    flag = split_flag(cols, train_percent, seed)
+    flag = split_flag(cols, train_percent)
     return df.where(flag), df.where(~flag)
 
 
@@ -109,39 +111,23 @@ def risk_pipeline(features: Sequence[str] = K.FEATURE_COLS, params: dict | None
 
 # M6 -------------------------------------------------------------------------
 def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATURE_COLS,
-        params: dict | None = None) -> PipelineModel:
-    """Fit the pipeline on a persisted copy of the training rows' used columns."""
+        params: dict | None = None, partitions: int | None = None) -> PipelineModel:
+    """Fit the pipeline on a persisted copy of the training rows' used columns.
+
+    Each boosting level is one pass with one task per partition, 250 and more passes
+    in all: ``partitions`` (default: as the input comes) deals the rows out once, one
+    to three for each task slot of the cluster being a good number.
+    """
     has_ckpt = ensure_checkpoint_dir(spark) is not None
     cols = sorted(set(features) - set(INDEXED.values()) | set(INDEXED) | {"label"})
-    data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = data.count()
-    # Each boosting level is one pass with one task per partition, 250+ passes
-    # in all: size partitions to the data once.  Fewer partitions than task
-    # slots leave cores idle (spread with one shuffle); many tiny partitions
-    # (a 200-partition shuffle of a small table) make every pass pay for
-    # hundreds of near-empty tasks (merge them, no shuffle).
-    slots = spark.sparkContext.defaultParallelism
-    current = data.rdd.getNumPartitions()
-    target = max(slots, min(current, -(-rows // TRAINING_ROWS_PER_PARTITION)))
-    if target != current:
-        sized = (data.coalesce(target) if target < current else data.repartition(target))
-        sized = sized.persist(StorageLevel.MEMORY_AND_DISK)
-        sized.count()
-        data.unpersist()
-        data = sized
+    data = train.select(*cols)
+    data = (data.repartition(partitions) if partitions else data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return risk_pipeline(features, params, checkpoint=has_ckpt).fit(data)
     finally:
         data.unpersist()
 
 
-PREDICTION_COLUMNS = [
-    "order_id", "order_country", "order_region", "market", "shipping_mode", "delay_days", "is_delayed",
-    "actual_risk", "predicted_risk", "probability", "late_probability", "supplier_risk_flag",
-    "weather_risk_score", "lpi_score", "news_risk_level", "route_delay_rate",
-]
-
-
 # M11 ------------------------------------------------------------------------
 def predictions_table(model: PipelineModel, test: DataFrame) -> DataFrame:
     """Scored test rows; the probability vector is stored as ``array<double>``
@@ -189,16 +175,17 @@ def accuracy_f1(pred: DataFrame, label: str = "label", prediction: str = "predic
     """Accuracy and F1 weighted by class support (MLlib's ``f1``), from counts.
 
     Per-class F1 is written ``2tp / (2tp + fp + fn)``, which equals
-    ``2PR / (P + R)`` and is 0 for a class that never occurs.
+    ``2PR / (P + R)`` and is 0 for a class that never occurs.  Both are NULL
+    without rows.
     """
     c = confusion_counts(pred, label, prediction)
     tp, tn, fp, fn, n = (F.col(x) for x in ("tp", "tn", "fp", "fn", "n"))
     f1_pos = F.coalesce(F.try_divide((2 * tp).cast("double"), (2 * tp + fp + fn).cast("double")), F.lit(0.0))
     f1_neg = F.coalesce(F.try_divide((2 * tn).cast("double"), (2 * tn + fn + fp).cast("double")), F.lit(0.0))
-    w_pos = (tp + fn).cast("double") / n.cast("double")
-    w_neg = (tn + fp).cast("double") / n.cast("double")
+    w_pos = F.try_divide((tp + fn).cast("double"), n.cast("double"))
+    w_neg = F.try_divide((tn + fp).cast("double"), n.cast("double"))
     return c.select(
-        ((tp + tn).cast("double") / n.cast("double")).alias("accuracy"),
+        F.try_divide((tp + tn).cast("double"), n.cast("double")).alias("accuracy"),
         (w_neg * f1_neg + w_pos * f1_pos).alias("f1"),
         "n", "tp", "tn", "fp", "fn",
     )
@@ -206,42 +193,43 @@ def accuracy_f1(pred: DataFrame, label: str = "label", prediction: str = "predic
 
 def exact_metric_strings(counts: DataFrame, auc_frac: DataFrame, places: int = 4) -> DataFrame:
     """One row of text: ``model_auc``, ``model_accuracy``, ``model_f1``, each
-    rounded half-up from its exact integer fraction (so a value exactly on a
-    rounding tie prints the same on any engine)."""
-    tp, tn, fp, fn, n = (F.col(x).cast("decimal(38,0)") for x in ("tp", "tn", "fp", "fn", "n"))
-    d_pos = 2 * tp + fp + fn
-    d_neg = 2 * tn + fn + fp
-    # f1 = [(tn+fp) 2tn / d_neg + (tp+fn) 2tp / d_pos] / n over one denominator
-    f1_num = F.try_add(F.try_multiply(F.try_multiply(tn + fp, 2 * tn), d_pos),
-                       F.try_multiply(F.try_multiply(tp + fn, 2 * tp), d_neg))
-    f1_den = F.try_multiply(F.try_multiply(n, d_neg), d_pos)
-    f1_den = F.when(f1_den == 0, F.lit(1).cast("decimal(38,0)")).otherwise(f1_den)  # no rows -> "0.0000"
-    acc = counts.select(half_up_text(tp + tn, n, places).alias("model_accuracy"),
-                        half_up_text(f1_num, f1_den, places).alias("model_f1"))
-    auc = auc_frac.select(half_up_text(F.col("auc_num2"), F.col("auc_den2"), places).alias("model_auc"))
+    rounded half-up in decimal; NULL where undefined (no rows, one class only).
+
+    F1 is formed from ratios of counts, so no number grows beyond the counts."""
+    tp, tn, fp, fn, n = (F.col(x) for x in ("tp", "tn", "fp", "fn", "n"))
+    zero = F.lit(0).cast("decimal(19,18)")
+    f1 = (ratio(tp + fn, n) * F.coalesce(ratio(2 * tp, 2 * tp + fp + fn), zero)
+          + ratio(tn + fp, n) * F.coalesce(ratio(2 * tn, 2 * tn + fn + fp), zero))
+    acc = counts.select(text(ratio(tp + tn, n), places).alias("model_accuracy"), text(f1, places).alias("model_f1"))
+    auc = auc_frac.select(text(F.try_divide(F.col("auc_num2").cast("double"), F.col("auc_den2").cast("double"))
+                               .cast("decimal(19,15)"), places).alias("model_auc"))
     return acc.select(auc.select("model_auc").scalar().alias("model_auc"), "model_accuracy", "model_f1")
 
 
 # M7 -------------------------------------------------------------------------
 def score_counts(pred: DataFrame, label: str = "label", score: str = "score",
                  prediction: str | None = None) -> DataFrame:
-    """Positives and negatives per distinct score (and prediction, if named):
-    the one pass over a prediction table that both the confusion counts and
-    the area under ROC can be read from."""
+    """Rows, positives and negatives per distinct score (NULL is one; and per
+    prediction, if named): the one pass over a prediction table that both the
+    confusion counts and the area under ROC can be read from."""
     keys = [score] + ([prediction] if prediction else [])
-    return (pred.where(F.col(score).isNotNull()).groupBy(*keys)
-            .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+    return (pred.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("pos"),
+                 F.count_if(F.col(label) == 0).alias("neg")))
 
 
 def confusion_from_score_counts(per: DataFrame, prediction: str = "prediction") -> DataFrame:
     """``confusion_counts`` (n, tp, tn, fp, fn) from ``score_counts(..., prediction)``."""
     p = F.col(prediction)
+
+    def total(when: Column, what: str) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col(what))), F.lit(0)).cast("long")
     return per.agg(
-        F.sum(F.col("pos") + F.col("neg")).alias("n"),
-        F.sum(F.when(p == 1, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(p == 0, F.col("neg")).otherwise(0)).alias("tn"),
-        F.sum(F.when(p == 1, F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum(F.when(p == 0, F.col("pos")).otherwise(0)).alias("fn"),
+        total(F.lit(True), "rows").alias("n"),
+        total(p == 1, "pos").alias("tp"),
+        total(p == 0, "neg").alias("tn"),
+        total(p == 1, "neg").alias("fp"),
+        total(p == 0, "pos").alias("fn"),
     )
 
 
@@ -255,18 +243,22 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
     score shared by a third of all rows is one row).  The negatives below each
     score are a prefix sum: distinct scores are cut into ``buckets`` ranges at
     approximate quantiles; each range is summed in its own task and ranges are
-    offset by the running total of the ones before (``buckets`` rows).
+    offset by the running total of the ones before (``buckets`` rows; their number
+    bounds the parallelism, not the rows).  Rows without a score take no part;
+    ``unscored`` says how many there are.
     ``per_score`` (from ``score_counts``) replaces the first pass when given.
     """
     s = F.col(score)
     if per_score is None:
-        per = score_counts(pred, label, score)
+        every = score_counts(pred, label, score)
     else:  # from score_counts, possibly split by prediction
-        per = per_score.groupBy(score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        every = per_score.groupBy(score).agg(*[F.sum(c).alias(c) for c in ("rows", "pos", "neg")])
+    unscored = every.where(s.isNull()).agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
+    per = every.where(s.isNotNull())
     probs = [i / buckets for i in range(1, buckets)]
     bounds = per.agg(F.percentile_approx(score, probs, 10_000)).scalar()
-    # number of bounds strictly below the score = its position in the sorted set {bounds} + {score}, minus one
-    per = per.withColumn("_bucket", F.array_position(F.sort_array(F.array_union(bounds, F.array(s))), s) - 1)
+    per = per.withColumn("_bounds", bounds) \
+        .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < s))).drop("_bounds")
     totals = per.groupBy("_bucket").agg(F.sum("neg").alias("_bucket_neg"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", F.coalesce(F.sum("_bucket_neg").over(before), F.lit(0)).alias("_offset"))
@@ -276,18 +268,14 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
     per = per.join(F.broadcast(offsets), "_bucket")
     below = (F.col("_offset") + F.col("_below")).cast("decimal(38,0)")
     term = F.col("pos").cast("decimal(38,0)") * (2 * below + F.col("neg"))
-    out = per.agg(F.sum(term).alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    out = per.agg(F.sum(term).alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")) \
+        .withColumn("unscored", unscored)
     return out.withColumn("auc_den2", F.lit(2).cast("decimal(38,0)") * F.col("positives") * F.col("negatives"))
 
 
 def area_under_roc(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row: ``auc`` (double), positives, negatives."""
+    """One row: ``auc`` (double; NULL where one class is missing), positives,
+    negatives, unscored."""
     frac = auc_fraction(pred, label, score)
-    return frac.select((F.col("auc_num2").cast("double") / F.col("auc_den2").cast("double")).alias("auc"),
-                       "positives", "negatives")
-
-
-def exact_accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction",
-                   places: int = 4) -> DataFrame:
-    c = confusion_counts(pred, label, prediction)
-    return c.select(exact_ratio(F.col("tp") + F.col("tn"), F.col("n"), places).alias("accuracy"))
+    return frac.select(F.try_divide(F.col("auc_num2").cast("double"), F.col("auc_den2").cast("double")).alias("auc"),
+                       "positives", "negatives", "unscored")

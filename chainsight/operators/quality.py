@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chainsight.functions import constants as K
 from chainsight.functions.exact import exact_pct
@@ -62,21 +61,20 @@ def silver_check(silver: DataFrame) -> DataFrame:
 
 # Q4
 def series_profile(prices: DataFrame, series_col: str = "series_id") -> DataFrame:
-    """Observations per series with the table total alongside (scalar subquery)."""
-    total = prices.agg(_total()).scalar()
+    """Observations per series with the table total alongside: a window over the
+    aggregated series, of which there is one row each."""
     return (prices.groupBy(series_col).agg(_total().alias("observations"))
-            .withColumn("total_rows", total)
+            .withColumn("total_rows", F.sum("observations").over(Window.partitionBy()))
             .orderBy(F.col("observations").desc(), series_col))
 
 
 # Q5
-def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column position, name and type of a frame (metadata only, no data read)."""
-    rows = [(i, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)]
-    schema = T.StructType([T.StructField("position", T.IntegerType()),
-                           T.StructField("column_name", T.StringType()),
-                           T.StructField("data_type", T.StringType())])
-    return spark.createDataFrame(rows, schema)
+def schema_profile(df: DataFrame) -> DataFrame:
+    """Position, name, type and number of non-null values of each column, in one pass."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(name).alias("column_name"), F.lit(kind).alias("data_type"),
+                     F.col(f"_n{i}").alias("non_null")) for i, (name, kind) in enumerate(df.dtypes)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 # Q6 / K5

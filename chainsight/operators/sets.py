@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def union_series(frames: Mapping[str, DataFrame], tag_col: str = "metric_name") -> DataFrame:
-    """Stack per-series frames, tagging each with its metric name.
+def tag_series(prices: DataFrame, names: Mapping[str, str] | None = None, series_col: str = "series_id",
+               tag_col: str = "metric_name") -> DataFrame:
+    """The union of all series as one scan, each row tagged with its metric name.
 
-    ``unionByName`` matches columns by name, so frames may list them in any
-    order; it is a narrow operation (no shuffle).
-    """
-    tagged = [df.withColumn(tag_col, F.lit(name)) for name, df in frames.items()]
-    out = tagged[0]
-    for df in tagged[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out
+    ``names`` maps series ids to metric names; a series that it doesn't name (or any,
+    without ``names``) keeps its id, so that no series is lost."""
+    if not names:
+        return prices.withColumn(tag_col, F.col(series_col))
+    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return prices.withColumn(tag_col, F.coalesce(F.try_element_at(lookup, F.col(series_col)), F.col(series_col)))

@@ -47,6 +47,12 @@ def latest_rows(df: DataFrame, date_col: str, k: int = K.LATEST_PRICES_K,
     return df.orderBy(F.col(date_col).desc(), *tie_breakers).limit(k)
 
 
+# P11
+def preview(df: DataFrame, keys: Sequence[str], k: int = K.TOP_K) -> DataFrame:
+    """The first ``k`` rows by a key that identifies a row."""
+    return df.orderBy(*keys).limit(k)
+
+
 # T6
 def top_importances(importances: DataFrame, k: int = K.TOP_K) -> DataFrame:
     return importances.orderBy(F.col("importance").desc(), F.col("feature").asc()).limit(k)

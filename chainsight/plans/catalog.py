@@ -90,7 +90,7 @@ def silver(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     """Silver over the test tables; ``columns`` limits it to what a query reads."""
     if columns is not None:
         return S.silver(bronze(spark, sf_dir), columns=list(columns))
-    return S.silver(bronze(spark, sf_dir), extra=["line_number"])
+    return S.silver(bronze(spark, sf_dir))
 
 
 def mart_input(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
@@ -111,8 +111,8 @@ _PCT = O.exact_mean("is_delayed", 1, times=100)
 SELECT market, COUNT(order_id) AS total_orders, {_PCT} AS delay_rate_pct,
        {O.exact_mean('delay_days', 2)} AS avg_delay_days,
        {O.exact_sum('sales', 0)} AS total_sales_usd,
-       {O.exact_mean('lpi_score', 2, 1)} AS avg_lpi_score,
-       {O.exact_mean('weather_risk_score', 2, 2)} AS avg_weather_risk
+       {O.decimal_mean('lpi_score', 2)} AS avg_lpi_score,
+       {O.decimal_mean('weather_risk_score', 2)} AS avg_weather_risk
 FROM silver GROUP BY market ORDER BY delay_rate_pct DESC, market"""))
 def q_market_kpi(spark, sf_dir):
     return G.market_kpi(mart_input(spark, sf_dir, "market_kpi"))
@@ -128,7 +128,7 @@ FROM (
     SELECT market, COUNT(order_id) AS total_orders, {_PCT} AS delay_rate_pct,
            {O.exact_mean('delay_days', 2)} AS avg_delay_days,
            {O.exact_sum('sales', 0)} AS total_sales_usd,
-           {O.exact_mean('lpi_score', 2, 1)} AS avg_lpi_score
+           {O.decimal_mean('lpi_score', 2)} AS avg_lpi_score
     FROM silver GROUP BY market) m) b"""))
 def q_market_bands(spark, sf_dir):
     return G.market_bands(G.market_kpi(mart_input(spark, sf_dir, "market_kpi")))
@@ -139,8 +139,8 @@ def _route_body(min_orders: int) -> str:
 SELECT *, CAST(rank() OVER (ORDER BY delay_rate_pct DESC, order_count DESC) AS INTEGER) AS risk_rank FROM (
   SELECT order_country, order_region, shipping_mode, COUNT(order_id) AS order_count,
          {_PCT} AS delay_rate_pct, {O.exact_mean('delay_days', 2)} AS avg_delay_days,
-         {O.exact_mean('lpi_score', 2, 1)} AS avg_lpi_score,
-         {O.exact_mean('weather_risk_score', 2, 2)} AS avg_weather_risk
+         {O.decimal_mean('lpi_score', 2)} AS avg_lpi_score,
+         {O.decimal_mean('weather_risk_score', 2)} AS avg_weather_risk
   FROM silver GROUP BY order_country, order_region, shipping_mode
   HAVING COUNT(order_id) >= {min_orders}) r"""
 
@@ -162,8 +162,8 @@ def q_route_risk_busy(spark, sf_dir):
 _SUPPLIER_BOARD = f"""
   SELECT supplier_name, supplier_tier, supplier_region, COUNT(order_id) AS order_count,
          {_PCT} AS delay_rate_pct, {O.exact_mean('delay_days', 2)} AS avg_delay_days,
-         {O.exact_mean('supplier_quality_score', 2, 2)} AS quality_score,
-         {O.exact_mean('supplier_esg_score', 2, 2)} AS esg_score,
+         {O.decimal_mean('supplier_quality_score', 2)} AS quality_score,
+         {O.decimal_mean('supplier_esg_score', 2)} AS esg_score,
          {O.exact_mean('lead_time_days', 1)} AS avg_lead_time,
          {O.exact_sum('sales', 0)} AS total_sales
   FROM silver GROUP BY supplier_name, supplier_tier, supplier_region
@@ -192,7 +192,7 @@ def q_worst_suppliers(spark, sf_dir):
 
 @register("supplier_preview", O.sql(["silver"], f"""
 SELECT supplier_name, supplier_tier, supplier_region, COUNT(order_id) AS orders, {_PCT} AS delay_rate_pct,
-       {O.exact_mean('supplier_quality_score', 1, 2)} AS quality
+       {O.decimal_mean('supplier_quality_score', 1)} AS quality
 FROM silver GROUP BY supplier_name, supplier_tier, supplier_region
 HAVING COUNT(order_id) >= {K.SUPPLIER_PREVIEW_MIN_ORDERS}"""))
 def q_supplier_preview(spark, sf_dir):
@@ -211,7 +211,7 @@ def q_top_routes_excl(spark, sf_dir):
 @register("mode_performance", O.sql(["silver"], f"""
 SELECT shipping_mode, COUNT(order_id) AS orders, {_PCT} AS delay_rate_pct,
        {O.exact_mean('delay_days', 2)} AS avg_delay_days, {O.exact_sum('sales', 0)} AS total_sales,
-       {O.exact_mean('order_profit', 2, 2)} AS avg_profit
+       {O.decimal_mean('order_profit', 2)} AS avg_profit
 FROM silver GROUP BY shipping_mode"""))
 def q_mode_performance(spark, sf_dir):
     return G.mode_performance(mart_input(spark, sf_dir, "mode_performance"))
@@ -327,9 +327,19 @@ SELECT 'country_scores', COUNT(*), COUNT(lpi_score),
        """ + O.half_up("CAST(COUNT(lpi_score) AS HUGEINT) * 100", "COUNT(*)", 1) + """ FROM enriched"""))
 def q_join_coverage(spark, sf_dir):
     df = S.enrich(bronze(spark, sf_dir), needed=["supplier_name", "lpi_score"])
-    sup = J.join_coverage(df, "supplier_name").select(F.lit("supplier").alias("join_name"), "*")
-    lpi = J.join_coverage(df, "lpi_score").select(F.lit("country_scores").alias("join_name"), "*")
-    return sup.unionByName(lpi)
+    return J.join_coverage(df, {"supplier": "supplier_name", "country_scores": "lpi_score"})
+
+
+_DATES = ("order_date", "shipping_date")
+
+
+@register("silver_lines", O.sql(["silver"], "SELECT " + ", ".join(
+    f"strftime(s.{c}, '%Y-%m-%d') AS {c}" if c in _DATES else "p.p_name AS product_name" if c == "product_name"
+    else f"s.{c}" for c in S.SILVER_COLUMNS) + " FROM silver s JOIN part p ON s.partkey = p.p_partkey"))
+def q_silver_lines(spark, sf_dir):
+    """Every column of every silver row."""
+    df = S.silver(bronze(spark, sf_dir, with_product=True))
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in _DATES})
 
 
 @register("global_signals", O.sql(["silver"], """
@@ -446,6 +456,26 @@ def q_dq_silver(spark, sf_dir):
     return Q.silver_check(silver(spark, sf_dir, ["is_delayed", "supplier_risk_flag", "commodity_shock_flag"]))
 
 
+@register("row_preview", O.sql(["lines"], f"""
+SELECT order_id, line_number, market, shipping_mode, delay_days, is_delayed, order_profit FROM lines
+ORDER BY order_id, line_number LIMIT {K.TOP_K}"""))
+def q_row_preview(spark, sf_dir):
+    return T.preview(lines(spark, sf_dir).select("order_id", "line_number", "market", "shipping_mode", "delay_days",
+                                                 "is_delayed", "order_profit"), ["order_id", "line_number"])
+
+
+_PROFILED = [("supplier_id", "string"), ("supplier_name", "string"), ("country", "string"), ("tier", "int"),
+             ("quality_score", "double"), ("risk_notes", "string")]
+
+
+@register("schema_profile", O.sql(["suppliers"], "\nUNION ALL ".join(
+    f"SELECT {i} AS position, {O.q(c)} AS column_name, {O.q(t)} AS data_type, COUNT({c}) AS non_null FROM suppliers"
+    for i, (c, t) in enumerate(_PROFILED))))
+def q_schema_profile(spark, sf_dir):
+    suppliers = TestTables.shared(spark, sf_dir).supplier_master()
+    return Q.schema_profile(suppliers.select(*[c for c, _ in _PROFILED]))
+
+
 @register("row_parity", O.sql(["enriched", "shipping"], """
 SELECT 'shipping' AS stage, COUNT(*) AS rows FROM shipping
 UNION ALL SELECT 'silver', COUNT(*) FROM enriched"""))
@@ -472,7 +502,7 @@ def q_scan_all(spark, sf_dir):
 @register("commodity_shock", O.sql(["commodity"], f"""
 SELECT metric_name, arg_max(value, (date, value)) AS latest_value, COUNT(*) AS observations,
        CAST(COALESCE(CASE WHEN arg_max(value, (date, value)) > {K.COMMODITY_SHOCK_ABOVE} THEN 1 ELSE 0 END, 0) AS INTEGER) AS shock_flag
-FROM commodity GROUP BY metric_name"""))
+FROM commodity WHERE value IS NOT NULL GROUP BY metric_name"""))
 def q_commodity_shock(spark, sf_dir):
     return G.latest_by_series(TestTables.shared(spark, sf_dir).commodity_prices()).drop("latest_date")
 
@@ -496,10 +526,8 @@ def q_series_profile(spark, sf_dir):
 SELECT metric_name, series_id, COUNT(*) AS observations, min(value) AS min_value, max(value) AS max_value
 FROM commodity WHERE value IS NOT NULL GROUP BY 1, 2"""))
 def q_series_union(spark, sf_dir):
-    prices = TestTables.shared(spark, sf_dir).commodity_prices()
-    names = ["click", "error", "purchase", "signup", "view"]
-    frames = {n: prices.where(F.col("series_id") == n).select("date", "value", "series_id") for n in names}
-    unioned = U.union_series(frames)
+    prices = TestTables.shared(spark, sf_dir).commodity_prices().where(F.col("value").isNotNull())
+    unioned = U.tag_series(prices.drop("metric_name"))
     return unioned.groupBy("metric_name", "series_id").agg(
         F.count(F.lit(1)).alias("observations"), F.min("value").alias("min_value"), F.max("value").alias("max_value"))
 

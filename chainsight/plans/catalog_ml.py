@@ -23,10 +23,6 @@ from chainsight.plans import oracle as O
 from chainsight.plans import silver as S
 from chainsight.plans.catalog import bronze, lines, register, silver
 
-SPLIT_COLUMNS = ["order_id", "line_number", "market", "shipping_mode", "order_country", "delay_days",
-                 "sales", "order_profit", "late_delivery_risk"]
-
-
 def fixed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic scores for the metric operators (FIXTURES.md: predictions)."""
     score = (F.col("days_real") - F.col("days_scheduled")).cast("double") / F.lit(7.0)
@@ -96,7 +92,8 @@ def q_accuracy_f1(spark, sf_dir):
 
 # M7 -------------------------------------------------------------------------
 @register("auc", _pred_sql("""
-SELECT CAST(auc_num2 AS DOUBLE) / CAST(auc_den2 AS DOUBLE) AS auc, positives, negatives FROM auc_frac"""))
+SELECT CAST(auc_num2 AS DOUBLE) / CAST(auc_den2 AS DOUBLE) AS auc, positives, negatives,
+       (SELECT COUNT(*) FILTER (WHERE score IS NULL) FROM preds) AS unscored FROM auc_frac"""))
 def q_auc(spark, sf_dir):
     return M.area_under_roc(fixed_predictions(spark, sf_dir), "label", "score")
 
@@ -113,8 +110,8 @@ def _kpi_sql() -> str:
         ("total_orders", "CAST(COUNT(*) AS VARCHAR)", "silver"),
         ("delayed_orders", "CAST(COUNT(*) FILTER (WHERE is_delayed = 1) AS VARCHAR)", "silver"),
         ("delay_rate_pct", h("COUNT(*) FILTER (WHERE is_delayed = 1) * 100", "COUNT(*)", 1), "silver"),
-        ("total_sales_usd", h("SUM(CAST(round(sales * 100) AS BIGINT))", "100", 0), "silver"),
-        ("total_profit_usd", h("SUM(CAST(round(order_profit * 100) AS BIGINT))", "100", 0), "silver"),
+        ("total_sales_usd", h(O.units("sales"), str(O.TENTHS), 0), "silver"),
+        ("total_profit_usd", h(O.units("order_profit"), str(O.TENTHS), 0), "silver"),
         ("avg_delay_days", h("SUM(CAST(delay_days AS BIGINT))", "COUNT(delay_days)", 2), "silver"),
         ("model_auc", h("auc_num2", "auc_den2", 4), "auc_frac"),
         ("model_accuracy", h("tp + tn", "n", 4), "counts"),
@@ -170,16 +167,16 @@ _LPI_CODE = ("CASE " + " ".join(f"WHEN logistics_risk_tier = {O.q(k)} THEN {v}"
 SELECT news_risk_level, logistics_risk_tier, CAST({_NEWS_CODE} AS DOUBLE) AS news_risk_numeric,
        CAST({_LPI_CODE} AS DOUBLE) AS lpi_risk_numeric, COUNT(*) AS count,
        CAST(SUM(CAST(COALESCE(lead_time_days, 14) AS BIGINT)) AS BIGINT) AS lead_time_total,
-       {O.exact_mean('COALESCE(supplier_quality_score, 3.0)', 2, 2)} AS avg_quality
+       {O.decimal_mean('COALESCE(supplier_quality_score, 3.0)', 2)} AS avg_quality
 FROM silver GROUP BY 1, 2, 3, 4"""))
 def q_ml_encodings(spark, sf_dir):
     cols = ["news_risk_level", "logistics_risk_tier", "lead_time_days", "supplier_quality_score",
             "late_delivery_risk"]
     df = M.model_frame(silver(spark, sf_dir, cols))
-    from chainsight.functions.exact import exact_mean
+    from chainsight.functions.exact import decimal_mean
     return df.groupBy("news_risk_level", "logistics_risk_tier", "news_risk_numeric", "lpi_risk_numeric").agg(
         F.count(F.lit(1)).alias("count"), F.sum(F.col("lead_time_days").cast("long")).alias("lead_time_total"),
-        exact_mean("supplier_quality_score", 2, value_scale=2).alias("avg_quality"))
+        decimal_mean("supplier_quality_score", 2).alias("avg_quality"))
 
 
 # G14 ------------------------------------------------------------------------
@@ -190,15 +187,18 @@ def q_class_balance(spark, sf_dir):
 
 
 # M3 -------------------------------------------------------------------------
+_FILLS = {"route_delay_rate": "COALESCE(route_delay_rate, 0.5)",
+          "route_avg_delay_days": "COALESCE(route_avg_delay_days, 0.0)",
+          "weather_risk_score": "COALESCE(weather_risk_score, 1.0)",
+          "lpi_score": "COALESCE(lpi_score, 3.0)",
+          "supplier_quality_score": "COALESCE(supplier_quality_score, 3.0)",
+          "supplier_esg_score": "COALESCE(supplier_esg_score, 3.0)",
+          "lead_time_days": "COALESCE(lead_time_days, 14)",
+          "news_risk_numeric": _NEWS_CODE, "lpi_risk_numeric": _LPI_CODE}
+
+
 def _standardize_sql() -> str:
-    fills = {"route_delay_rate": "COALESCE(route_delay_rate, 0.5)",
-             "route_avg_delay_days": "COALESCE(route_avg_delay_days, 0.0)",
-             "weather_risk_score": "COALESCE(weather_risk_score, 1.0)",
-             "lpi_score": "COALESCE(lpi_score, 3.0)",
-             "supplier_quality_score": "COALESCE(supplier_quality_score, 3.0)",
-             "supplier_esg_score": "COALESCE(supplier_esg_score, 3.0)",
-             "lead_time_days": "COALESCE(lead_time_days, 14)",
-             "news_risk_numeric": _NEWS_CODE, "lpi_risk_numeric": _LPI_CODE}
+    fills = _FILLS
     sel = ",\n       ".join(f"CAST({fills.get(c, c)} AS DOUBLE) AS {c}" for c in K.FEATURE_COLS
                            if c not in ("shipping_mode_idx", "market_idx"))
     body = f"""
@@ -222,7 +222,8 @@ def q_standardize(spark, sf_dir):
     from pyspark import StorageLevel
     from pyspark.ml import Pipeline
     # two estimators (the indexer, the scaler) each make a pass: persist once
-    df = M.model_frame(model_silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    inputs = sorted(set(K.FEATURE_COLS) - set(M.INDEXED.values()) | set(M.INDEXED))
+    df = M.model_frame(model_silver(spark, sf_dir)).select(*inputs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=[*M.indexers(), M.assembler(), M.scaler()]).fit(df)
     finally:
@@ -244,8 +245,8 @@ _MODELS: dict[tuple[str, str], PipelineModel] = {}
 MODEL_INPUT = sorted(set(K.FEATURE_COLS) - {"shipping_mode_idx", "market_idx", "lpi_risk_numeric",
                                              "news_risk_numeric"}
                      | {"shipping_mode", "market", "logistics_risk_tier", "news_risk_level",
-                        "late_delivery_risk", "order_country", "order_region", "is_delayed", "line_number"}
-                     | set(SPLIT_COLUMNS))
+                        "late_delivery_risk", "order_country", "order_region", "is_delayed"}
+                     | set(M.LINE_KEY))
 
 
 def model_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +254,7 @@ def model_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return M.train_test_split(M.model_frame(model_silver(spark, sf_dir)), SPLIT_COLUMNS)
+    return M.train_test_split(M.model_frame(model_silver(spark, sf_dir)))
 
 
 def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -262,17 +263,38 @@ def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         train, _ = split(spark, sf_dir)
-        _MODELS[key] = M.fit(spark, train)
+        _MODELS[key] = M.fit(spark, train, partitions=spark.sparkContext.defaultParallelism)
     return _MODELS[key]
 
 
-@register("split_counts")
+_IS_TRAIN = (f"CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR)), 1, 8) AS BIGINT)"
+             f" % 100 < {K.TRAIN_PERCENT}")
+
+
+@register("split_counts", O.sql(["silver"], f"""
+SELECT CASE WHEN {_IS_TRAIN} THEN 'train' ELSE 'test' END AS side, CAST(late_delivery_risk AS DOUBLE) AS label,
+       COUNT(*) AS count
+FROM silver GROUP BY 1, 2"""))
 def q_split_counts(spark, sf_dir):
     df = M.model_frame(model_silver(spark, sf_dir))
-    side = F.when(M.split_flag(SPLIT_COLUMNS), F.lit("train")).otherwise(F.lit("test"))
+    side = F.when(M.split_flag(), F.lit("train")).otherwise(F.lit("test"))
     return df.groupBy(side.alias("side"), "label").count()
 
 
+_TEST_COLUMNS = [c for c in K.FEATURE_COLS if c not in ("shipping_mode_idx", "market_idx")]
+
+
+@register("model_test_rows", O.sql(["silver"], f"""
+SELECT order_id, line_number, late_delivery_risk AS actual_risk, shipping_mode, market,
+       {', '.join(f"CAST({_FILLS.get(c, c)} AS DOUBLE) AS {c}" for c in _TEST_COLUMNS)}
+FROM silver WHERE NOT ({_IS_TRAIN})"""))
+def q_model_test_rows(spark, sf_dir):
+    """Actuals and features of every row that the model is tested on."""
+    _, test = split(spark, sf_dir)
+    return test.select(*M.LINE_KEY, F.col("late_delivery_risk").alias("actual_risk"), "shipping_mode", "market",
+                       *[F.col(c).cast("double").alias(c) for c in _TEST_COLUMNS])
+
+
 @register("risk_predictions")
 def q_risk_predictions(spark, sf_dir):
     _, test = split(spark, sf_dir)

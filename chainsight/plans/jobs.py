@@ -18,6 +18,7 @@ folder the session names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,7 +27,10 @@ from pyspark.sql import functions as F
 from chainsight import PIPELINE_VERSION
 from chainsight.functions import constants as K
 from chainsight.operators import aggregates as G
+from chainsight.operators import joins as J
 from chainsight.operators import ml as M
+from chainsight.operators import quality as Q
+from chainsight.operators.windows import first_per_key
 from chainsight.plans import silver as S
 from chainsight.sinks import writers as W
 from chainsight.sources import files as SRC
@@ -45,12 +49,29 @@ class RawInputs:
     suppliers_fmt: str = "parquet"
 
 
-def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parquet") -> dict[str, int]:
-    """Read every raw source once and write the six bronze tables."""
-    from chainsight.operators.windows import first_per_key
+class NullInRequiredColumn(ValueError):
+    pass
+
+
+def require_suppliers(suppliers: DataFrame) -> None:
+    """Raise if a supplier column declared NOT NULL holds a null (one pass)."""
+    found = SRC.supplier_null_check(suppliers).first().asDict()
+    bad = {c: n for c, n in found.items() if c != "rows" and n}
+    if bad:
+        raise NullInRequiredColumn(f"suppliers: {bad}")
+
+
+def report(df: DataFrame, out: str, name: str, fmt: str = "parquet") -> None:
+    """A small quality or model report under ``<out>/reports``."""
+    W.overwrite(df, f"{out}/reports/{name}", fmt)
 
+
+def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parquet",
+               drop_columns: Sequence[str] = ()) -> dict[str, int]:
+    """Read every raw source once, write the six bronze tables and the quality
+    reports on them.  ``drop_columns``: order-line columns not to store."""
     tables = {
-        "shipping_events": SRC.shipping_bronze(SRC.read_shipping_raw(spark, raw.shipping_csv)),
+        "shipping_events": SRC.shipping_bronze(SRC.read_shipping_raw(spark, raw.shipping_csv), drop_columns),
         "weather_events": SRC.read_weather(spark, raw.storm_csv),
         "news_disruptions": first_per_key(SRC.read_news(spark, raw.news_dir), ["title"], ["feed_order"]),
         "commodity_prices": SRC.read_commodity(spark, raw.prices_dir),
@@ -59,11 +80,16 @@ def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parque
     }
     # commodity and supplier tables keep their schema across runs (K2)
     schema_guarded = {"commodity_prices", "supplier_master"}
+    require_suppliers(tables["supplier_master"])
     counts = {}
     for name, df in tables.items():
         path = f"{out}/bronze/{name}"
         counts[name] = W.write_counted(df, path, fmt, same_schema_as=spark if name in schema_guarded else None)
         W.log_run(spark, f"{out}/run_log", "bronze", path, "WRITE", counts[name], PIPELINE_VERSION)
+    bronze = bronze_from_paths(spark, out, fmt)
+    report(Q.shipping_check(bronze.shipping), out, "dq_shipping", fmt)
+    report(Q.weather_check(bronze.weather), out, "dq_weather", fmt)
+    report(Q.series_profile(bronze.commodity), out, "series_profile", fmt)
     return counts
 
 
@@ -97,27 +123,39 @@ def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str =
     Q6: the lines entering the enrichment joins and the rows written are
     both counted during the write; they must be equal (every join is a left
     join on a unique key), otherwise a dimension with duplicate keys fanned
-    lines out and the job fails.
+    lines out and the job fails.  The table is written beside the current one and
+    put in its place only after that check (K4).
     """
+    for side, key in ((J.supplier_keyed(bronze.suppliers), "sup_key"),
+                      (J.country_side(bronze.country_scores), "_lpi_country")):
+        twice = J.duplicate_keys(side, key).first()
+        if twice is not None:
+            raise RowParityError(f"silver: {key} {twice[0]!r} occurs {twice[1]} times")
     seen = Observation("silver_input")
     df = S.with_lineage(S.silver(bronze, lines_seen=seen))
     path = f"{out}/silver/supply_chain_master"
-    rows = W.write_counted(df, path, fmt, partition_by="market")
+    rows = W.write_counted(df, f"{path}.new", fmt, partition_by="market")
     if int(seen.get["rows"]) != rows:
         raise RowParityError(f"silver: {seen.get['rows']} lines in, {rows} rows out")
+    W.publish(spark, f"{path}.new", path)
+    written = spark.read.format(fmt).load(path)
+    report(Q.silver_check(written), out, "dq_silver", fmt)
+    report(J.join_coverage(written, {"supplier": "supplier_name"}), out, "join_coverage", fmt)
     W.log_run(spark, f"{out}/run_log", "silver", path, "WRITE", rows, PIPELINE_VERSION)
     return rows
 
 
 def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parquet",
-              params: dict | None = None) -> DataFrame:
+              params: dict | None = None, exclude: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Fit on the training split, write scored test rows by market, save the
-    model, return the one-row metrics frame (AUC, accuracy, F1)."""
-    frame = M.model_frame(silver)
-    split_cols = [c for c in ("order_id", "line_number", "market", "shipping_mode", "order_country",
-                              "delay_days", "sales", "order_profit", "late_delivery_risk") if c in frame.columns]
-    train, test = M.train_test_split(frame, split_cols)
-    model = M.fit(spark, train, params=params)
+    model, return the one-row metrics frame (AUC, accuracy, F1), which is written
+    too, with the confusion counts, the importances and the accuracy by market.
+
+    ``exclude`` leaves features out, such as those that the label is derived from;
+    ``partitions`` is passed to ``ml.fit``."""
+    features = [c for c in K.FEATURE_COLS if c not in set(exclude)]
+    train, test = M.train_test_split(M.model_frame(silver))
+    model = M.fit(spark, train, features, params=params, partitions=partitions)
     pred = (M.predictions_table(model, test)
             .withColumn("_gold_processed_at", F.current_timestamp())
             .withColumn("_model_version", F.lit(K.MODEL_VERSION)))
@@ -125,29 +163,34 @@ def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parq
     rows = W.write_counted(pred, path, fmt, partition_by="market")
     W.log_run(spark, f"{out}/run_log", "model", path, "WRITE", rows, K.MODEL_VERSION)
     W.save_model(model, f"{out}/gold/model/gbt_risk_classifier")
-    return model_metrics(spark.read.format(fmt).load(path))
+    written = spark.read.format(fmt).load(path)
+    report(M.confusion(written, "actual_risk", "predicted_risk"), out, "confusion", fmt)
+    report(M.feature_importances(spark, model, features), out, "feature_importance", fmt)
+    report(G.accuracy_by_market(written), out, "accuracy_by_market", fmt)
+    report(model_metrics(written), out, "model_metrics", fmt)
+    return spark.read.format(fmt).load(f"{out}/reports/model_metrics")
 
 
 def model_metrics(predictions: DataFrame) -> DataFrame:
     """Text metrics (4 places) of a prediction table, for the KPI summary."""
-    from pyspark import StorageLevel
-
     pred = predictions.withColumn("label", F.col("actual_risk").cast("double"))
-    per = M.score_counts(pred, "label", "late_probability", "predicted_risk").persist(StorageLevel.MEMORY_AND_DISK)
+    per = M.score_counts(pred, "label", "late_probability", "predicted_risk")
     counts = M.confusion_from_score_counts(per, "predicted_risk")
     frac = M.auc_fraction(pred, "label", "late_probability", per_score=per)
     return M.exact_metric_strings(counts, frac)
 
 
-def gold_job(spark: SparkSession, silver: DataFrame, predictions: DataFrame, news_level, out: str,
+def gold_job(spark: SparkSession, silver: DataFrame, metrics: DataFrame, news_level, out: str,
              fmt: str = "parquet") -> dict[str, int]:
-    """Market, route and supplier marts plus the KPI summary (all computed)."""
+    """Market, route, supplier and mode marts plus the KPI summary (all computed);
+    ``metrics`` is what ``model_job`` returned."""
     stamp = F.current_timestamp()
     marts = {
         "market_dashboard": G.market_kpi(silver).withColumn("_processed_at", stamp),
         "route_risk": G.route_risk(silver).withColumn("_processed_at", stamp),
         "supplier_leaderboard": G.supplier_leaderboard(silver).withColumn("_processed_at", stamp),
-        "kpi_summary": G.kpi_summary(silver, model_metrics(predictions), news_level, PIPELINE_VERSION),
+        "mode_performance": G.mode_performance(silver).withColumn("_processed_at", stamp),
+        "kpi_summary": G.kpi_summary(silver, metrics, news_level, PIPELINE_VERSION),
     }
     counts = {}
     for name, df in marts.items():
@@ -166,9 +209,8 @@ def run_on_test_tables(spark: SparkSession, sf_dir: str, out: str) -> dict[str,
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     metrics = model_job(spark, silver, out)
     result["model_metrics"] = metrics.first().asDict()
-    predictions = spark.read.parquet(f"{out}/gold/risk_predictions")
     level = S.news_summary(b).select("news_risk_level").scalar()
-    result["gold"] = gold_job(spark, silver, predictions, level, out)
+    result["gold"] = gold_job(spark, silver, metrics, level, out)
     return result
 
 
@@ -179,16 +221,14 @@ def run_on_raw_files(spark: SparkSession, raw: RawInputs, out: str, params: dict
     b = bronze_from_paths(spark, out)
     result["silver_rows"] = silver_job(spark, b, out)
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
-    result["model_metrics"] = model_job(spark, silver, out, params=params).first().asDict()
-    predictions = spark.read.parquet(f"{out}/gold/risk_predictions")
+    metrics = model_job(spark, silver, out, params=params)
+    result["model_metrics"] = metrics.first().asDict()
     level = S.news_summary(b).select("news_risk_level").scalar()
-    result["gold"] = gold_job(spark, silver, predictions, level, out)
+    result["gold"] = gold_job(spark, silver, metrics, level, out)
     return result
 
 
 def main(argv: list[str] | None = None) -> None:
-    from chainsight.session import local_session
-
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--out", required=True)
     p.add_argument("--test-tables", help="folder of the shared test tables")
@@ -200,7 +240,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--suppliers")
     p.add_argument("--suppliers-fmt", default="parquet")
     args = p.parse_args(argv)
-    spark = local_session()
+    # master, memory and partitions are spark-submit's
+    spark = SparkSession.builder.appName("chainsight-jobs").getOrCreate()
     if args.test_tables:
         print(run_on_test_tables(spark, args.test_tables, args.out))
         return

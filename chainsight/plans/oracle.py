@@ -6,8 +6,8 @@ customer supplier part orders lineitem events documents ...).  Only the
 fixed values (keyword lists, event classes, thresholds) are shared, taken
 from ``functions.constants``.
 
-Rounded means and sums are computed from integer sums with half-up integer
-division, matching the exact decimal arithmetic of ``functions.exact``.
+Rounded means and sums are computed from whole-number or ten-decimal sums with
+half-up integer division; no value is rounded before it is summed.
 """
 
 from __future__ import annotations
@@ -40,18 +40,25 @@ def half_up_text(num: str, den: str, places: int) -> str:
     return f"(CASE WHEN ({den}) <> 0 THEN {sign} || {body} END)"
 
 
-def exact_mean(expr: str, places: int, value_scale: int = 0, times: int = 1) -> str:
-    s = 10 ** value_scale
-    scaled = f"CAST({expr} AS BIGINT)" if s == 1 else f"CAST(round(({expr}) * {s}) AS BIGINT)"
-    num = f"(CAST(SUM({scaled}) AS HUGEINT) * {times})"
-    den = f"(COUNT({expr}) * {s})"
-    return half_up(num, den, places)
+def exact_mean(expr: str, places: int, times: int = 1) -> str:
+    """Mean of whole numbers."""
+    return half_up(f"(CAST(SUM(CAST({expr} AS BIGINT)) AS HUGEINT) * {times})", f"COUNT({expr})", places)
 
 
-def exact_sum(expr: str, places: int, value_scale: int = 2) -> str:
-    s = 10 ** value_scale
-    num = f"CAST(SUM(CAST(round(({expr}) * {s}) AS BIGINT)) AS HUGEINT)"
-    return half_up(num, str(s), places)
+TENTHS = 10 ** 10  # a value's unit in sums: its tenth decimal
+
+
+def units(expr: str) -> str:
+    """Sum of any numbers in units of the tenth decimal."""
+    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(28,10))) * {TENTHS} AS HUGEINT)"
+
+
+def decimal_mean(expr: str, places: int) -> str:
+    return half_up(units(expr), f"(CAST(COUNT({expr}) AS HUGEINT) * {TENTHS})", places)
+
+
+def exact_sum(expr: str, places: int) -> str:
+    return half_up(units(expr), f"CAST({TENTHS} AS HUGEINT)", places)
 
 
 def severity_case(col: str) -> str:
@@ -96,7 +103,7 @@ shipping AS (
          l.l_returnflag AS returnflag, l.l_linestatus AS delivery_status, o.o_orderpriority AS shipping_mode,
          c.c_mktsegment AS market, n.n_name AS order_country, r.r_name AS order_region,
          o.o_orderstatus AS customer_segment, '  s' || CAST(c.c_nationkey AS VARCHAR) || ' ' AS customer_state,
-         l.l_extendedprice AS sales,
+         l.l_extendedprice AS sales, l.l_partkey AS partkey,
          CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (CAST(0.05 AS DECIMAL(18,2)) - CAST(l.l_discount AS DECIMAL(18,2))), 2) AS DOUBLE) AS order_profit
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -108,7 +115,7 @@ shipping AS (
 lines AS (
   SELECT order_id, line_number, order_date, shipping_date, days_real, days_scheduled,
          delivery_status, shipping_mode, market, order_country, order_region, customer_segment,
-         customer_state, sales, order_profit,
+         customer_state, sales, order_profit, partkey,
          CAST(CASE WHEN days_real > days_scheduled AND returnflag <> 'R' THEN 1 ELSE 0 END AS INTEGER) AS late_delivery_risk,
          days_real - days_scheduled AS delay_days,
          CASE WHEN days_real - days_scheduled > 0 THEN 1 ELSE 0 END AS is_delayed,
@@ -118,8 +125,8 @@ lines AS (
 )""",
     "suppliers": """
 suppliers AS (
-  SELECT 'SUP-' || CASE WHEN length(CAST(s.s_suppkey + 1 AS VARCHAR)) >= 6 THEN CAST(s.s_suppkey + 1 AS VARCHAR)
-                        ELSE lpad(CAST(s.s_suppkey + 1 AS VARCHAR), 6, '0') END AS supplier_id,
+  SELECT 'SUP-' || CASE WHEN length(CAST(2 * s.s_suppkey + 1 AS VARCHAR)) >= 6 THEN CAST(2 * s.s_suppkey + 1 AS VARCHAR)
+                        ELSE lpad(CAST(2 * s.s_suppkey + 1 AS VARCHAR), 6, '0') END AS supplier_id,
          s.s_name AS supplier_name, n.n_name AS country, n.n_name AS country_code, r.r_name AS region,
          CAST(1 + s.s_suppkey % 3 AS INTEGER) AS tier,
          CAST(10 + s.s_suppkey % 30 AS INTEGER) AS lead_time_days,
@@ -145,12 +152,12 @@ country_scores AS (
   SELECT country, country_code, region, lpi_score, infrastructure_score, timeliness_score,
          {tier_case('lpi_score')} AS logistics_risk_tier
   FROM (
-    SELECT n.n_name AS country, n.n_name AS country_code, r.r_name AS region,
+    SELECT CASE WHEN n.n_nationkey % 5 = 4 THEN 'The ' || n.n_name ELSE n.n_name END AS country,
+           n.n_name AS country_code, r.r_name AS region,
            CAST(24 + n.n_nationkey AS DOUBLE) / 10.0 AS lpi_score,
            CAST(24 + n.n_nationkey AS DOUBLE) / 10.0 - 0.2 AS infrastructure_score,
            CAST(24 + n.n_nationkey AS DOUBLE) / 10.0 + 0.2 AS timeliness_score
     FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-    WHERE n.n_nationkey % 5 <> 4
   ) t
 )""",
     "weather": f"""
@@ -189,8 +196,8 @@ news_sum AS (
 )""",
     "shock": f"""
 shock AS (
-  SELECT arg_max(value, date) AS latest_price,
-         CAST(COALESCE(CASE WHEN arg_max(value, date) > {K.COMMODITY_SHOCK_ABOVE} THEN 1 ELSE 0 END, 0) AS INTEGER) AS commodity_shock_flag
+  SELECT arg_max(value, (date, value)) AS latest_price,
+         CAST(COALESCE(CASE WHEN arg_max(value, (date, value)) > {K.COMMODITY_SHOCK_ABOVE} THEN 1 ELSE 0 END, 0) AS INTEGER) AS commodity_shock_flag
   FROM commodity WHERE metric_name = {q(TEST_OIL_METRIC)} AND value IS NOT NULL
 )""",
     "storm": f"""
@@ -244,7 +251,7 @@ silver AS (
          COALESCE(infrastructure_score, 3.0) AS infrastructure_score,
          COALESCE(timeliness_score, 3.0) AS timeliness_score,
          weather_risk_score, storm_event_count, high_critical_storm_count, commodity_shock_flag,
-         news_risk_level, news_risk_score_global, sales, order_profit, customer_state
+         news_risk_level, news_risk_score_global, sales, order_profit, customer_state, partkey
   FROM enriched
 )""",
 }

@@ -2,10 +2,10 @@
 order-line table (one row per order line, partitioned by market on write).
 
 Plan shape (see ``explain``): the fact is scanned for its ~15 used columns;
-supplier, country-score and storm dimensions are broadcast after a row-count
-check; the commodity and news signals are scalar subqueries; route
-statistics are a partial+final aggregate broadcast back to the lines.  With
-bounded dimensions the order lines are never shuffled.
+supplier, country-score and storm dimensions, and the route statistics (a
+partial+final aggregate), are plain left joins whose side Spark broadcasts when
+its measured bytes allow; the commodity and news signals are scalar subqueries.
+With such dimensions the order lines are never shuffled.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def news_summary(bronze: BronzeTables) -> DataFrame:
 
 
 SILVER_COLUMNS = [
-    "order_id", "order_date", "shipping_date", "order_country", "order_region", "market",
+    "order_id", "line_number", "order_date", "shipping_date", "order_country", "order_region", "market",
     "shipping_mode", "customer_segment", "product_name", "late_delivery_risk", "delivery_status",
     "delay_days", "is_delayed", "profit_margin_flag", "route_delay_rate", "route_avg_delay_days",
     "route_order_count", "supplier_name", "supplier_tier", "supplier_region", "supplier_country_code",
@@ -109,8 +109,7 @@ ROUTE_COLUMNS = ("route_delay_rate", "route_avg_delay_days", "route_order_count"
 
 
 def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
-           lines_seen: Observation | None = None,
-           max_broadcast_rows: int = J.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           lines_seen: Observation | None = None) -> DataFrame:
     """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet).
 
     ``needed`` (default: all) names the output columns a caller reads; steps
@@ -122,51 +121,34 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
         return want is None or bool(want & set(cols))
 
     lines = shipping_features(bronze.shipping)
+    df = lines
     if lines_seen is not None:
-        # Q6: counted inside the same job as the write, no extra pass
-        lines = lines.observe(lines_seen, F.count(F.lit(1)).alias("rows"))
-    # Right sides of the joins, size-checked together (independent small jobs).
-    # Route statistics come from the bare feature lines, so their branch does
-    # not repeat the dimension joins.
-    sides = {}
+        # Q6: only the branch that is written is counted, not the statistics'
+        df = df.observe(lines_seen, F.count(F.lit(1)).alias("rows"))
     if uses(SUPPLIER_COLUMNS):
-        sides["supplier"] = (J.supplier_keyed(bronze.suppliers), False)
+        df = J.join_suppliers(df, bronze.suppliers)
     if uses(COUNTRY_COLUMNS):
-        sides["country"] = (J.country_side(bronze.country_scores), False)
+        df = J.join_country_scores(df, bronze.country_scores)
     if uses(WEATHER_COLUMNS):
-        sides["weather"] = (J.storm_stats_by_state(bronze.weather), True)
-    if uses(ROUTE_COLUMNS):
-        sides["route"] = (J.route_side(lines), True)
-    checked = J.broadcast_all_if_bounded(sides, max_broadcast_rows)
-
-    df = lines
-    if "supplier" in checked:
-        df = J.join_suppliers(df, bronze.suppliers, checked=checked["supplier"])
-    if "country" in checked:
-        df = J.join_country_scores(df, bronze.country_scores, checked=checked["country"])
-    if "weather" in checked:
-        df = J.join_weather(df, bronze.weather, checked=checked["weather"])
+        df = J.join_weather(df, bronze.weather)
     if uses(SIGNAL_COLUMNS):
         df = J.attach_scalars(df, **global_signals(bronze, None if want is None else sorted(want)))
-    if "route" in checked:
-        df = J.join_route_stats(df, checked=checked["route"])
+    if uses(ROUTE_COLUMNS):
+        df = J.join_route_stats(df, source=lines)
     return df
 
 
 def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None,
-           lines_seen: Observation | None = None,
-           max_broadcast_rows: int = J.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           lines_seen: Observation | None = None) -> DataFrame:
     """The silver table (without lineage columns) with its N2 defaults.
 
     ``columns`` restricts the output (and the enrichment steps) to what a
     reader needs; by default all silver columns are built.  ``lines_seen``
     receives the number of shipping lines entering the joins.
-    ``max_broadcast_rows`` bounds the join sides that are broadcast; larger
-    sides are shuffle-joined.
     """
     cols = list(SILVER_COLUMNS) if columns is None else list(columns)
     cols += [c for c in extra if c not in cols]
-    df = enrich(bronze, None if columns is None else cols, lines_seen, max_broadcast_rows)
+    df = enrich(bronze, None if columns is None else cols, lines_seen)
     fills = {k: v for k, v in K.SILVER_DEFAULTS.items() if k in cols}
     out = df.select(*cols)
     return out.fillna(fills) if fills else out

@@ -4,30 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# FIXED VALUES: names and types of the source files.
 # Order-line export: 53 columns, bound by position (the header row is skipped,
-# its text is not checked).  i = int, d = double, s = string.
+# its text is not checked).
 SHIPPING_CSV_COLUMNS = [
-    ("Type", "s"), ("Days_for_shipping_real", "i"), ("Days_for_shipment_scheduled", "i"),
-    ("Benefit_per_order", "d"), ("Sales_per_customer", "d"), ("Delivery_Status", "s"),
-    ("Late_delivery_risk", "i"), ("Category_Id", "i"), ("Category_Name", "s"), ("Customer_City", "s"),
-    ("Customer_Country", "s"), ("Customer_Email", "s"), ("Customer_Fname", "s"), ("Customer_Id", "i"),
-    ("Customer_Lname", "s"), ("Customer_Password", "s"), ("Customer_Segment", "s"),
-    ("Customer_State", "s"), ("Customer_Street", "s"), ("Customer_Zipcode", "s"),
-    ("Department_Id", "i"), ("Department_Name", "s"), ("Latitude", "d"), ("Longitude", "d"),
-    ("Market", "s"), ("Order_City", "s"), ("Order_Country", "s"), ("Order_Customer_Id", "i"),
-    ("Order_Date", "s"), ("Order_Id", "i"), ("Order_Item_Cardprod_Id", "i"), ("Order_Item_Discount", "d"),
-    ("Order_Item_Discount_Rate", "d"), ("Order_Item_Id", "i"), ("Order_Item_Product_Price", "d"),
-    ("Order_Item_Profit_Ratio", "d"), ("Order_Item_Quantity", "i"), ("Sales", "d"),
-    ("Order_Item_Total", "d"), ("Order_Profit_Per_Order", "d"), ("Order_Region", "s"),
-    ("Order_State", "s"), ("Order_Status", "s"), ("Order_Zipcode", "s"), ("Product_Card_Id", "i"),
-    ("Product_Category_Id", "i"), ("Product_Description", "s"), ("Product_Image", "s"),
-    ("Product_Name", "s"), ("Product_Price", "d"), ("Product_Status", "i"), ("Shipping_Date", "s"),
-    ("Shipping_Mode", "s"),
+    ("Type", "string"), ("Days_for_shipping_real", "int"), ("Days_for_shipment_scheduled", "int"),
+    ("Benefit_per_order", "double"), ("Sales_per_customer", "double"), ("Delivery_Status", "string"),
+    ("Late_delivery_risk", "int"), ("Category_Id", "int"), ("Category_Name", "string"), ("Customer_City", "string"),
+    ("Customer_Country", "string"), ("Customer_Email", "string"), ("Customer_Fname", "string"), ("Customer_Id", "int"),
+    ("Customer_Lname", "string"), ("Customer_Password", "string"), ("Customer_Segment", "string"),
+    ("Customer_State", "string"), ("Customer_Street", "string"), ("Customer_Zipcode", "string"),
+    ("Department_Id", "int"), ("Department_Name", "string"), ("Latitude", "double"), ("Longitude", "double"),
+    ("Market", "string"), ("Order_City", "string"), ("Order_Country", "string"), ("Order_Customer_Id", "int"),
+    ("Order_Date", "string"), ("Order_Id", "int"), ("Order_Item_Cardprod_Id", "int"), ("Order_Item_Discount", "double"),
+    ("Order_Item_Discount_Rate", "double"), ("Order_Item_Id", "int"), ("Order_Item_Product_Price", "double"),
+    ("Order_Item_Profit_Ratio", "double"), ("Order_Item_Quantity", "int"), ("Sales", "double"),
+    ("Order_Item_Total", "double"), ("Order_Profit_Per_Order", "double"), ("Order_Region", "string"),
+    ("Order_State", "string"), ("Order_Status", "string"), ("Order_Zipcode", "string"), ("Product_Card_Id", "int"),
+    ("Product_Category_Id", "int"), ("Product_Description", "string"), ("Product_Image", "string"),
+    ("Product_Name", "string"), ("Product_Price", "double"), ("Product_Status", "int"), ("Shipping_Date", "string"),
+    ("Shipping_Mode", "string"),
 ]
-_TYPES = {"s": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType()}
-SHIPPING_CSV = T.StructType([T.StructField(n, _TYPES[t], True) for n, t in SHIPPING_CSV_COLUMNS])
+SHIPPING_CSV = ", ".join(f"{name} {kind}" for name, kind in SHIPPING_CSV_COLUMNS)
 
-# Personal columns never copied past bronze.
+# FIXED VALUES: personal columns, which silver never selects.
 SHIPPING_PERSONAL = ["Customer_Email", "Customer_Fname", "Customer_Lname", "Customer_Password",
                      "Customer_Street"]
 
@@ -52,7 +52,7 @@ SHIPPING_ROLES = {
     "Order_Profit_Per_Order": "order_profit",
 }
 
-# Storm event files: the columns kept, their target names and types.
+# FIXED VALUES.  Storm event files: the columns kept, their target names and types.
 STORM_COLUMNS = [
     ("BEGIN_YEARMONTH", "begin_yearmonth", "string"), ("BEGIN_DAY", "begin_day", "int"),
     ("BEGIN_TIME", "begin_time", "string"), ("END_YEARMONTH", "end_yearmonth", "string"),
@@ -100,3 +100,13 @@ PRICE_OBSERVATIONS = T.StructType([
         T.StructField("value", T.StringType()),
     ]))),
 ])
+
+# Every field of a feed item is text; a title such as "007" stays one.
+NEWS_ITEM = T.StructType([
+    T.StructField("title", T.StringType()),
+    T.StructField("pubDate", T.StringType()),
+    T.StructField("description", T.StringType()),
+    T.StructField("link", T.StringType()),
+    T.StructField("source", T.StructType([T.StructField("_VALUE", T.StringType()),
+                                          T.StructField("_url", T.StringType())])),
+])

@@ -8,8 +8,6 @@ so verifying a write needs no second pass over the data.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +34,13 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str
 
 # K2 -------------------------------------------------------------------------
 def existing_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType | None:
+    """Schema of the table at ``path``; None if nothing is there.  A table that is there
+    and can't be read raises, so that it isn't taken for a new one."""
     try:
         return spark.read.format(fmt).load(path).schema
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -59,10 +61,22 @@ def overwrite_same_schema(spark: SparkSession, df: DataFrame, path: str, fmt: st
 
 
 # K4 -------------------------------------------------------------------------
-def versioned_path(base: str, version: str) -> str:
-    """A table that is also its job's input is never overwritten in place:
-    each run writes ``<base>/v=<version>`` and the run log names the current one."""
-    return f"{base.rstrip('/')}/v={version}"
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished table at ``staged`` in the place of the one at ``path``.
+
+    Input = output: a job writes beside the table that it reads or replaces, checks
+    what it wrote, and then publishes it by two renames in the file system that holds
+    both.  Until then the old table is untouched; between the renames it stands at
+    ``<path>.old``, which the next publication removes."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new, current, old = hadoop(staged), hadoop(path), hadoop(f"{path}.old")
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if fs.exists(current) and not fs.rename(current, old):
+        raise OSError(f"{path}: can't be moved aside")
+    if not fs.rename(new, current):
+        raise OSError(f"{staged}: can't be moved to {path}")
+    fs.delete(old, True)
 
 
 # K5 -------------------------------------------------------------------------
@@ -98,9 +112,8 @@ RUN_LOG = T.StructType([
 def log_run(spark: SparkSession, log_path: str, job: str, table_path: str, operation: str,
             rows: int, version: str = "") -> None:
     """Append one row to the run log (the write history of every table)."""
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(job, table_path, operation, int(rows), version, now)], RUN_LOG)
-    row.write.mode("append").parquet(log_path)
+    row = spark.createDataFrame([(job, table_path, operation, int(rows), version)], T.StructType(RUN_LOG.fields[:-1]))
+    row.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(log_path)
 
 
 def history(spark: SparkSession, log_path: str, table_path: str | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from chainsight import PIPELINE_VERSION
 from chainsight import schemas as SC
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
+from chainsight.operators.sets import tag_series
 
 
 def _lineage(df: DataFrame, source_name: str, with_file: bool = True) -> DataFrame:
@@ -42,9 +43,12 @@ def read_shipping_raw(spark: SparkSession, path: str | Sequence[str]) -> DataFra
             .csv(path if isinstance(path, str) else list(path)))
 
 
-def shipping_bronze(raw: DataFrame) -> DataFrame:
-    """Bronze shipping table: raw columns minus personal data, plus lineage."""
-    return _lineage(raw.drop(*SC.SHIPPING_PERSONAL), "order_line_export")
+def shipping_bronze(raw: DataFrame, drop_columns: Sequence[str] = ()) -> DataFrame:
+    """Bronze shipping table: raw columns plus lineage.
+
+    ``drop_columns`` names source columns that must not be stored, such as
+    ``schemas.SHIPPING_PERSONAL``; silver never selects those."""
+    return _lineage(raw.drop(*drop_columns), "order_line_export")
 
 
 def shipping_roles(raw: DataFrame) -> DataFrame:
@@ -61,10 +65,10 @@ def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Storm event files (gzip CSV, several years) in one scan.
 
     Read as text (no inference pass over compressed files), then cast in one
-    projection.  A gzip file is one task; with many yearly/monthly files the
-    scan is parallel across files.
+    projection.  A gzip file can't be split, so reading it is one task; its rows
+    are dealt out evenly before all that follows.
     """
-    raw = spark.read.option("header", True).option("multiLine", False).csv(list(paths))
+    raw = spark.read.option("header", True).option("multiLine", False).csv(list(paths)).hint("rebalance")
     cols = []
     for src, dst, typ in SC.STORM_COLUMNS:
         c = F.col(f"`{src}`")
@@ -76,44 +80,35 @@ def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 # S4 + W2 --------------------------------------------------------------------
-def _feed_source(items: DataFrame):
-    """The ``<source url=...>name</source>`` text: a struct with ``_VALUE``
-    when any item carries the attribute, plain text otherwise, or absent."""
-    if "source" not in items.columns:
-        return F.lit(None)
-    if isinstance(items.schema["source"].dataType, T.StructType):
-        return F.col("source._VALUE")
-    return F.col("source")
-
-
-def read_news(spark: SparkSession, path: str, summary_chars: int = K.NEWS_SUMMARY_CHARS) -> DataFrame:
+def read_news(spark: SparkSession, path: str, summary_chars: int | None = None) -> DataFrame:
     """Landed RSS feeds, one folder per search query: ``<path>/<query>/*.xml``.
 
-    Each ``<item>`` becomes a row; the feed's ``<source>`` element has text
-    and a ``url`` attribute (missing -> "Unknown"); the summary is cut to
-    ``summary_chars``; the query tag is the parent folder name.  ``feed_order``
-    keeps file and item order for the first-per-title de-duplication.
+    Each ``<item>`` becomes a row, its fields read as text (missing -> ""); the
+    feed's ``<source>`` element has text and a ``url`` attribute (missing ->
+    "Unknown"); ``summary_chars`` may cut the summary, which is whole by default;
+    the query tag is the parent folder name.  ``feed_order`` keeps file and item
+    order for the first-per-title de-duplication.
     """
-    items = (spark.read.format("xml").option("rowTag", "item")
+    items = (spark.read.format("xml").option("rowTag", "item").schema(SC.NEWS_ITEM)
              .option("recursiveFileLookup", True).load(path))
     file_path = F.col("_metadata.file_path")
+
     def text(name: str):
-        """An item field as text; a field no item carries is absent from the
-        inferred schema and reads as empty, like a missing field."""
-        c = F.col(name).cast("string") if name in items.columns else F.lit(None).cast("string")
-        return F.coalesce(c, F.lit(""))
+        return F.coalesce(F.col(name), F.lit("")).alias(name)
 
     df = items.select(
-        text("title").alias("title"),
-        text("pubDate").alias("published"),
-        F.substring(text("description"), 1, summary_chars).alias("summary"),
-        text("link").alias("link"),
-        F.coalesce(_feed_source(items).cast("string"), F.lit("Unknown")).alias("source"),
+        text("title"),
+        F.coalesce("pubDate", F.lit("")).alias("published"),
+        F.coalesce("description", F.lit("")).alias("summary"),
+        text("link"),
+        F.coalesce("source._VALUE", F.lit("Unknown")).alias("source"),
         F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1).alias("query_used"),
         F.current_date().cast("string").alias("ingested_date"),
         F.struct(file_path.alias("file"), F.monotonically_increasing_id().alias("item")).alias("feed_order"),
     )
-    return df
+    if summary_chars is not None:
+        df = df.withColumn("summary", F.substring("summary", 1, summary_chars))
+    return _lineage(df, "news_feed", with_file=False)
 
 
 # S5 + U1 --------------------------------------------------------------------
@@ -124,20 +119,19 @@ def read_commodity(spark: SparkSession, path: str,
 
     One scan over all files (the union of the series), exploded to one row
     per observation; ``"."`` marks a missing value and is dropped; the metric
-    name comes from a literal map of series ids.
+    name comes from a literal map of series ids (a series not in it keeps its id).
     """
     names = dict(series_names or dict(K.COMMODITY_SERIES))
     raw = spark.read.option("multiLine", True).schema(SC.PRICE_OBSERVATIONS).json(path)
     series = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
     obs = raw.select(series.alias("series_id"), F.explode("observations").alias("o"))
     obs = obs.where(F.col("o.value") != K.MISSING_OBSERVATION)
-    lookup = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    return obs.select(
+    prices = obs.select(
         F.col("o.date").alias("date"),
         F.col("o.value").try_cast("double").alias("value"),
         "series_id",
-        lookup[F.col("series_id")].alias("metric_name"),
-    ).withColumn("ingested_date", F.current_date()).withColumn("ingested_ts", F.current_timestamp()) \
+    )
+    return tag_series(prices, names).withColumn("ingested_date", F.current_date()).withColumn("ingested_ts", F.current_timestamp()) \
      .withColumn("source", F.lit("price_api"))
 
 
@@ -145,16 +139,19 @@ def read_commodity(spark: SparkSession, path: str,
 def read_country_scores(spark: SparkSession, path: str) -> DataFrame:
     """Country logistics scores (CSV with header) plus the F8 tier."""
     df = spark.read.option("header", True).schema(SC.COUNTRY_SCORES).csv(path)
-    return df.withColumn("logistics_risk_tier", FX.logistics_tier("lpi_score"))
+    df = (df.withColumn("logistics_risk_tier", FX.logistics_tier("lpi_score"))
+          .withColumn("year", F.lit(K.SCORE_YEAR)).withColumn("data_source", F.lit(K.SCORE_SOURCE)))
+    return _lineage(df, "country_scores", with_file=False)
 
 
 # S7 -------------------------------------------------------------------------
 def read_suppliers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Supplier dimension with its declared schema."""
-    reader = spark.read.format(fmt)
+    """Supplier dimension with its declared schema; NOT NULL is checked by the job
+    (``supplier_null_check``), as no file format enforces it on reading."""
+    reader = spark.read.format(fmt).schema(SC.SUPPLIERS)
     if fmt == "csv":
-        reader = reader.option("header", True).schema(SC.SUPPLIERS)
-    return reader.load(path)
+        reader = reader.option("header", True)
+    return _lineage(reader.load(path), "supplier_master", with_file=False)
 
 
 def supplier_null_check(suppliers: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def _raw_inputs(root):
                 "Order_Profit_Per_Order": f"{(i % 7) - 3}.5", "Delivery_Status": "x", "Order_Date": "1/2/2018 10:00"}
         row = []
         for name, typ in SC.SHIPPING_CSV_COLUMNS:
-            row.append(vals.get(name, {"s": "x", "i": "1", "d": "1.0"}[typ]))
+            row.append(vals.get(name, {"string": "x", "int": "1", "double": "1.0"}[typ]))
         lines.append(",".join(row))
     with open(os.path.join(root, "orders.csv"), "wb") as f:
         f.write(("\n".join([header, *lines]) + "\n").encode("latin-1"))
@@ -82,7 +82,16 @@ def test_raw_files_through_all_jobs(spark, tmp_dir):
     assert result["bronze"] == {"shipping_events": 60, "weather_events": 3, "news_disruptions": 2,
                                 "commodity_prices": 2, "supplier_risk": 2, "supplier_master": 5}
     assert result["silver_rows"] == 60
-    assert set(result["gold"]) == {"market_dashboard", "route_risk", "supplier_leaderboard", "kpi_summary"}
+    assert set(result["gold"]) == {"market_dashboard", "route_risk", "supplier_leaderboard", "mode_performance",
+                                   "kpi_summary"}
+    assert set(os.listdir(f"{out}/reports")) == {
+        "dq_shipping", "dq_weather", "series_profile", "dq_silver", "join_coverage", "confusion",
+        "feature_importance", "accuracy_by_market", "model_metrics"}
+    for name in result["bronze"]:
+        columns = set(spark.read.parquet(f"{out}/bronze/{name}").columns)
+        lineage = {"ingested_ts", "source"} if name == "commodity_prices" else \
+            {"_ingested_at", "_source_name", "_pipeline_version"}
+        assert lineage <= columns, name
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     by_country = {r.order_country: r for r in silver.select("order_country", "lpi_score", "logistics_risk_tier",
                                                             "supplier_risk_flag", "commodity_shock_flag",
@@ -103,10 +112,34 @@ def test_silver_job_rejects_fan_out(spark, tmp_dir):
     from chainsight.plans.catalog import bronze
 
     b = bronze(spark, SF001)
+    out = os.path.join(tmp_dir, "fan")
+    rows = JB.silver_job(spark, b, out)
     dup = b.country_scores.unionByName(b.country_scores.where(F.col("country") == "NATION_0"))
     b.__dict__["country_scores"] = dup
     with pytest.raises(JB.RowParityError):
-        JB.silver_job(spark, b, os.path.join(tmp_dir, "fan"))
+        JB.silver_job(spark, b, out)
+    # the failed run left the earlier table as it was
+    assert spark.read.parquet(f"{out}/silver/supply_chain_master").count() == rows
+
+
+def test_main_keeps_the_sessions_settings(spark, monkeypatch, tmp_dir):
+    seen = {}
+
+    def run(session, sf_dir, out):
+        seen.update(master=session.sparkContext.master, partitions=session.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(JB, "run_on_test_tables", run)
+    before = spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions")
+    JB.main(["--test-tables", SF001, "--out", tmp_dir])
+    assert (seen["master"], seen["partitions"]) == before
+
+
+def test_null_in_a_required_supplier_column(spark):
+    import pytest
+
+    row = (None, "S", "USA", "USA", "NA", "Retail", 1, 10, 1.0, 70.0, 50.0, None, datetime(2024, 1, 1))
+    loose = type(SC.SUPPLIERS)([type(f)(f.name, f.dataType, True) for f in SC.SUPPLIERS])
+    with pytest.raises(JB.NullInRequiredColumn):
+        JB.require_suppliers(spark.createDataFrame([row], loose))
 
 
 def test_shipping_enriched_side_table(spark, tmp_dir):

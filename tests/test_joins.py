@@ -58,24 +58,17 @@ def test_route_stats_join_and_window_agree_with_null_keys(spark):
     assert joined[5].route_order_count == 300
 
 
-def test_broadcast_only_within_bound(spark):
-    fact = spark.range(100).withColumn("k", F.col("id") % 10)
-    dim = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = fact.join(J.broadcast_if_bounded(dim, 100), "k")
-        big = fact.join(J.broadcast_if_bounded(dim, 5), "k")
-        small.collect(), big.collect()
-        assert "BroadcastHashJoin" in plan_text(small)
-        assert "BroadcastHashJoin" not in plan_text(big)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_coverage(spark):
+    df = spark.createDataFrame([("a", 1), (None, None), ("b", None)], "supplier_name string, lpi_score int")
+    got = {tuple(r) for r in J.join_coverage(df, {"supplier": "supplier_name", "scores": "lpi_score"}).collect()}
+    assert got == {("supplier", 3, 2, 66.7), ("scores", 3, 1, 33.3)}
+    empty = J.join_coverage(df.where("false"), {"supplier": "supplier_name"}).first()
+    assert tuple(empty) == ("supplier", 0, 0, None)
 
 
-def test_coverage(spark):
-    df = spark.createDataFrame([("a",), (None,), ("b",)], "supplier_name string")
-    r = J.join_coverage(df, "supplier_name").first()
-    assert (r.total_rows, r.matched_rows, r.matched_pct) == (3, 2, 66.7)
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "k int")
+    assert [tuple(r) for r in J.duplicate_keys(df, "k").collect()] == [(2, 2)]
 
 
 def first_per_key_window(df, keys, order):
@@ -109,7 +102,7 @@ def test_scalars_attach_without_cross_join(spark):
 
 
 def test_silver_same_rows_without_broadcasts(spark):
-    """The fallback above the broadcast bound (shuffle joins) gives the same silver."""
+    """Sides too large to broadcast (shuffle joins) give the same silver."""
     from chainsight.plans import catalog as C
     from .conftest import SF001
 
@@ -117,11 +110,44 @@ def test_silver_same_rows_without_broadcasts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = S.silver(b, extra=["line_number"], max_broadcast_rows=0)
+        shuffled = S.silver(b)
         rows_shuffled = sorted(map(tuple, shuffled.collect()), key=str)
-        assert "SortMergeJoin" in plan_text(shuffled)
+        assert "SortMergeJoin" in plan_text(shuffled) and "BroadcastHashJoin" not in plan_text(shuffled)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    broadcast = S.silver(b, extra=["line_number"])
-    assert rows_shuffled == sorted(map(tuple, broadcast.collect()), key=str)
+    assert rows_shuffled == sorted(map(tuple, S.silver(b).collect()), key=str)
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Nothing is counted, persisted or run before the caller asks for rows."""
+    from chainsight.plans import catalog as C
+    from .conftest import SF001
+
+    C.bronze(spark, SF001).shipping.count()  # the files' schemas are known now
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        S.silver(C.bronze(spark, SF001))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    C.QUERIES["route_risk"](spark, SF001).collect()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_latest_value_does_not_depend_on_row_order(spark):
+    from chainsight.operators import aggregates as G
+
+    rows = [("oil_price_usd", "2024-01-01", 80.0), ("oil_price_usd", "2024-01-01", 90.0), ("oil_price_usd", "2024-02-01", None)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "metric_name string, date string, value double").coalesce(1)
+        assert tuple(G.commodity_shock(df).first()) == (90.0, 1)
+        latest = G.latest_by_series(df).first()
+        assert (latest.latest_value, latest.observations, latest.shock_flag) == (90.0, 2, 1)
+
+
+def test_unlisted_series_are_kept(spark):
+    from chainsight.operators.sets import tag_series
+
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "series_id string, value double")
+    assert {tuple(r) for r in tag_series(df, {"a": "first"}).collect()} == {("a", 1.0, "first"), ("b", 2.0, "b")}

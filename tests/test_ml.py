@@ -32,7 +32,7 @@ def test_predictions_table(spark, fitted):
     model, _, test = fitted
     pred = M.predictions_table(model, test)
     assert pred.count() == test.count()
-    assert set(M.PREDICTION_COLUMNS) <= set(pred.columns)
+    assert {"order_id", "market", "actual_risk", "predicted_risk", "probability", "late_probability"} <= set(pred.columns)
     bad = pred.where((F.col("late_probability") < 0) | (F.col("late_probability") > 1)).count()
     assert bad == 0
     assert {r.predicted_risk for r in pred.select("predicted_risk").distinct().collect()} <= {0.0, 1.0}
@@ -81,6 +81,35 @@ def test_exact_metric_strings(spark):
 
 def test_random_split_option(spark):
     frame = M.model_frame(CM.silver(spark, SF001))
-    train, test = M.train_test_split(frame, CM.SPLIT_COLUMNS, method="random")
+    train, test = M.train_test_split(frame, method="random")
     n = frame.count()
     assert train.count() + test.count() == n and 0.7 < train.count() / n < 0.9
+
+
+def test_metrics_without_rows_or_with_one_class(spark):
+    schema = "label double, prediction double, score double"
+    empty = spark.createDataFrame([], schema)
+    r = M.accuracy_f1(empty).first()
+    assert (r.accuracy, r.f1, r.n) == (None, None, 0)
+    assert M.area_under_roc(empty).first().auc is None
+    one = spark.createDataFrame([(1.0, 1.0, 0.7), (1.0, 0.0, 0.2)], schema)
+    assert M.area_under_roc(one).first().auc is None and M.accuracy_f1(one).first().accuracy == 0.5
+    per = M.score_counts(one, prediction="prediction")
+    text = M.exact_metric_strings(M.confusion_from_score_counts(per), M.auc_fraction(one, per_score=per)).first()
+    assert (text.model_auc, text.model_accuracy) == (None, "0.5000")
+
+
+def test_rows_without_a_score_count(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 0.7), (0.0, 0.0, 0.2), (1.0, 0.0, None)],
+                               "label double, prediction double, score double")
+    counts = M.confusion_counts(df).first()
+    assert tuple(counts) == tuple(M.confusion_from_score_counts(M.score_counts(df, prediction="prediction")).first())
+    auc = M.area_under_roc(df).first()
+    assert (counts.n, auc.auc, auc.positives, auc.unscored) == (3, 1.0, 1, 1)
+
+
+@pytest.mark.parametrize("n", [4, 10**12, 10**14])
+def test_f1_text_at_any_size(spark, n):
+    counts = spark.createDataFrame([(n, n // 4, n // 4, n // 4, n // 4)], "n long, tp long, tn long, fp long, fn long")
+    frac = spark.createDataFrame([(1, 2)], "auc_num2 long, auc_den2 long")
+    assert tuple(M.exact_metric_strings(counts, frac).first()) == ("0.5000", "0.5000", "0.5000")

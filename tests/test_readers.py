@@ -12,7 +12,7 @@ from chainsight.sources import files as SRC
 def shipping_line(**over):
     vals = []
     for name, typ in SC.SHIPPING_CSV_COLUMNS:
-        v = over.get(name, {"s": "x", "i": "1", "d": "1.5"}[typ])
+        v = over.get(name, {"string": "x", "int": "1", "double": "1.5"}[typ])
         vals.append(v)
     return ",".join(vals)
 
@@ -34,7 +34,8 @@ def test_shipping_csv_latin1_quotes_bad_ints(spark, tmp_dir):
     assert roles[0].order_country == 'Côte "Ivoire"' and roles[0].order_id == 10
     assert roles[1].order_country == "Perú" and roles[1].order_id is None  # non-numeric int -> NULL
     bronze = SRC.shipping_bronze(raw)
-    assert "Customer_Password" not in bronze.columns and "_source_file" in bronze.columns
+    assert set(raw.columns) < set(bronze.columns) and "_source_file" in bronze.columns
+    assert "Customer_Password" not in SRC.shipping_bronze(raw, SC.SHIPPING_PERSONAL).columns
 
 
 def test_storm_gz_union_and_severity(spark, tmp_dir):
@@ -77,7 +78,10 @@ def test_news_rss_folders(spark, tmp_dir):
     rows = {(r.query_used, r.title): r for r in news.collect()}
     assert len(rows) == 3
     assert rows[("port_delay", "Calm")].source == "Unknown"
-    assert len(rows[("port_delay", "Calm")].summary) == 500
+    assert rows[("port_delay", "Calm")].summary == long
+    assert rows[("port_delay", "Calm")]._source_name == "news_feed"
+    cut = SRC.read_news(spark, os.path.join(tmp_dir, "news"), summary_chars=500)
+    assert max(len(r.summary) for r in cut.collect()) == 500
     assert rows[("supply_risk", "Port strike")].source == "Agency B"
     from chainsight.operators.windows import first_per_key
     dedup = first_per_key(news, ["title"], ["feed_order"]).collect()
@@ -85,6 +89,16 @@ def test_news_rss_folders(spark, tmp_dir):
     assert [r.query_used for r in dedup if r.title == "Port strike"] == ["port_delay"]
 
 
+def test_news_text_is_not_altered(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "q"))
+    with open(os.path.join(tmp_dir, "q", "feed.xml"), "w") as f:
+        f.write("<rss><channel>" + "".join(
+            f"<item><title>{t}</title><source>{s}</source></item>" for t, s in [("007", "1.50"), ("1e3", "B")])
+            + "</channel></rss>")
+    rows = {(r.title, r.source, r.summary) for r in SRC.read_news(spark, tmp_dir).collect()}
+    assert rows == {("007", "1.50", ""), ("1e3", "B", "")}
+
+
 def test_price_json_series(spark, tmp_dir):
     d = os.path.join(tmp_dir, "prices")
     os.makedirs(d)
@@ -111,7 +125,9 @@ def test_country_scores_csv(spark, tmp_dir):
                 "international_shipments_score,logistics_quality_score,timeliness_score\n")
         for name, s in [("A", 2.5), ("B", 3.0), ("C", 3.5), ("D", 4.0), ("E", 0), ("F", 5.1)]:
             f.write(f"{name},{name},R,{s},1,1,1,1,1\n")
-    tiers = [r.logistics_risk_tier for r in SRC.read_country_scores(spark, p).orderBy("country").collect()]
+    scores = SRC.read_country_scores(spark, p)
+    assert {"year", "data_source", "_ingested_at", "_source_name", "_pipeline_version"} <= set(scores.columns)
+    tiers = [r.logistics_risk_tier for r in scores.orderBy("country").collect()]
     assert tiers == ["Very High Risk", "High Risk", "Medium Risk", "Low Risk", None, None]
 
 

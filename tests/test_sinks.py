@@ -36,5 +36,31 @@ def test_run_log_history(spark, tmp_dir):
     assert [r.rows for r in hist] == [12, 10]
 
 
-def test_versioned_path():
-    assert W.versioned_path("/a/silver/", "3") == "/a/silver/v=3"
+def test_publish_replaces_a_table_that_is_its_own_input(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    W.overwrite(spark.range(3), path)
+    for _ in range(2):
+        W.overwrite(spark.read.parquet(path).selectExpr("id + 1 AS id"), f"{path}.new")
+        W.publish(spark, f"{path}.new", path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4]
+    assert os.listdir(tmp_dir) == ["t"]
+
+
+def test_unreadable_target_is_no_new_table(spark, tmp_dir):
+    from pyspark.errors import AnalysisException
+
+    path = os.path.join(tmp_dir, "broken")
+    os.makedirs(path)
+    with pytest.raises(AnalysisException):
+        W.overwrite_same_schema(spark, spark.range(1), path)
+    assert W.existing_schema(spark, os.path.join(tmp_dir, "none")) is None
+
+
+def test_run_log_time_does_not_depend_on_the_zone(spark, tmp_dir):
+    log, before = os.path.join(tmp_dir, "log"), spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        W.log_run(spark, log, "silver", "/t", "WRITE", 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert W.history(spark, log).selectExpr("abs(timestampdiff(MINUTE, logged_at, now())) < 5").first()[0]
