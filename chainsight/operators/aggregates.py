@@ -173,8 +173,9 @@ def class_balance(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 # G15 + F10 ------------------------------------------------------------------
 def news_level_summary(scored_news: DataFrame, score_col: str = "news_risk_score") -> DataFrame:
-    """One row: mean title score and the level it maps to (empty feed -> LOW)."""
-    return (scored_news.agg(F.avg(score_col).alias("avg_news_risk"))
+    """One row: number of articles, mean title score and the level it maps to (empty
+    feed -> LOW)."""
+    return (scored_news.agg(F.count(F.lit(1)).alias("articles"), F.avg(score_col).alias("avg_news_risk"))
             .withColumn("news_risk_level", FX.news_level("avg_news_risk")))
 
 
@@ -199,21 +200,23 @@ def commodity_shock(prices: DataFrame, metric: str = K.OIL_METRIC,
 
 
 # G13 ------------------------------------------------------------------------
-def kpi_summary(silver: DataFrame, model_metrics: DataFrame, news_level: Column,
+def kpi_summary(silver: DataFrame, model_metrics: DataFrame, news: DataFrame,
                 pipeline_version: str) -> DataFrame:
     """KPI rows (metric, value) as strings, all computed (none hard-coded).
 
     Totals are one aggregate pass; ``model_metrics`` is a one-row frame with
     the text columns ``model_auc``, ``model_accuracy``, ``model_f1``;
-    ``news_level`` is a scalar column.  Numbers are rounded half-up in decimal
+    ``news`` is the one-row frame of ``news_level_summary``.  Numbers are rounded half-up in decimal
     before they become text.
     """
     totals = kpi_totals(silver, as_double=False)
+    feed = news.select(F.struct("news_risk_level", "articles")).scalar()
     metrics = model_metrics.select(F.struct("model_auc", "model_accuracy", "model_f1")).scalar()
     row = totals.select(
         *[F.col(c).cast("string").alias(c) for c in totals.columns],
         *[metrics.getField(c).alias(c) for c in ("model_auc", "model_accuracy", "model_f1")],
-        news_level.alias("news_risk_level"),
+        feed.getField("news_risk_level").alias("news_risk_level"),
+        feed.getField("articles").cast("string").alias("news_articles"),
         F.lit(pipeline_version).alias("pipeline_version"),
     )
     names = row.columns

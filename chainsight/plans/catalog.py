@@ -550,7 +550,7 @@ def q_news_scores(spark, sf_dir):
         .select("title", "feed_order", "news_risk_score")
 
 
-@register("news_level", O.sql(["news_sum"], "SELECT avg_news_risk, news_risk_level FROM news_sum"))
+@register("news_level", O.sql(["news_sum"], "SELECT articles, avg_news_risk, news_risk_level FROM news_sum"))
 def q_news_level(spark, sf_dir):
     return S.news_summary(bronze(spark, sf_dir))
 

@@ -117,6 +117,7 @@ def _kpi_sql() -> str:
         ("model_accuracy", h("tp + tn", "n", 4), "counts"),
         ("model_f1", h(f1_num, f1_den, 4), "counts"),
         ("news_risk_level", news, "silver LIMIT 1"),
+        ("news_articles", "(SELECT CAST(articles AS VARCHAR) FROM news_sum)", "silver LIMIT 1"),
         ("pipeline_version", O.q(PIPELINE_VERSION), "silver LIMIT 1"),
     ]
     body = "\nUNION ALL ".join(f"(SELECT {O.q(m)} AS metric, {v} AS value FROM {src})" for m, v, src in rows)
@@ -125,15 +126,13 @@ def _kpi_sql() -> str:
 
 @register("kpi_summary", _kpi_sql())
 def q_kpi_summary(spark, sf_dir):
-    from pyspark import StorageLevel
     preds = fixed_predictions(spark, sf_dir)
     # one pass over the predictions feeds both the confusion counts and the AUC
-    per = M.score_counts(preds, "label", "score", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    per = M.score_counts(preds, "label", "score", "prediction")
     metrics = M.exact_metric_strings(M.confusion_from_score_counts(per),
                                      M.auc_fraction(preds, "label", "score", per_score=per))
     b = bronze(spark, sf_dir)
-    level = S.news_summary(b).select("news_risk_level").scalar()
-    return G.kpi_summary(S.silver(b, columns=G.COLUMNS["kpi_totals"]), metrics, level, PIPELINE_VERSION)
+    return G.kpi_summary(S.silver(b, columns=G.COLUMNS["kpi_totals"]), metrics, S.news_summary(b), PIPELINE_VERSION)
 
 
 # M1 -------------------------------------------------------------------------

@@ -180,7 +180,7 @@ def model_metrics(predictions: DataFrame) -> DataFrame:
     return M.exact_metric_strings(counts, frac)
 
 
-def gold_job(spark: SparkSession, silver: DataFrame, metrics: DataFrame, news_level, out: str,
+def gold_job(spark: SparkSession, silver: DataFrame, metrics: DataFrame, news: DataFrame, out: str,
              fmt: str = "parquet") -> dict[str, int]:
     """Market, route, supplier and mode marts plus the KPI summary (all computed);
     ``metrics`` is what ``model_job`` returned."""
@@ -190,7 +190,7 @@ def gold_job(spark: SparkSession, silver: DataFrame, metrics: DataFrame, news_le
         "route_risk": G.route_risk(silver).withColumn("_processed_at", stamp),
         "supplier_leaderboard": G.supplier_leaderboard(silver).withColumn("_processed_at", stamp),
         "mode_performance": G.mode_performance(silver).withColumn("_processed_at", stamp),
-        "kpi_summary": G.kpi_summary(silver, metrics, news_level, PIPELINE_VERSION),
+        "kpi_summary": G.kpi_summary(silver, metrics, news, PIPELINE_VERSION),
     }
     counts = {}
     for name, df in marts.items():
@@ -209,8 +209,7 @@ def run_on_test_tables(spark: SparkSession, sf_dir: str, out: str) -> dict[str,
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     metrics = model_job(spark, silver, out)
     result["model_metrics"] = metrics.first().asDict()
-    level = S.news_summary(b).select("news_risk_level").scalar()
-    result["gold"] = gold_job(spark, silver, metrics, level, out)
+    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out)
     return result
 
 
@@ -223,8 +222,7 @@ def run_on_raw_files(spark: SparkSession, raw: RawInputs, out: str, params: dict
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     metrics = model_job(spark, silver, out, params=params)
     result["model_metrics"] = metrics.first().asDict()
-    level = S.news_summary(b).select("news_risk_level").scalar()
-    result["gold"] = gold_job(spark, silver, metrics, level, out)
+    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out)
     return result
 
 

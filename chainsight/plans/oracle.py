@@ -191,7 +191,7 @@ news_scored AS (
 )""",
     "news_sum": f"""
 news_sum AS (
-  SELECT avg(news_risk_score) AS avg_news_risk, {news_level_case('avg(news_risk_score)')} AS news_risk_level
+  SELECT COUNT(*) AS articles, avg(news_risk_score) AS avg_news_risk, {news_level_case('avg(news_risk_score)')} AS news_risk_level
   FROM news_scored
 )""",
     "shock": f"""
