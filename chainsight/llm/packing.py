@@ -33,7 +33,7 @@ END = 1                 # id that ends every document
 PER_TASK = 100_000      # pieces that one task packs
 NEARLY_FULL = 0.99
 ROUNDS = 8
-KNOWN = 500_000         # words whose ids a worker remembers
+KNOWN = 1_000_000       # words whose ids a worker remembers
 
 
 # --------------------------------------------------------------------------
@@ -102,6 +102,8 @@ class Encoder(dict):
             return self.raw(text)
         if len(self) > KNOWN:
             self.clear()
+        if "<|" not in text:  # the tokenizer lower-cases, except its special tokens
+            text = text.encode().lower().decode()  # A to Z only
         return b"".join(map(self.__getitem__, text.split()))
 
 
