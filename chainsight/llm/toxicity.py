@@ -62,19 +62,17 @@ def number(kind: int, word: str) -> int:
     return kind << BITS | xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) & MASK
 
 
-def features(words: set[str], known: dict[str, tuple[int, int, int]]) -> np.ndarray:
+def features(words: set[str], known: dict[str, int]) -> np.ndarray:
     """Distinct feature numbers of a set of lower-case words: the words, the stems of
     longer words, and the stems that two or more of them share."""
-    if not words:
-        return np.empty(0, np.int64)
     if len(known) > KNOWN:
         known.clear()
-    for w in words.difference(known):
-        known[w] = (number(0, w), number(1, w[:STEM]), number(2, w[:STEM])) if len(w) > STEM \
-            else (number(0, w), -1, -1)
-    rows = np.array([known[w] for w in words], np.int64)
-    stems, many = np.unique(rows[rows[:, 1] >= 0][:, 1:], axis=0, return_counts=True)
-    return np.unique(np.concatenate((rows[:, 0], stems[:, 0], stems[many > 1, 1])))
+    for w in words.difference(known):  # the number of the word, and above it one more than that of its stem
+        known[w] = number(0, w) | (number(0, w[:STEM]) + 1 << BITS if len(w) > STEM else 0)
+    both = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    stems = both >> BITS
+    stems, many = np.unique(stems[stems > 0] - 1, return_counts=True)
+    return np.concatenate((np.unique(both & MASK), 1 << BITS | stems, 2 << BITS | stems[many > 1]))
 
 
 def words_of(text: str | None) -> set[str]:
@@ -147,7 +145,7 @@ class LabelModel:
             clean = known - toxic
         else:
             toxic, clean = counts * self.posterior, counts * (1 - self.posterior)
-        both = toxic.sum() + clean.sum()
+        both = max(1e-9, toxic.sum() + clean.sum())
         pairs = []
         for i in range(votes.shape[1]):
             for j in range(i):
@@ -249,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .orderBy(F.xxhash64("id"), "id").limit(labelled))
 
     def read(batches):
-        known: dict[str, tuple[int, int, int]] = {}
+        known: dict[str, int] = {}
         for batch in batches:
             found, fixed = [], []
             for value in batch.column(0):
@@ -271,7 +269,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.arrow_udf("long")
     def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[int, int, int]] = {}
+        known: dict[str, int] = {}
         bits = learned_flags(lexicons)
         for texts in batches:
             out = []
@@ -309,7 +307,7 @@ def score_column(text: Column, model: Model) -> Column:
     """Probability (0 to 1) that a text is toxic; a null or empty text has the bias's."""
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[int, int, int]] = {}
+        known: dict[str, int] = {}
         weight = np.zeros(3 << BITS)
         weight[model.numbers] = model.weights
         for texts in batches:
