@@ -6,6 +6,7 @@ import math
 import duckdb
 import pytest
 
+import __spark_entry__
 from chainsight.plans import catalog as E
 
 from .conftest import SF001
@@ -57,6 +58,6 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    df = __spark_entry__.entry(spark)
     rows = df.collect()
     assert len(rows) == 5 and df.columns[0] == "market"
