@@ -33,7 +33,7 @@ END = 1                 # id that ends every document
 PER_TASK = 100_000      # pieces that one task packs
 NEARLY_FULL = 0.99
 ROUNDS = 8
-KNOWN = 1_000_000       # words whose ids a worker remembers
+KNOWN = 600_000         # words whose ids a worker remembers
 
 
 # --------------------------------------------------------------------------
@@ -58,42 +58,28 @@ class Encoder(dict):
     """Ids of whole texts, equal to the tokenizer's.
 
     The tokenizer never merges across white space, nor across the border of a
-    run of letters, so this remembers the ids of every white-space-separated
-    part, and those of the runs of letters in them.  Texts that hold one of the
-    few control characters on whose being white space Python and the tokenizer
-    disagree are encoded whole."""
+    run of letters, so this remembers the ids of white-space-separated parts; a
+    word before a comma or full stop is the word and the sign.  Texts that hold
+    one of the few control characters on whose being white space Python and the
+    tokenizer disagree are encoded whole."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_str(text)
-        self.words: dict[str, bytes] = {}
         self.signs = {c: self.raw(c) for c in ",."}
 
     def raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        """Ids of a run of letters."""
-        plain = word.isascii()
-        if plain:  # the tokenizer lower-cases, and knows ASCII letters as they are
-            word = word.lower()
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) > KNOWN:
-                self.words.clear()
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes() if plain \
-                else self.raw(word)
-            self.words[word] = found
-        return found
-
     def __missing__(self, part: str) -> bytes:
         sign = self.signs.get(part[-1])
-        core = part if sign is None else part[:-1]
-        if not core.isalpha():
-            found = self.raw(part)
+        if sign is not None and part[:-1].isalpha():
+            return self[part[:-1]] + sign
+        if part.isascii() and part.isalpha():  # the tokenizer knows ASCII letters as they are, lower-cased
+            found = np.array([t.id for t in self.tokenizer.model.tokenize(part.lower())], "<u4").tobytes()
         else:
-            found = self.word(core) if sign is None else self.word(core) + sign
+            found = self.raw(part)
         self[part] = found
         return found
 
