@@ -233,7 +233,7 @@ def confusion_from_score_counts(per: DataFrame, prediction: str = "prediction")
     )
 
 
-def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 256,
+def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 32,
                  per_score: DataFrame | None = None) -> DataFrame:
     """Area under ROC as an exact fraction ``auc_num2 / auc_den2``.
 
@@ -253,8 +253,10 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
         every = score_counts(pred, label, score)
     else:  # from score_counts, possibly split by prediction
         every = per_score.groupBy(score).agg(*[F.sum(c).alias(c) for c in ("rows", "pos", "neg")])
-    unscored = every.where(s.isNull()).agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
-    per = every.where(s.isNotNull())
+    # the row of the missing score stays, with nothing to rank: one plan for all that follows
+    scored = s.isNotNull()
+    per = every.select(score, *[F.when(scored, F.col(c)).otherwise(0).alias(c) for c in ("pos", "neg")],
+                       F.when(~scored, F.col("rows")).otherwise(0).alias("_unscored"))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = per.agg(F.percentile_approx(score, probs, 10_000)).scalar()
     per = per.withColumn("_bounds", bounds) \
@@ -268,8 +270,8 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
     per = per.join(F.broadcast(offsets), "_bucket")
     below = (F.col("_offset") + F.col("_below")).cast("decimal(38,0)")
     term = F.col("pos").cast("decimal(38,0)") * (2 * below + F.col("neg"))
-    out = per.agg(F.sum(term).alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")) \
-        .withColumn("unscored", unscored)
+    out = per.agg(F.sum(term).alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
+                  F.coalesce(F.sum("_unscored"), F.lit(0)).alias("unscored"))
     return out.withColumn("auc_den2", F.lit(2).cast("decimal(38,0)") * F.col("positives") * F.col("negatives"))
 
 
