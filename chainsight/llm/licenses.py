@@ -102,6 +102,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC0-1.0",
     ],
     "proprietary": [
+        "All rights reserved.",
         "All rights reserved. Confidential and proprietary. Unauthorized copying of this file is prohibited.",
         "No part of this work may be reproduced without the written permission of the copyright holder.",
     ],

@@ -53,3 +53,18 @@ def test_messy_rows(spark):
     scanner = licenses.train(docs)
     assert licenses.scan_licences(docs, scanner).count() == len(ROWS)
     assert licenses.scan_licences(empty(spark), licenses.train(empty(spark))).count() == 0
+
+
+def test_query_finds_all_rights_reserved(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    rows = queries.op6_license_scan(spark, SF01).collect()
+    want = {d for d, text in docs.items() if "All rights reserved." in text.split("\n")}
+    assert want and {r.doc_id for r in rows if "proprietary" in r.families.split(",")} == want
+
+
+def test_all_rights_reserved_whatever_the_corpus():
+    for others in (["text"], ["the"], [f"word{i}" for i in range(50)], "all of the rights of the house".split()):
+        scanner = licenses.Scanner([[*others, "in", "the", f"number{i}"] for i in range(200)])
+        found = scanner.line(licenses.words_of("All rights reserved."))
+        assert found and found[0] == "proprietary" and found[1] > 0.9
+        assert scanner.line(licenses.words_of("In. The.")) is None
