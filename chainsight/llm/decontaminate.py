@@ -9,16 +9,20 @@ shuffle:
 1. Counting bound, which loses nothing: of the m shingles of such a window at
    least ``2 * t * m / (1 + t)`` occur in some item.  Shorter or emptier
    windows are not fingerprinted.
-2. The window's SimHash, from prefix sums of the shingles' bits.
+2. The window's SimHash, from prefix sums of the shingles' bits.  Windows that
+   repeat a shingle, and all windows of an item size of which some item does, go
+   by a counting bound for each item instead, which loses nothing.
 3. Multi-index Hamming blocks: the 64 bits are cut into ``BLOCKS`` blocks, and
    an item within ``RADIUS`` bits has a block within ``RADIUS // BLOCKS`` bits, so
    the block tables return every item within the radius.
 4. Exact weighted-shingle similarity, on the words themselves, of the windows
    and items that remain.
 
-The SimHash radius: at similarity 0.8 the angle between the two shingle
-vectors is at most 0.48, so 9.7 bits differ on average, with a standard
-deviation of 2.9; the radius lies more than four deviations above.
+The SimHash radius: where neither side repeats a shingle, the angle between the
+two shingle vectors is at most 0.48 at similarity 0.8, so 9.7 bits differ on
+average, with a standard deviation of 2.9; the radius lies more than four
+deviations above.  Repeats weigh more in the angle than in the similarity (1000
+shingles of which 111 are one repeated shingle: about 27 bits), hence step 2.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words; the
 documents are read once for each block.
@@ -86,6 +90,15 @@ def bit_sums(shingles: np.ndarray) -> np.ndarray:
     return sums
 
 
+def repeats_within(shingles: np.ndarray) -> np.ndarray:
+    """For each place the latest start of a window that ends there and repeats a shingle; -1: none."""
+    order = np.argsort(shingles, kind="stable")
+    same = shingles[order[1:]] == shingles[order[:-1]]
+    earlier = np.full(len(shingles), -1)
+    earlier[order[1:][same]] = order[:-1][same]
+    return np.maximum.accumulate(earlier)
+
+
 def pack_bits(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").ravel()
 
@@ -111,7 +124,9 @@ class Items:
             k = min(SHINGLE, len(words))
             own = shingle_hashes(word_hashes(words, known), k)
             shingles.setdefault(k, []).append(own)
-            group = self.by_size.setdefault(len(words), {"k": k, "at": [], "code": []})
+            group = self.by_size.setdefault(len(words), {"k": k, "at": [], "code": [], "own": [], "repeats": False})
+            group["own"].append(np.unique(own))
+            group["repeats"] |= len(group["own"][-1]) < len(own)
             group["at"].append(at)
             group["code"].append(pack_bits(bit_sums(own)[-1:])[0])
         self.tables = {}  # shingle length -> sorted shingles of all items, and a bit table over them
@@ -128,6 +143,11 @@ class Items:
             group["blocks"] = [np.unique((code >> np.uint64(b * width)) & np.uint64((1 << width) - 1),
                                          return_inverse=True) for b in range(BLOCKS)]
             group["near"] = near
+            own = group.pop("own")
+            holder = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            own = np.concatenate(own)
+            order = np.argsort(own, kind="stable")
+            group["shingles"], group["holder"] = own[order], holder[order]  # and the items that hold them
 
     def within(self, size: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, place in the size's group) of all codes within the radius."""
@@ -141,6 +161,21 @@ class Items:
         close = np.bitwise_count(codes[window] ^ group["code"][item]) <= RADIUS
         return window[close], item[close]
 
+    def sharing(self, size: int, shingles: np.ndarray, starts: np.ndarray, span: int, need: int):
+        """(window, place in the size's group) of all windows with ``need`` or more
+        shingles that occur in that item."""
+        group = self.by_size[size]
+        low = np.searchsorted(group["shingles"], shingles, "left")
+        many = np.searchsorted(group["shingles"], shingles, "right") - low
+        total = np.concatenate(([0], np.cumsum(many > 0)))
+        for window in np.flatnonzero(total[starts + span] - total[starts] >= need).tolist():
+            at = slice(int(starts[window]), int(starts[window]) + span)
+            first, n = low[at], many[at]
+            every = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+            places, count = np.unique(group["holder"][every], return_counts=True)
+            for place in places[count >= need].tolist():
+                yield window, place
+
     def hits(self, shingles: np.ndarray, k: int) -> np.ndarray:
         """Which shingles occur in some item."""
         every, bits = self.tables[k]
@@ -164,6 +199,7 @@ class Items:
             if not hit.any():
                 continue
             total = np.concatenate(([0], np.cumsum(hit)))
+            repeats = None
             for size, group in self.by_size.items():
                 if group["k"] != k:
                     continue
@@ -171,12 +207,21 @@ class Items:
                 span = min(m, len(shingles))  # a shorter text is one window
                 need = math.ceil(THRESHOLD * (m + span) / (1 + THRESHOLD) - 1e-9)
                 starts = np.flatnonzero(total[span:] - total[:-span] >= need)
-                if len(starts):
-                    self.compare(words, shingles, size, k, span, starts, best)
+                if not len(starts):
+                    continue
+                repeats = repeats_within(shingles) if repeats is None else repeats
+                # a window of the same shingles as the one before it can't be better
+                old = (starts > 0) & (shingles[starts - 1] == shingles[starts + span - 1])
+                starts = starts[~old]
+                again = (repeats[starts + span - 1] >= starts) | group["repeats"]
+                self.compare(words, shingles, size, k, span, starts[~again], best)
+                self.compare(words, shingles, size, k, span, starts[again], best, need)
         return [{"item": self.items[i][0], "similarity": -s, "start": start, "words": n, "bits": bits}
                 for i, (s, start, n, bits) in sorted(best.items())]
 
-    def compare(self, words, shingles, size, k, span, starts, best) -> None:
+    def compare(self, words, shingles, size, k, span, starts, best, need=None) -> None:
+        """Exact similarity of the windows to the items within the radius or, given
+        ``need``, to the items that may reach the threshold by their counts."""
         group = self.by_size[size]
         at = 0
         while at < len(starts):
@@ -185,7 +230,9 @@ class Items:
             low = int(some[0])
             sums = bit_sums(shingles[low:int(some[-1]) + span])
             codes = pack_bits(sums[some - low + span] - sums[some - low])
-            for window, place in zip(*self.within(size, codes)):
+            pairs = zip(*self.within(size, codes)) if need is None else \
+                self.sharing(size, shingles[low:int(some[-1]) + span], some - low, span, need)
+            for window, place in pairs:
                 item, start = int(group["at"][place]), int(some[window])
                 n = min(size, len(words))
                 score = similarity(shingle_counts(words[start:start + n], k),

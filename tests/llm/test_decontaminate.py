@@ -80,6 +80,21 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()) == [1, 3, 5, 7]
 
 
+def test_repeated_shingles(spark):
+    """Long repeats on one side or on both turn the shingle vectors far apart."""
+    def run(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+    items = [(1, run("w", 899) + " pad" * 109), (2, run("v", 1008)), (3, run("u", 400) + " pad" * 60)]
+    docs = [(1, run("w", 899) + " " + run("other", 109)), (2, run("v", 899) + " pad" * 109),
+            (3, "before " + run("u", 400) + " pad" * 60 + " after"), (4, " ".join(["pad"] * 3000)),
+            (5, run("v", 500) + " pad" * 508), (6, run("w", 899) + " fill" * 109)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = plain_leaks(docs, items)
+    assert {(1, 1), (2, 2), (3, 3), (6, 1)} == set(want)
+    assert found(decontaminate.find_leaks(d, b)) == want
+
+
 def test_messy_rows(spark):
     items = spark.createDataFrame([("fox", "The quick brown fox jumps over the lazy dog"), ("none", None), (None, "one")],
                                   "item_id string, text string")
