@@ -1,14 +1,16 @@
 """License scans with a trained paragraph classifier.
 
-A paragraph is a line of text.  Its features are the words and word pairs of the
-licence templates that it holds, plus the share of words that no template has.
-A multinomial logistic regression over the families and the class ``unknown`` is
-trained on variants of the templates (words dropped, replaced, added, cut) and
-on a bounded sample of the corpus' own lines, and calibrated by a temperature on
-held-out variants.  A predicted family is confirmed by comparison with its
-templates: the weighted share of word pairs, of the shorter side, that both have.
-
-Scanning is one pass without a shuffle.  Lines without any word pair of a
+A paragraph is a line of text, or a run of lines that holds more of one template
+than any run inside it (a notice that was wrapped); such runs go before the lines
+inside them.  Its features are the words and word pairs of the licence templates
+that it holds, plus the share of words that no template has.  A multinomial
+logistic regression over the families and the class ``unknown`` is trained on
+variants of the templates (words dropped, replaced, added, cut) and on a bounded
+sample of the corpus' own lines, and calibrated by a temperature on held-out
+variants.  A predicted family is confirmed by comparison with its templates: the
+weighted share of word pairs, of the shorter side, that both have.
+
+Scanning is one pass without a shuffle.  Paragraphs without any word pair of a
 template can't be confirmed and are not classified.
 """
 
@@ -29,6 +31,8 @@ LINES = 4_000           # corpus lines of the training sample at most
 VARIANTS = 60           # of each template
 PROBABILITY = 0.5
 SIMILARITY = 0.6
+FOREIGN = 0.5           # of a common pair, what a foreign pair takes from a run's worth
+AROUND = 11             # words that a run may have besides the longest template's
 UNKNOWN = "unknown"
 
 #: Short notices of well-known public licences (fixed values).
@@ -151,6 +155,11 @@ class Scanner:
         # a pair that many families share says little
         self.worth = {p: 1.0 / len(f) for p, f in spread.items()}
         self.templates = [(n, set(zip(words, words[1:]))) for n, words in templates]
+        self.holders: dict[tuple, list[int]] = {}
+        for at, (_, pairs) in enumerate(self.templates):
+            for p in pairs:
+                self.holders.setdefault(p, []).append(at)
+        self.longest = max(len(words) for _, words in templates) + AROUND
         rng = random.Random(seed)
         others = sorted({w for words in negatives for w in words}) or ["text"]
         clean = [w for w in negatives if self.similarity(w)[0] < 0.3]
@@ -226,15 +235,58 @@ class Scanner:
         like = self.similarity(words, n)[0]
         return (FAMILIES[n], float(p[n]), like) if like >= SIMILARITY else None
 
+    def runs(self, lines: list[list[str]]) -> list[tuple[int, int]]:
+        """First and last line of each run that is worth more than the runs inside it,
+        the best ones first.  A run's worth: the pairs in common with one template,
+        less ``FOREIGN`` of its other pairs."""
+        worth: dict[tuple[int, int], float] = {}
+        for first, words in enumerate(lines):
+            if not words or len(words) > self.longest:
+                continue
+            pairs: set[tuple] = set()
+            common: dict[int, int] = {}
+            size, end = 0, []
+            for last in range(first, len(lines)):
+                size += len(lines[last])
+                if size > self.longest:
+                    break
+                new = set(zip(end + lines[last], (end + lines[last])[1:])) - pairs
+                end = lines[last][-1:] or end
+                pairs |= new
+                for p in new:
+                    for at in self.holders.get(p, ()):
+                        common[at] = common.get(at, 0) + 1
+                own = (1 + FOREIGN) * max(common.values(), default=0) - FOREIGN * len(pairs)
+                if own < 0:
+                    break
+                worth[first, last] = own
+        best = [(own, first, last) for (first, last), own in worth.items()
+                if own > max(0, worth.get((first + 1, last), 0), worth.get((first, last - 1), 0))]
+        return [(first, last) for _, first, last in sorted(best, key=lambda x: (-x[0], x[2] - x[1], x[1]))]
+
     def scan(self, text: str | None) -> list[dict]:
-        found, at = [], 0
-        for n, line in enumerate((text or "").split("\n")):
-            got = self.line(words_of(line))
+        lines = (text or "").split("\n")
+        words = [words_of(line) for line in lines]
+        starts = [0]
+        for line in lines:
+            starts.append(starts[-1] + len(line) + 1)
+        free = [True] * len(lines)
+        found = []
+
+        def confirm(first: int, last: int) -> None:
+            got = self.line([w for line in words[first:last + 1] for w in line])
             if got:
-                found.append({"paragraph": n, "start": at, "end": at + len(line), "family": got[0],
-                              "probability": got[1], "similarity": got[2]})
-            at += len(line) + 1
-        return found
+                free[first:last + 1] = [False] * (last + 1 - first)
+                found.append({"paragraph": first, "start": starts[first], "end": starts[last + 1] - 1,
+                              "family": got[0], "probability": got[1], "similarity": got[2]})
+
+        for first, last in self.runs(words):
+            if all(free[first:last + 1]):
+                confirm(first, last)
+        for n in range(len(lines)):
+            if free[n]:
+                confirm(n, n)
+        return sorted(found, key=lambda x: x["paragraph"])
 
 
 FOUND = T.ArrayType(T.StructType([

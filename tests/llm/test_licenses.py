@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from chainsight.llm import licenses, queries
 from tests.conftest import SF001, SF01
@@ -68,3 +69,24 @@ def test_all_rights_reserved_whatever_the_corpus():
         found = scanner.line(licenses.words_of("All rights reserved."))
         assert found and found[0] == "proprietary" and found[1] > 0.9
         assert scanner.line(licenses.words_of("In. The.")) is None
+
+
+def test_wrapped_notices_are_one_paragraph():
+    scanner = licenses.Scanner([f"some plain text number {i} of the corpus in the house".split() for i in range(200)])
+    before, after = "The first line of a file in the house.\n\n", "\n\nThe text of the program goes on here.\nLast line."
+    for family, texts in licenses.TEMPLATES.items():
+        for notice in texts:
+            for width, lead in ((30, "# "), (50, " * "), (72, "")):
+                wrapped = "\n".join(lead + x for x in textwrap.wrap(notice, width, break_long_words=False))
+                text = before + wrapped + after
+                (found,) = scanner.scan(text)
+                assert text[found["start"]:found["end"]] == wrapped and found["family"] == family, wrapped
+                assert found["paragraph"] == 2
+
+
+def test_notices_on_lines_of_their_own_stay_apart():
+    scanner = licenses.Scanner([["some", "text"]])
+    text = "Released under the MIT License.\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0.\n" \
+           "All rights reserved.\nand so on"
+    assert [(x["paragraph"], x["family"]) for x in scanner.scan(text)] == \
+        [(0, "MIT"), (1, "MIT"), (2, "CC-BY-NC-4.0"), (3, "proprietary")]
