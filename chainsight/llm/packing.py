@@ -13,6 +13,7 @@ the total equals the lower bound of all pieces or a round saves nothing.
 
 from __future__ import annotations
 
+import itertools
 import math
 import sys
 import types
@@ -32,7 +33,6 @@ CAPACITY = 4096
 END = 1                 # id that ends every document
 PER_TASK = 100_000      # pieces that one task packs
 NEARLY_FULL = 0.99
-ROUNDS = 8
 KNOWN = 600_000         # words whose ids a worker remembers
 
 
@@ -210,7 +210,7 @@ def pack_task(capacity: int, turn: int):
         release = fill < NEARLY_FULL * capacity
         if len(fill) == bound:
             release &= np.arange(len(fill)) == fill.argmin()
-        first = (turn << 56) + (TaskContext.get().partitionId() << 32)
+        first = (turn << 48) + (TaskContext.get().partitionId() << 24)
         n = len(keys)
         none = pa.nulls(n, pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -231,7 +231,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK)
     bound = lower_bound({r["length"]: r["count"] for r in histogram}, capacity)
     rows = sum(r["count"] for r in histogram)
     todo, done, bins, earlier = pieces.select("key", "length"), None, 0, None
-    for turn in range(ROUNDS):
+    for turn in itertools.count():
         tasks = max(1, math.ceil(rows / per_task))
         packed = materialize(todo.repartition(tasks, "key").mapInArrow(pack_task(capacity, turn), schema))
         told = packed.where("key IS NULL").agg(
@@ -242,7 +242,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK)
             places, released, now = earlier[0], 0, earlier[1]
         bins += now
         chosen = places.select("key", "sequence", "offset")
-        if bins <= bound or not released or released == 1 or turn == ROUNDS - 1 or \
+        if bins <= bound or not released or released == 1 or \
                 (earlier is not None and places is earlier[0]):
             return chosen if done is None else done.union(chosen)
         kept = places.where("NOT released").select("key", "sequence", "offset")

@@ -108,6 +108,34 @@ def test_pack_over_many_tasks(spark, kind):
     assert len(set(alone.values())) == len(packing.best_fit_decreasing(np.array([n for _, n in rows]), 1000)[2])
 
 
+def test_rounds_go_on_while_they_save(spark, monkeypatch):
+    """A packer that joins one pair a round: twelve halves' pairs need as many rounds."""
+    def one_pair(capacity, turn):
+        def run(batches):
+            import pyarrow as pa
+            keys = [k for b in batches for k in b.column(0).to_pylist()]
+            if not keys:
+                return
+            n = len(keys)
+            place = [max(0, i - 1) for i in range(n)]
+            none = pa.nulls(n, pa.int64())
+            names = ["key", "length", "sequence", "offset", "released", "bins", "released_bins", "bound"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array([5] * n, pa.int64()),
+                 pa.array([(turn << 48) + p for p in place], pa.int64()),
+                 pa.array([5 if i == 1 else 0 for i in range(n)], pa.int64()),
+                 pa.array([p > 0 for p in place]), none, none, none], names=names)
+            none = pa.nulls(1, pa.int64())
+            one = [pa.array([x], pa.int64()) for x in (n - 1, n - 2, n // 2)]
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([False]), *one], names=names)
+        return run
+    monkeypatch.setattr(packing, "pack_task", one_pair)
+    frame = spark.createDataFrame([(i, 5) for i in range(24)], "key long, length long")
+    got = packing.pack(frame, 10).collect()
+    assert sorted(r.key for r in got) == list(range(24))
+    assert check_places([(r.sequence, r.offset, 5) for r in got], 10) == 12
+
+
 def test_messy_rows(spark):
     docs = messy(spark)
     rows = packing.pack_documents(docs, capacity=64, with_ids=True)
