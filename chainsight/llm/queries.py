@@ -104,8 +104,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels only from those whose crc32 mod 5 isn't 0."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").where(~is_held_out(5, 0))
-    model = toxicity.train(docs.where(~is_held_out(5, 0)), labels)
-    return toxicity.score(docs, model).select(
+    return toxicity.train_and_score(docs, labels, ~is_held_out(5, 0)).select(
         "doc_id", is_held_out(5, 0).alias("held_out"), "score", "predicted")
 
 

@@ -7,7 +7,7 @@ from .messy import ROWS, empty, messy
 
 #: How the test documents write the families.
 LINES = {"MIT": "MIT License", "Apache-2.0": "Apache License, Version 2.0", "CC-BY-NC-4.0": "CC BY-NC 4.0",
-         "GPL-3.0": "GNU General Public License, version 3"}
+         "GPL-3.0": "GNU General Public License, version 3", "proprietary": "All rights reserved."}
 
 
 def test_query_finds_the_written_licences(spark):
