@@ -53,6 +53,31 @@ SELECT doc AS doc_id, item AS item_id, similarity, CAST(start AS INTEGER) AS sta
 FROM best WHERE place = 1"""
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: Every document that shares a term with the item, scored.
+RANKED = f"""
+WITH terms AS (
+  SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS row, regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  UNION ALL SELECT 'i', item_id, 0, regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') FROM benchmark),
+asked AS (SELECT DISTINCT id AS item_id, unnest(w) AS t FROM terms WHERE side = 'i' AND id IS NOT NULL),
+held AS (SELECT id, row, n, t, COUNT(*) AS tf FROM (
+  SELECT id, row, len(w) AS n, unnest(w) AS t FROM terms WHERE side = 'd') x GROUP BY ALL),
+totals AS (SELECT COUNT(*) AS many, CAST(SUM(len(w)) AS BIGINT) AS total FROM terms WHERE side = 'd' AND len(w) > 0),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * many + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT t, COUNT(*) AS df FROM held GROUP BY t) x, totals),
+scored AS (
+  SELECT item_id, id AS doc_id, row, CAST(SUM(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * many) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN held USING (t), totals GROUP BY item_id, id, row),
+placed AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -86,4 +111,5 @@ SELECT d.doc_id, {', '.join(f"COUNT(*) FILTER (WHERE kind = {_quoted(k)}) AS n_{
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id GROUP BY d.doc_id"""
 
 
-ORACLE = {"op1_decontamination": LEAKS, "op3_nearest_neighbours": NEAREST, "op9_secret_scan": _secrets()}
+ORACLE = {"op1_decontamination": LEAKS, "op3_nearest_neighbours": NEAREST, "op9_secret_scan": _secrets(),
+          "op12_lexical_search": RANKED}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, licenses, packing, pii, secret_scan, sharding, simhash, toxicity
+from . import (ann, chat_format, decontaminate, langid, lexical, licenses, packing, pii, secret_scan, sharding, simhash,
+               toxicity, turn_repair)
 from .common import read_table, spans_text
 from .oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -108,6 +109,68 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", is_held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted windows."""
+    chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    windows = chat_format.format_chats(chats.union(tricky))
+    turns = chat_format.read_turns(F.col("formatted"))
+    fresh = F.slice(turns, F.col("repeated") + 1, F.col("turns") - F.col("repeated"))
+    each = windows.select(
+        "conv_id", F.struct("block", "window", F.array_join(F.transform(
+            fresh, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns"),
+            F.array_join(chat_format.read_targets(F.col("formatted"), F.col("loss")), "").alias("targets")).alias("part"),
+        (F.col("turns") - F.col("repeated")).cast("long").alias("n"), F.length("formatted").cast("long").alias("chars"))
+    whole = each.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"), F.sort_array(F.collect_list("part")).alias("parts"), F.sum("chars").alias("formatted_chars"))
+
+    def text(name: str):
+        return F.array_join(F.transform("parts", lambda p: p[name]), "")
+
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(text("turns").cast("binary"), 256).alias("turns_sha256"),
+        F.length(text("targets")).cast("long").alias("loss_chars"),
+        F.sha2(text("targets").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
+def damaged(chats: DataFrame) -> DataFrame:
+    """Conversation rows with one of five kinds of damage, by their id and turn."""
+    def known(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat_ws(":", known("conv_id"), known("turn")).cast("binary")) % 20
+    rows = chats.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    return rows.where("kind <> 0").select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits, and a digest of what they give."""
+    chats = read_table(spark, sf_dir, "conversations")
+    repaired = turn_repair.repair(damaged(chats))
+    line = F.concat("role", F.lit(":"), "text")
+    lines = repaired.turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(
+        F.struct("part", "seq", "place", line.alias("line")))).alias("lines"))
+    every = chats.select("conv_id").distinct().withColumnRenamed("conv_id", "id")
+    reports = repaired.reports.withColumnRenamed("conv_id", "r")
+    found = every.join(reports, F.expr("id <=> r"), "left").join(lines, F.expr("id <=> conv_id"), "left")
+    text = F.coalesce(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit(""))
+    return found.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(text.cast("binary"), 256).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
@@ -119,4 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_turn_repair": op13_turn_repair,
 }
