@@ -8,7 +8,9 @@ dimensions at a time).  With q = q' + dq and v = v' + dv, rounded vectors primed
 
     |q.v - q'.v'|  <=  |q| |dv| + |dq| |v'|
 
-bounds what rounding can change.  A candidate whose upper bound lies under the
+bounds what rounding can change.  For this the vectors are scaled by powers of two,
+so that no norm overflows or vanishes; pairs whose products may overflow are always
+recomputed.  A candidate whose upper bound lies under the
 lower bounds of ``k`` others can't be among the k nearest; all others are
 recomputed in double precision from the original vectors and merged into one
 heap of k for each query and task.  Spark merges the heaps.  The result is
@@ -47,6 +49,9 @@ class Rounded:
     """int8 rounding of vectors, held in float32, with what the error bound needs."""
 
     def __init__(self, rows: np.ndarray):
+        # of each row the power of two that brings its largest component under 1
+        self.power = np.frexp(np.abs(rows).max(axis=1))[1].astype(np.int64)
+        rows = np.ldexp(rows, -self.power[:, None])
         self.scale = np.abs(rows).max(axis=1) / 127
         whole = np.rint(rows / self.scale[:, None])
         self.whole = whole.astype(np.float32)
@@ -61,38 +66,49 @@ def tile_bounds(q: Rounded, v: Rounded) -> tuple[np.ndarray, np.ndarray]:
     about = dot.astype(np.float64) * q.scale[:, None] * v.scale[None, :]
     slack = q.norm[:, None] * v.error + q.error[:, None] * v.near
     slack += 1e-12 * q.norm[:, None] * v.norm  # rounding of the doubles themselves
-    return about - slack, about + slack
+    power = q.power[:, None] + v.power
+    least = 2 * q.whole.shape[1] * np.finfo(np.float64).smallest_subnormal  # products that vanish
+    with np.errstate(over="ignore", under="ignore"):
+        low, high = (np.ldexp(x, np.clip(power, -4000, 4000).astype(np.int32)) for x in (about - slack, about + slack))
+    large = power > 960
+    return np.where(large, -np.inf, low - least), np.where(large, np.inf, high + least)
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products, added up in the order of the components."""
     total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += a[:, j] * b[:, j]
+    with np.errstate(all="ignore"):
+        for j in range(a.shape[1]):
+            total += a[:, j] * b[:, j]
     return total
 
 
 class Heaps:
-    """The k best (score, id) of each query: largest score, ties to the smaller id."""
+    """The k best (score, id) of each query: largest score, ties to the smaller id.  Sums of
+    opposite infinities, which are no numbers, count as the largest, as Spark orders them."""
 
     def __init__(self, queries: int, k: int):
         self.k = k
+        self.full = np.zeros((queries, k), bool)
         self.score = np.full((queries, k), -np.inf)
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def worst(self, rows: slice) -> np.ndarray:
-        return self.score[rows, -1]
+        """Score from which on a candidate may enter: of the last of ``k``, if there are so many."""
+        score = self.score[rows, -1]
+        return np.where(self.full[rows, -1], np.where(np.isnan(score), np.inf, score), -np.inf)
 
     def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         touched, query = np.unique(query, return_inverse=True)
         all_q = np.concatenate((np.repeat(np.arange(len(touched)), self.k), query))
         all_s = np.concatenate((self.score[touched].ravel(), score))
         all_i = np.concatenate((self.id[touched].ravel(), ids))
-        order = np.lexsort((all_i, -all_s, all_q))
-        all_q, all_s, all_i = all_q[order], all_s[order], all_i[order]
+        full = np.concatenate((self.full[touched].ravel(), np.ones(len(ids), bool)))
+        order = np.lexsort((all_i, -all_s, ~np.isnan(all_s), ~full, all_q))
+        all_q, all_s, all_i, full = all_q[order], all_s[order], all_i[order], full[order]
         first = np.searchsorted(all_q, np.arange(len(touched)))
         best = first[:, None] + np.arange(self.k)
-        self.score[touched], self.id[touched] = all_s[best], all_i[best]
+        self.score[touched], self.id[touched], self.full[touched] = all_s[best], all_i[best], full[best]
 
 
 def search_task(ids: np.ndarray, vectors: np.ndarray, k: int):
@@ -109,14 +125,14 @@ def search_task(ids: np.ndarray, vectors: np.ndarray, k: int):
                     block = slice(n * QUERIES, min((n + 1) * QUERIES, len(ids)))
                     low, high = tile_bounds(q, small)
                     self_pair = ids[block, None] == own[None, :]
-                    low[self_pair], high[self_pair] = -np.inf, -np.inf
+                    low[self_pair] = -np.inf
                     need = heaps.worst(block)
                     if len(own) >= k:
                         need = np.maximum(need, np.partition(low, len(own) - k, axis=1)[:, len(own) - k])
-                    query, cand = np.nonzero((high >= need[:, None]) & (high > -np.inf))
+                    query, cand = np.nonzero((high >= need[:, None]) & ~self_pair)
                     if len(query):
                         heaps.add(block.start + query, inner(vectors[block][query], tile[cand]), own[cand])
-        query, place = np.nonzero(heaps.score > -np.inf)
+        query, place = np.nonzero(heaps.full)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[query]), pa.array(heaps.id[query, place]), pa.array(heaps.score[query, place])],
             names=["query_id", "vec_id", "score"])
@@ -140,7 +156,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     non-finite component take no part, nor do rows without an id.  A query id given
     several times is one query (the smallest of its vectors); a candidate id given
     several times is as many candidates.  Vectors of another length than the
-    query's are no candidates of it.  An empty table gives no rows.  Other columns
+    query's are no candidates of it.  Scores that overflow are infinite.  An empty table gives no rows.  Other columns
     are not read."""
     spark = vectors.sparkSession
     rows = vectors.where(is_query.isNotNull()).select(

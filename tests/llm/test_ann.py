@@ -57,6 +57,35 @@ def test_ties_nulls_and_odd_vectors(spark, monkeypatch, block_bytes):
     assert set(got) == want
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_very_large_and_very_small_vectors(spark, monkeypatch, seed):
+    monkeypatch.setattr(ann, "TILE", 16)
+    rng = random.Random(seed)
+    rows = []
+    for i in range(160):
+        size = rng.choice([1e-320, 1e-200, 1e-160, 1.0, 1e100, 1e160, 1e200, 1e307])
+        rows.append((i, [size * rng.choice([rng.gauss(0, 1), 0.0, 1.0]) for _ in range(4)]))
+    rows += [(200, [1e160, 0.0, 0.0, 0.0]), (220, [1e200, -1e200, 0.0, 0.0])] + [(300 + i, [float(i + 1), 0.0, 0.0, 0.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, ann.nearest(df, F.col("vec_id") % 20 == 0, k=7).collect()))
+
+    def plain():
+        good = [(i, v) for i, v in rows if any(v)]
+        for q, a in good:
+            if q % 20 == 0:
+                scored = []
+                for i, v in good:
+                    s = 0.0
+                    for x, y in zip(a, v):
+                        s += x * y
+                    if i != q:
+                        scored.append(((0, 0.0, i) if math.isnan(s) else (1, -s, i), s))
+                for rank, ((_, _, i), s) in enumerate(sorted(scored)[:7], 1):
+                    yield q, rank, i, s
+
+    assert list(map(repr, got)) == list(map(repr, sorted(plain())))
+
+
 def test_fewer_candidates_than_k_and_empty(spark):
     got = ann.nearest(frame(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])]), F.col("vec_id") % 20 == 0).collect()
     assert [tuple(r) for r in got] == [(0, 1, 1, 4.0)]
