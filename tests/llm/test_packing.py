@@ -57,6 +57,15 @@ def test_encoder_equals_tokenizer():
         assert e.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_encoder_on_letters_whose_lower_case_is_longer():
+    t, e = tokenizer(), packing.Encoder(packing.tokenizer_text())
+    rng = random.Random(2)
+    odd = [chr(c) for c in range(0x80, 0x3000) if chr(c).isalpha() and chr(c).lower() != chr(c)]
+    odd = [c for c in odd if len(c.lower()) > 1 or not c.lower().isalpha()] + rng.sample(odd, 60) + list("İẞǅΣaZ")
+    for text in ["İ,", "Aİ.", "TÜRKİ, ve", *("".join(rng.choices(odd + [",", ".", " "], k=rng.randint(1, 8))) for _ in range(4000))]:
+        assert e.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
 def fewest(lengths, capacity):
     """Exact optimum by trying all assignments."""
     best = len(lengths)
