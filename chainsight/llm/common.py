@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under the one that the cluster names in
-    ``spark.checkpoint.dir``; a temporary folder only where none is set (tests)."""
+    ``spark.checkpoint.dir``; a temporary folder only where none is set and all tasks run
+    on the driver's machine (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="chainsight-llm-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
@@ -33,6 +36,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def beside(df: DataFrame, *wanted: str) -> str:
+    """A column name that ``df`` doesn't have, for work columns (one struct holds them all)."""
+    name, taken = "_work", {c.lower() for c in (*df.columns, *wanted)}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def spans_text(spans: Column) -> Column:
     """``kind:start:end`` of an array of span structs, comma-joined."""
     return F.array_join(

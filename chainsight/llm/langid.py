@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import beside
+
 SIZE = 300              # n-grams of a profile
 MAX_LANGUAGES = 1000    # more distinct labels than this are refused
 HELD = 1_000_000        # distinct n-grams that a training task holds before it reports
@@ -159,7 +161,7 @@ def identify(docs: DataFrame, model: dict[str, list[int]], text_col: str = "text
     alphabetical order.  Columns of the input that bear one of the new names give
     way; repeated rows and other columns stay as they are."""
     found = classify_column(F.col(f"`{text_col}`"), model, size)
-    rows = docs.withColumn("_langid", found)
-    return rows.select(
+    work = beside(docs)
+    return docs.withColumn(work, found).select(
         *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")],
-        "_langid.lang_pred", "_langid.score")
+        f"{work}.lang_pred", f"{work}.score")

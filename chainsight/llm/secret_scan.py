@@ -138,7 +138,8 @@ def scan(docs: DataFrame, ledger: str | None = None, id_col: str = "doc_id",
     if known is not None:
         copies = copies.join(known.where(F.col("rules") == rules).select("blob"), "blob", "left_anti")
     copies.mapInArrow(scan_blobs(rules), LEDGER).write.mode("append").parquet(ledger)
-    known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rules") == rules).select("blob", "findings")
+    known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rules") == rules) \
+        .groupBy("blob").agg(F.min("findings").alias("findings"))  # scans at the same time may each add a blob
     paths = docs.select(F.col(f"`{id_col}`"),
                         F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("blob"))
     return paths.join(known, "blob").select(f"`{id_col}`", "blob", "findings")

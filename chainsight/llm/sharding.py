@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import beside, materialize
 
 TOLERANCE = 0.001   # of a shard's share of the bytes
 PROBES = 15         # for each open splitter and round
@@ -31,9 +31,15 @@ def below(a: Column, b: Column, probe: int) -> Column:
     return (a < x) | ((a == x) & (b < y))
 
 
-def as_number(key) -> int:
+def as_number(a: int, b: int) -> int:
     """A key of signed halves as a number from 0 to 2 ** 128 - 1, in the same order."""
-    return (key["a"] + HALF) * 2**64 + key["b"] + HALF
+    return (a + HALF) * 2**64 + b + HALF
+
+
+def span_of(cell, low: int, high: int) -> tuple[int, int]:
+    """The first key that a cell from ``low`` to ``high`` may hold, and the one after its last."""
+    first, last = (cell["b0"], cell["b1"]) if cell["a0"] == cell["a1"] else (-HALF, HALF - 1)
+    return max(low, as_number(cell["a0"], first)), min(high, as_number(cell["a1"], last) + 1)
 
 
 def cell_of(a: Column, b: Column, probes: list[int]) -> Column:
@@ -57,15 +63,15 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes
         laid = sorted({low + (high - low) * n // (probes + 1)
                        for low, _, high, _ in spans.values() for n in range(1, probes + 1)} - {0})
         cells = (keys.withColumn("cell", cell_of(F.col("a"), F.col("b"), laid))
-                 .groupBy("cell").agg(F.sum("size").alias("size"), F.min(F.struct("a", "b")).alias("first"),
-                                      F.max(F.struct("a", "b")).alias("last")))
+                 .groupBy("cell").agg(F.sum("size").alias("size"), *[f(c).alias(f"{c}{n}") for c in "ab" for n, f in enumerate((F.min, F.max))]))
         cells = {r["cell"]: r for r in cells.collect()}  # at most one row a probe, and one
         known, under = [(0, 0)], 0
         for n in range(len(laid) + 1):
             if n in cells:  # no key lies between a probe and a cell's first, or after its last
-                known.append((as_number(cells[n]["first"]), under))
+                first, after = span_of(cells[n], laid[n - 1] if n else 0, laid[n] if n < len(laid) else WHOLE)
+                known.append((first, under))
                 under += cells[n]["size"]
-                known.append((as_number(cells[n]["last"]) + 1, under))
+                known.append((after, under))
             if n < len(laid):
                 known.append((laid[n], under))
         # this round's probes needn't include the ends that earlier rounds found
@@ -95,22 +101,23 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     the new names give way."""
     text, name = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot", "size", "_place")
-           or c in (id_col, text_col)]
+    work = beside(docs, "shard", "slot", "size")
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot", "size")]
     # the row's number only parts copies that have the same id
     a, b = F.xxhash64(text), F.xxhash64(name, F.monotonically_increasing_id())
     keys = materialize(docs.select(a.alias("a"), b.alias("b"), size.alias("size")))
     at = splitters(keys, shards, tolerance)
-    rows = docs.select(*own, size.alias("size"), a.alias("_a"), b.alias("_b"))
-    rows = rows.withColumn("shard", cell_of(F.col("_a"), F.col("_b"), at) if at else F.lit(0))
-    rows = (rows.repartitionByRange("shard", "_a", "_b").sortWithinPartitions("shard", "_a", "_b")
-            .drop("_a", "_b").withColumn("_place", F.monotonically_increasing_id()))
-    rows = materialize(rows)
-    part = F.shiftright("_place", 33)
-    runs = rows.groupBy("shard", part.alias("part")).agg(F.count("*").alias("n"), F.min("_place").alias("first"))
+    kept = [f"`{c}`" for c in docs.columns if c.lower() not in ("shard", "slot", "size")]
+    rows = docs.select(*own, size.alias("size"), F.struct(a.alias("a"), b.alias("b")).alias(work))
+    rows = rows.withColumn("shard", cell_of(F.col(f"{work}.a"), F.col(f"{work}.b"), at) if at else F.lit(0))
+    key = ["shard", f"{work}.a", f"{work}.b"]
+    rows = materialize(rows.repartitionByRange(*key).sortWithinPartitions(*key)
+                       .select(*kept, "size", "shard", F.monotonically_increasing_id().alias(work)))
+    part = F.shiftright(work, 33)
+    runs = rows.groupBy("shard", part.alias("part")).agg(F.count("*").alias("n"), F.min(work).alias("first"))
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each shard in each written partition
-    runs = runs.select("shard", "part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    return (rows.withColumn("part", part).join(F.broadcast(runs), ["shard", "part"])
-            .withColumn("slot", F.col("_place") - F.col("first") + F.col("before"))
-            .drop("part", "first", "before", "_place"))
+    runs = runs.select(F.struct("shard", "part").alias(work + "run"),
+                       (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias(work + "shift"))
+    return rows.join(runs, F.struct(F.col("shard").alias("shard"), part.alias("part")) == F.col(work + "run")) \
+        .select(*kept, "size", "shard", (F.col(work) + F.col(work + "shift")).alias("slot"))

@@ -22,7 +22,8 @@ ROWS = [
 
 #: Names that operators use for their own columns.
 CLASHES = ("id", "row", "code", "size", "shard", "slot", "score", "predicted", "lang_pred", "fingerprint",
-           "component", "node", "key", "piece", "start", "blob", "findings", "spans", "votes", "found")
+           "component", "node", "key", "piece", "start", "blob", "findings", "spans", "votes", "found",
+           "part", "first", "before", "_a", "_b", "_place", "_work", "_langid", "_toxicity", "_lang", "_blob", "_findings")
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("lang", T.StringType())]

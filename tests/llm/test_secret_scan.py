@@ -91,6 +91,15 @@ def test_redaction(spark):
     assert got == {1: "a [assign] b 😀 [access]", 2: "clean", 3: None, 4: "[assign] end"}
 
 
+def test_ledger_that_holds_a_blob_twice(spark, tmp_dir):
+    """As two scans at the same time may leave it."""
+    docs = spark.createDataFrame([(1, "password=abcdefghij"), (2, "clean")], "doc_id long, text string")
+    ledger = tmp_dir + "/ledger"
+    once = sorted(map(str, secret_scan.scan(docs, ledger).collect()))
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger)
+    assert sorted(map(str, secret_scan.scan(docs, ledger).collect())) == once and len(once) == 2
+
+
 def test_messy_rows(spark):
     got = secret_scan.scan(messy(spark))
     assert got.count() == len(ROWS)
