@@ -12,9 +12,9 @@ goes through the driver and no cross join is planned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from chainsight.functions import constants as K
@@ -49,7 +49,8 @@ def supplier_range(keyed: DataFrame) -> tuple[Column, Column]:
     return rng.getField("low"), rng.getField("span")
 
 
-def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id") -> DataFrame:
+def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "order_id",
+                   seen: Observation | None = None) -> DataFrame:
     """Give every order line a supplier by ``pmod(order_id, span) + min``.
 
     Supplier columns already on the fact are replaced (drop-if-present).
@@ -59,7 +60,7 @@ def join_suppliers(fact: DataFrame, suppliers: DataFrame, order_col: str = "orde
     fact = fact.drop(*[c for c in SUPPLIER_COLUMNS.values() if c in fact.columns])
     fact = fact.withColumn("_supplier_join_key", FX.supplier_assignment(order_col, low, span))
     out = fact.join(keyed, fact["_supplier_join_key"] == keyed["sup_key"], "left")
-    return out.drop("_supplier_join_key", "sup_key")
+    return seen_after(out, "sup_key", seen).drop("_supplier_join_key", "sup_key")
 
 
 # J2 -------------------------------------------------------------------------
@@ -70,11 +71,13 @@ def country_side(scores: DataFrame) -> DataFrame:
     )
 
 
-def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country") -> DataFrame:
+def join_country_scores(fact: DataFrame, scores: DataFrame, country_col: str = "order_country",
+                        seen: Observation | None = None) -> DataFrame:
     """Order country -> logistics scores on trimmed, case-sensitive names,
     then F5 from the order country's tier (before any default is filled)."""
     dim = country_side(scores)
-    out = fact.join(dim, FX.clean_key(country_col) == dim["_lpi_country"], "left").drop("_lpi_country")
+    out = fact.join(dim, FX.clean_key(country_col) == dim["_lpi_country"], "left")
+    out = seen_after(out, "_lpi_country", seen).drop("_lpi_country")
     return out.withColumn("supplier_risk_flag", FX.supplier_risk_flag("logistics_risk_tier"))
 
 
@@ -87,10 +90,12 @@ def storm_stats_by_state(weather: DataFrame) -> DataFrame:
                  F.count_if(F.col("severity_score") >= K.SEVERE_STORM_AT).alias("high_critical_storm_count")))
 
 
-def join_weather(fact: DataFrame, weather: DataFrame, state_col: str = "customer_state") -> DataFrame:
+def join_weather(fact: DataFrame, weather: DataFrame, state_col: str = "customer_state",
+                 seen: Observation | None = None) -> DataFrame:
     """J3 + N1: customer state -> storm statistics; misses take the defaults."""
     stats = storm_stats_by_state(weather)
-    out = fact.join(stats, FX.clean_upper_key(state_col) == stats["state_key"], "left").drop("state_key")
+    out = fact.join(stats, FX.clean_upper_key(state_col) == stats["state_key"], "left")
+    out = seen_after(out, "state_key", seen).drop("state_key")
     return out.fillna(K.WEATHER_DEFAULTS)
 
 
@@ -117,7 +122,7 @@ def route_side(source: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame
 
 
 def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
-                     source: DataFrame | None = None) -> DataFrame:
+                     source: DataFrame | None = None, seen: Observation | None = None) -> DataFrame:
     """Attach each line's route statistics.
 
     NULL in any key does not match (SQL equality), so such lines keep NULL
@@ -130,7 +135,7 @@ def join_route_stats(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS,
     for k in keys:
         c = fact[k] == stats[f"_r_{k}"]
         cond = c if cond is None else cond & c
-    out = fact.join(stats, cond, "left")
+    out = seen_after(fact.join(stats, cond, "left"), f"_r_{keys[0]}", seen)
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
@@ -160,6 +165,45 @@ def route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS, salts:
     return out.where(F.col("_first") == 1).drop("_first")
 
 
+# J4 without leakage -----------------------------------------------------------
+def fold_of(folds: int, cols: Sequence[str] = ("order_id", "line_number")) -> Column:
+    """Fold (0 to ``folds - 1``) of a line: the first 32 bits of the MD5 of its key's text."""
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % folds
+
+
+def join_route_stats_out_of_fold(fact: DataFrame, fold: str, keys: Sequence[str] = ROUTE_KEYS,
+                                 known: Column | None = None) -> DataFrame:
+    """J4 for model inputs: each line's route statistics from the lines of other folds, so
+    that no line's own outcome, nor that of its fold, is among its features.
+
+    ``known`` (default: all) says which lines' outcomes may be used at all; with
+    ``known`` the training rows, test rows take the rates of all training rows outside
+    their fold number.  A route that no other fold knows has NULL rates and count 0.
+
+    One aggregate to (route, fold) sums, a window over at most as many rows as there are
+    folds for each route, and one join on (route, fold): a hot route costs as many
+    partial rows as any other.  NULL in any key doesn't match, as in ``join_route_stats``."""
+    use = F.lit(True) if known is None else known
+    part = (fact.where(F.col(fold).isNotNull()).groupBy(*keys, fold)
+            .agg(F.sum(F.when(use, F.col("is_delayed"))).alias("_d"), F.count(F.when(use, F.col("is_delayed"))).alias("_dn"),
+                 F.sum(F.when(use, F.col("delay_days"))).alias("_s"), F.count(F.when(use, F.col("delay_days"))).alias("_sn"),
+                 F.count(F.when(use, F.col("order_id"))).alias("_n")))
+    route = Window.partitionBy(*keys)
+
+    def others(c: str) -> Column:
+        return F.sum(F.coalesce(c, F.lit(0))).over(route) - F.coalesce(c, F.lit(0))
+
+    def rate(total: str, n: str) -> Column:
+        return F.try_divide(others(total).cast("double"), others(n).cast("double"))
+    side = part.select(*[F.col(k).alias(f"_r_{k}") for k in (*keys, fold)],
+                       rate("_d", "_dn").alias("route_delay_rate"), rate("_s", "_sn").alias("route_avg_delay_days"),
+                       others("_n").alias("route_order_count"))
+    fact = fact.drop("route_delay_rate", "route_avg_delay_days", "route_order_count")
+    cond = [fact[k] == side[f"_r_{k}"] for k in (*keys, fold)]
+    return fact.join(side, cond, "left").drop(*[f"_r_{k}" for k in (*keys, fold)])
+
+
 # J5 -------------------------------------------------------------------------
 def attach_scalars(fact: DataFrame, **scalars: Column) -> DataFrame:
     """Attach one-row aggregates (given as ``DataFrame.scalar()`` columns)."""
@@ -178,6 +222,49 @@ def join_coverage(df: DataFrame, matched: dict[str, str]) -> DataFrame:
     return out.withColumn("matched_pct", exact_ratio(F.col("matched_rows") * 100, F.col("total_rows"), 1))
 
 
+def seen_after(df: DataFrame, key: str, seen: Observation | None) -> DataFrame:
+    """Q6: count the lines that leave a join and those that found a match (``key``: a right
+    side's join key), while the plan runs."""
+    return df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(key).alias("matched"))
+
+
+def join_report(spark, lines: int, seen: Mapping[str, Observation]) -> DataFrame:
+    """One row per join, in order: lines before and after it, and matched ones, from the
+    observations of a run that has ended (``lines``: what entered the first join)."""
+    rows, before = [], lines
+    for step, (name, counts) in enumerate(seen.items(), 1):
+        after, matched = int(counts.get["rows"]), int(counts.get["matched"])
+        rows.append((name, step, before, after, matched))
+        before = after
+    out = spark.createDataFrame(rows, "join_name string, step int, lines_before long, lines_after long, matched long")
+    return out.withColumn("matched_pct", exact_ratio(F.col("matched") * 100, F.col("lines_after"), 1))
+
+
+def join_forecast(fact: DataFrame, sides: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[Column | str]]]) -> DataFrame:
+    """What each of a chain of left joins will do to the lines, without making them:
+    (join_name, step, lines_before, lines_after, matched).
+
+    ``sides``: name -> (right side, its key columns, the fact's key columns), in order.  Each
+    right side is counted by key; a line grows by the product of its keys' counts.  So a
+    key that occurs more than once names the join that it would multiply lines in, before
+    any table is written.  The fact is read once."""
+    df, grown = fact, F.lit(1).cast("long")
+    counts = [F.count(F.lit(1)).alias("_lines")]
+    for i, (side, right, left) in enumerate(sides.values()):
+        many = side.groupBy(*[F.col(c).alias(f"_k{i}_{j}") for j, c in enumerate(right)]).agg(F.count(F.lit(1)).alias(f"_m{i}"))
+        keys = [F.col(c) if isinstance(c, str) else c for c in left]
+        df = df.join(many, [k == F.col(f"_k{i}_{j}") for j, k in enumerate(keys)], "left")
+        counts.append(F.sum(F.when(F.col(f"_m{i}").isNotNull(), grown * F.col(f"_m{i}")).otherwise(0)).alias(f"_found{i}"))
+        grown = grown * F.coalesce(f"_m{i}", F.lit(1))
+        counts.append(F.sum(grown).alias(f"_after{i}"))
+    total = df.agg(*counts)
+    rows = [F.struct(F.lit(name).alias("join_name"), F.lit(i + 1).alias("step"),
+                     F.coalesce(F.col("_lines" if i == 0 else f"_after{i - 1}"), F.lit(0)).alias("lines_before"),
+                     F.coalesce(f"_after{i}", F.lit(0)).alias("lines_after"), F.coalesce(f"_found{i}", F.lit(0)).alias("matched"))
+            for i, name in enumerate(sides)]
+    return total.select(F.inline(F.array(*rows)))
+
+
 def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once on a side that must be unique (NULL never matches)."""
     return dim.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")

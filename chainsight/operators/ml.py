@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
 from chainsight.functions.exact import ratio, text
+from chainsight.operators import joins as J
 from chainsight.session import ensure_checkpoint_dir
 
 INDEXED = {"shipping_mode": "shipping_mode_idx", "market": "market_idx"}
@@ -75,6 +76,14 @@ def train_test_split(df: DataFrame, cols: Sequence[str] = LINE_KEY, train_percen
     return df.where(flag), df.where(~flag)
 
 
+def train_only_route_rates(silver: DataFrame, folds: int = 5) -> DataFrame:
+    """Silver with route statistics that hold no test outcome, and for a training row none
+    of its own fold: out-of-fold rates of training rows (test rows are a fold of their own)."""
+    train = split_flag()
+    df = silver.withColumn("_fold", F.when(train, J.fold_of(folds, LINE_KEY)).otherwise(-1))
+    return J.join_route_stats_out_of_fold(df, "_fold", known=F.col("_fold") >= 0).drop("_fold").select(*silver.columns)
+
+
 # M1, M2, M3, M5 -------------------------------------------------------------
 def indexer(cols: Sequence[str] = tuple(INDEXED)) -> StringIndexer:
     """M1: category -> index by descending frequency (ties alphabetical);
@@ -132,12 +141,16 @@ def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATU
 def predictions_table(model: PipelineModel, test: DataFrame) -> DataFrame:
     """Scored test rows; the probability vector is stored as ``array<double>``
     (readable by any Parquet/SQL reader) plus the late-class probability."""
-    scored = model.transform(test)
-    prob = vector_to_array("probability")
+    return scored_columns(model.transform(test).withColumn("probability", vector_to_array("probability")))
+
+
+def scored_columns(scored: DataFrame) -> DataFrame:
+    """The columns of a prediction table, from rows with ``prediction`` and ``probability`` (array)."""
+    prob = F.col("probability")
     return scored.select(
         "order_id", "order_country", "order_region", "market", "shipping_mode", "delay_days",
         "is_delayed", F.col("late_delivery_risk").alias("actual_risk"),
-        F.col("prediction").alias("predicted_risk"), prob.alias("probability"),
+        F.col("prediction").alias("predicted_risk"), prob,
         prob[1].alias("late_probability"), "supplier_risk_flag", "weather_risk_score", "lpi_score",
         "news_risk_level", "route_delay_rate",
     )

@@ -2,13 +2,17 @@
 
 Metric queries run on a deterministic prediction table derived from the
 shipping lines (score = delay / 7, predicted late when the score is
-positive), so their SQL twins can check them exactly.  The gradient-boosted
-model itself (``risk_predictions``, ``feature_importance``, ``model_metrics``)
-is checked by row count and by the pytest suite.
+positive), so their SQL twins can check them exactly.  A small model that is stored
+with the library scores the test rows and is audited on the training rows, against SQL
+that walks its nodes.  Queries that fit a model while they run (``fitted_predictions``,
+``fitted_importance``, ``model_metrics``) are checked by row count and by the pytest
+suite.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,7 @@ from chainsight.functions import constants as K
 from chainsight.operators import aggregates as G
 from chainsight.operators import ml as M
 from chainsight.operators import topk as TK
+from chainsight.operators import trees as TR
 from chainsight.plans import oracle as O
 from chainsight.plans import silver as S
 from chainsight.plans.catalog import bronze, lines, register, silver
@@ -294,14 +299,137 @@ def q_model_test_rows(spark, sf_dir):
                        *[F.col(c).cast("double").alias(c) for c in _TEST_COLUMNS])
 
 
-@register("risk_predictions")
+# --- the stored model: five trees of depth three, fitted on the training rows of sf0.001
+STORED_MODEL = os.path.join(os.path.dirname(os.path.dirname(__file__)), "models", "risk_small.json")
+
+
+def stored_model() -> TR.Ensemble:
+    return TR.Ensemble.load(STORED_MODEL)
+
+
+def stored_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with the stored model's category indexes."""
+    train, test = split(spark, sf_dir)
+    return tuple(TR.with_indexes(df, stored_model(), M.INDEXED) for df in (train, test))
+
+
+def _walk_sql(side: str, body: str) -> str:
+    """Rows of one side with their features as a list, every node that each one reaches in every
+    tree (node by node, through the table of nodes), and the margin before each tree."""
+    model = stored_model()
+    number = {c: f"CAST({_FILLS.get(c, c)} AS DOUBLE)" for c in K.FEATURE_COLS}
+    for c, out in M.INDEXED.items():
+        whens = " ".join(f"WHEN {O.q(v)} THEN {i}" for i, v in enumerate(model.indexes[c]))
+        number[out] = f"CAST(CASE {c} {whens} ELSE {len(model.indexes[c])} END AS DOUBLE)"
+    scaled = ", ".join(f"({number[c]} - CAST('{m!r}' AS DOUBLE)) * CAST('{s!r}' AS DOUBLE)"
+                       for c, m, s in zip(model.features, model.mean, model.scale))
+
+    def cell(v) -> str:
+        return "NULL" if v is None else f"CAST('{v!r}' AS DOUBLE)" if isinstance(v, float) else str(v)
+    nodes = ", ".join(f"({n.tree}, {n.node}, {cell(n.left)}, {cell(n.right)}, {cell(n.feature)}, {cell(n.threshold)}, {cell(n.value)})"
+                      for n in model.nodes)
+    weights = ", ".join(f"({i}, CAST('{w!r}' AS DOUBLE))" for i, w in enumerate(model.weights))
+    return O.with_ctes("silver").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f"""
+, nodes AS (SELECT * FROM (VALUES {nodes}) t(tree, node, l, r, feature, threshold, value))
+, weights AS (SELECT * FROM (VALUES {weights}) t(tree, weight))
+, side AS (
+  SELECT *, row_number() OVER () AS rn, CAST(late_delivery_risk AS DOUBLE) AS label, [{scaled}] AS f
+  FROM silver WHERE {'' if side == 'train' else 'NOT '}({_IS_TRAIN}))
+, walk AS (
+  SELECT rn, f, tree, 0 AS node FROM side, weights
+  UNION ALL
+  SELECT rn, f, w.tree, CASE WHEN f[n.feature + 1] <= n.threshold THEN n.l ELSE n.r END
+  FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node WHERE n.feature IS NOT NULL)
+, leaves AS (
+  SELECT rn, w.tree, weight * value AS part
+  FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node JOIN weights g ON w.tree = g.tree WHERE n.feature IS NULL)
+, margins AS (SELECT rn, SUM(part) AS margin FROM leaves GROUP BY rn)
+""" + body.strip()
+
+
+@register("risk_predictions", _walk_sql("test", """
+SELECT order_id, line_number, order_country, order_region, market, shipping_mode, delay_days, is_delayed,
+       late_delivery_risk AS actual_risk, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predicted_risk,
+       round(1 / (1 + exp(-2 * margin)), 6) AS late_probability
+FROM side JOIN margins USING (rn)"""))
 def q_risk_predictions(spark, sf_dir):
+    """Test rows scored by the stored model's expression."""
+    _, test = stored_split(spark, sf_dir)
+    return TR.score(test, stored_model()).select(
+        *M.LINE_KEY, "order_country", "order_region", "market", "shipping_mode", "delay_days", "is_delayed",
+        F.col("late_delivery_risk").alias("actual_risk"), F.col("prediction").alias("predicted_risk"),
+        F.round("late_probability", 6).alias("late_probability"))
+
+
+@register("feature_importance", _walk_sql("train", f"""
+, before AS (
+  SELECT rn, tree, COALESCE(SUM(part) OVER (PARTITION BY rn ORDER BY tree ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS margin
+  FROM leaves)
+, targets AS (
+  SELECT rn, tree, CASE WHEN tree = 0 THEN y ELSE 4 * y / (1 + exp(2 * y * margin)) END AS target
+  FROM before JOIN (SELECT rn, CASE WHEN label = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y FROM side) s USING (rn))
+, sums AS (
+  SELECT tree, node, COUNT(*) AS n, SUM(target * target) - SUM(target) * SUM(target) / COUNT(*) AS spread
+  FROM walk JOIN targets USING (rn, tree) GROUP BY tree, node)
+, gains AS (
+  SELECT d.feature, s.spread - COALESCE(a.spread, 0) - COALESCE(b.spread, 0) AS weight
+  FROM nodes d JOIN sums s ON d.tree = s.tree AND d.node = s.node
+  LEFT JOIN sums a ON d.tree = a.tree AND d.l = a.node LEFT JOIN sums b ON d.tree = b.tree AND d.r = b.node
+  WHERE d.feature IS NOT NULL)
+SELECT name AS feature, round(COALESCE(SUM(weight), 0) / (SELECT SUM(weight) FROM gains), 6) AS importance
+FROM (SELECT unnest([{', '.join(map(O.q, K.FEATURE_COLS))}]) AS name, unnest(range(0, {len(K.FEATURE_COLS)})) AS feature) f
+LEFT JOIN gains USING (feature) GROUP BY name ORDER BY importance DESC, name LIMIT {K.TOP_K}"""))
+def q_feature_importance(spark, sf_dir):
+    """M10 + T6, from the gains that the stored model's splits have on the training rows."""
+    train, _ = stored_split(spark, sf_dir)
+    gains = TR.node_gains(TR.node_statistics(train, stored_model()), stored_model())
+    shares = TR.importances(gains).select("feature", F.round("importance", 6).alias("importance"))
+    return TK.top_importances(shares, K.TOP_K)
+
+
+_INDEX_WHENS = {out: "CAST(CASE {} {} ELSE {} END AS DOUBLE)".format(
+    c, " ".join(f"WHEN {O.q(v)} THEN {i}" for i, v in enumerate(stored_model().indexes[c])), len(stored_model().indexes[c]))
+    for c, out in M.INDEXED.items()}
+
+
+@register("split_gains", O.with_ctes("silver").rstrip() + f"""
+, feats AS (
+  SELECT CAST(late_delivery_risk AS BIGINT) AS late,
+         {', '.join(f"CAST({_INDEX_WHENS.get(c) or _FILLS.get(c, c)} AS DOUBLE) AS {c}" for c in K.FEATURE_COLS)}
+  FROM silver WHERE {_IS_TRAIN})
+, long AS (UNPIVOT feats ON {', '.join(K.FEATURE_COLS)} INTO NAME feature VALUE v)
+, placed AS (
+  SELECT feature, late, v, min(v) OVER (PARTITION BY feature) AS lo, max(v) OVER (PARTITION BY feature) AS hi FROM long)
+, cells AS (
+  SELECT feature, CAST(least(floor((v - lo) / (hi - lo) * 1024), 1023) AS INTEGER) AS cell,
+         COUNT(*) AS n, SUM(late) AS p, min(v) AS low, max(v) AS high
+  FROM placed WHERE hi > lo GROUP BY 1, 2)
+, sums AS (
+  SELECT feature, high, lead(low) OVER o AS next, CAST(SUM(n) OVER o AS DOUBLE) AS n, CAST(SUM(p) OVER o AS DOUBLE) AS p,
+         CAST(SUM(n) OVER (PARTITION BY feature) AS DOUBLE) AS m, CAST(SUM(p) OVER (PARTITION BY feature) AS DOUBLE) AS q
+  FROM cells WINDOW o AS (PARTITION BY feature ORDER BY cell))
+, cuts AS (
+  SELECT feature, (high + next) / 2 AS threshold, n, m,
+         (4 * q * (m - q) / m - 4 * p * (n - p) / n - 4 * (q - p) * ((m - n) - (q - p)) / (m - n)) / m AS gain
+  FROM sums WHERE next IS NOT NULL)
+SELECT feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, CAST(n AS BIGINT) AS left_rows, CAST(m - n AS BIGINT) AS right_rows
+FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) AS place FROM cuts) c WHERE place = 1""")
+def q_split_gains(spark, sf_dir):
+    """M5: the best first split of every feature, from the training rows' histogram."""
+    train, _ = stored_split(spark, sf_dir)
+    return TR.split_gains(TR.split_histogram(train)).select(
+        "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"), "left_rows", "right_rows")
+
+
+# --- a model fitted while the query runs
+@register("fitted_predictions")
+def q_fitted_predictions(spark, sf_dir):
     _, test = split(spark, sf_dir)
     return M.predictions_table(fitted_model(spark, sf_dir), test)
 
 
-@register("feature_importance")
-def q_feature_importance(spark, sf_dir):
+@register("fitted_importance")
+def q_fitted_importance(spark, sf_dir):
     return TK.top_importances(M.feature_importances(spark, fitted_model(spark, sf_dir)), K.TOP_K)
 
 

@@ -13,7 +13,7 @@ from .conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-SLOW = {"risk_predictions", "feature_importance", "model_metrics"}  # GBT fits: covered by test_ml
+SLOW = {"fitted_predictions", "fitted_importance", "model_metrics"}  # GBT fits: covered by test_ml
 
 
 @pytest.fixture(scope="module")
