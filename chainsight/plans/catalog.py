@@ -330,6 +330,54 @@ def q_join_coverage(spark, sf_dir):
     return J.join_coverage(df, {"supplier": "supplier_name", "country_scores": "lpi_score"})
 
 
+_JOIN_ORDER = "supplier, country_scores, weather, routes".split(", ")
+
+
+@register("join_lines", O.sql(["lines", "sup_range", "sup_keyed", "country_scores", "storm", "routes"], """
+SELECT 'supplier' AS join_name, 1 AS step, COUNT(*) AS lines_before, COUNT(*) AS lines_after, COUNT(s.sup_key) AS matched
+FROM lines l CROSS JOIN sup_range sr
+LEFT JOIN sup_keyed s ON s.sup_key = CAST(((l.order_id % sr.span) + sr.span) % sr.span + sr.low AS INTEGER)
+UNION ALL
+SELECT 'country_scores', 2, COUNT(*), COUNT(*), COUNT(cs.country)
+FROM lines l LEFT JOIN country_scores cs ON trim(l.order_country) = trim(cs.country)
+UNION ALL
+SELECT 'weather', 3, COUNT(*), COUNT(*), COUNT(st.state_key)
+FROM lines l LEFT JOIN storm st ON upper(trim(l.customer_state)) = st.state_key
+UNION ALL
+SELECT 'routes', 4, COUNT(*), COUNT(*), COUNT(rt.order_country)
+FROM lines l LEFT JOIN routes rt ON l.order_country = rt.order_country AND l.order_region = rt.order_region
+                                 AND l.shipping_mode = rt.shipping_mode"""))
+def q_join_lines(spark, sf_dir):
+    """Q6 + J6: lines before and after each enrichment join, and matched ones."""
+    b = bronze(spark, sf_dir)
+    return J.join_forecast(S.shipping_features(b.shipping), S.join_sides(b))
+
+
+_FOLDS = 5
+_FOLD = f"CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR)), 1, 8) AS BIGINT) % {_FOLDS}"
+
+
+@register("route_rates_out_of_fold", O.sql(["lines"], f"""
+, folded AS (SELECT *, {_FOLD} AS fold FROM lines)
+, per_fold AS (
+  SELECT order_country, order_region, shipping_mode, fold, SUM(is_delayed) AS d, COUNT(is_delayed) AS dn,
+         SUM(delay_days) AS s, COUNT(delay_days) AS sn, COUNT(order_id) AS n
+  FROM folded GROUP BY 1, 2, 3, 4)
+SELECT a.order_country, a.order_region, a.shipping_mode, a.fold, a.n AS lines,
+       CAST(SUM(b.d) AS DOUBLE) / NULLIF(SUM(b.dn), 0) AS route_delay_rate,
+       CAST(SUM(b.s) AS DOUBLE) / NULLIF(SUM(b.sn), 0) AS route_avg_delay_days,
+       CAST(COALESCE(SUM(b.n), 0) AS BIGINT) AS route_order_count
+FROM per_fold a LEFT JOIN per_fold b ON a.order_country = b.order_country AND a.order_region = b.order_region
+     AND a.shipping_mode = b.shipping_mode AND a.fold <> b.fold
+GROUP BY 1, 2, 3, 4, 5""".replace("\n, folded", ", folded", 1)))
+def q_route_rates_out_of_fold(spark, sf_dir):
+    """Route statistics of the lines of each fold, from the lines of the other folds."""
+    df = lines(spark, sf_dir).withColumn("fold", J.fold_of(_FOLDS))
+    out = J.join_route_stats_out_of_fold(df, "fold")
+    return out.groupBy(*J.ROUTE_KEYS, "fold", "route_delay_rate", "route_avg_delay_days", "route_order_count") \
+        .agg(F.count(F.lit(1)).alias("lines"))
+
+
 _DATES = ("order_date", "shipping_date")
 
 
@@ -464,16 +512,22 @@ def q_row_preview(spark, sf_dir):
                                                  "is_delayed", "order_profit"), ["order_id", "line_number"])
 
 
-_PROFILED = [("supplier_id", "string"), ("supplier_name", "string"), ("country", "string"), ("tier", "int"),
-             ("quality_score", "double"), ("risk_notes", "string")]
+# The order lines' columns in their order; the types are read from the SQL's own table.
+_LINE_COLUMNS = [
+    "order_id", "line_number", "order_date", "shipping_date", "days_real", "days_scheduled", "delivery_status",
+    "shipping_mode", "market", "order_country", "order_region", "customer_segment", "customer_state",
+    "product_name", "sales", "order_profit", "late_delivery_risk"]
+_TYPE_NAMES = ("CASE typeof(any_value({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DATE' THEN 'date' "
+               "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END")
 
 
-@register("schema_profile", O.sql(["suppliers"], "\nUNION ALL ".join(
-    f"SELECT {i} AS position, {O.q(c)} AS column_name, {O.q(t)} AS data_type, COUNT({c}) AS non_null FROM suppliers"
-    for i, (c, t) in enumerate(_PROFILED))))
+@register("schema_profile", O.sql(["lines"], "\nUNION ALL ".join(
+    f"SELECT {i} AS position, {O.q(c)} AS column_name, {_TYPE_NAMES.format(c=c)} AS data_type, COUNT({c}) AS non_null "
+    "FROM (SELECT l.*, p_name AS product_name FROM lines l JOIN part ON partkey = p_partkey) t"
+    for i, c in enumerate(_LINE_COLUMNS))))
 def q_schema_profile(spark, sf_dir):
-    suppliers = TestTables.shared(spark, sf_dir).supplier_master()
-    return Q.schema_profile(suppliers.select(*[c for c, _ in _PROFILED]))
+    """All columns of the order lines."""
+    return Q.schema_profile(bronze(spark, sf_dir, with_product=True).shipping)
 
 
 @register("row_parity", O.sql(["enriched", "shipping"], """

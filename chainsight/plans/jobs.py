@@ -117,43 +117,63 @@ class RowParityError(RuntimeError):
     pass
 
 
-def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str = "parquet") -> int:
+def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str = "parquet",
+               table: str | None = None) -> int:
     """Build silver in one plan and write it partitioned by market (K3).
 
-    Q6: the lines entering the enrichment joins and the rows written are
-    both counted during the write; they must be equal (every join is a left
-    join on a unique key), otherwise a dimension with duplicate keys fanned
-    lines out and the job fails.  The table is written beside the current one and
-    put in its place only after that check (K4).
+    Q6, J6: the lines that enter the enrichment joins, those that leave each of them
+    and those that found a match there are counted during the write.  Every join is a
+    left join on a unique key, so all counts of lines must be equal; where they aren't, a
+    side with a repeated key multiplied lines, and the job fails, naming the join and a
+    key.  The table is written beside the current one and put in its place only after
+    that check (K4); the counts are the report ``join_lines``.
+
+    ``table``: a catalogue name to publish under.  Then each run writes a version of its own
+    beside the others, and the name is switched to it in one step, so that readers of the
+    name find a table at any time; without it the table's folder is replaced by renames.
     """
-    for side, key in ((J.supplier_keyed(bronze.suppliers), "sup_key"),
-                      (J.country_side(bronze.country_scores), "_lpi_country")):
-        twice = J.duplicate_keys(side, key).first()
-        if twice is not None:
-            raise RowParityError(f"silver: {key} {twice[0]!r} occurs {twice[1]} times")
     seen = Observation("silver_input")
-    df = S.with_lineage(S.silver(bronze, lines_seen=seen))
+    joins = {name: Observation(f"silver_{name}") for name in S.JOINS}
+    df = S.with_lineage(S.silver(bronze, lines_seen=seen, joins_seen=joins))
     path = f"{out}/silver/supply_chain_master"
-    rows = W.write_counted(df, f"{path}.new", fmt, partition_by="market")
+    staged = W.new_version(path) if table else f"{path}.new"
+    rows = W.write_counted(df, staged, fmt, partition_by="market")
+    counts = J.join_report(spark, int(seen.get["rows"]), joins)
+    for step in counts.collect():  # one row a join
+        if step.lines_after != step.lines_before:
+            side, keys, _ = S.join_sides(bronze)[step.join_name]
+            twice = J.duplicate_keys(side, keys[0]).first() if len(keys) == 1 else None
+            key = "" if twice is None else f": {twice[0]!r} occurs {twice[1]} times"
+            raise RowParityError(f"silver, join {step.join_name}: {step.lines_before} lines in, {step.lines_after} out{key}")
     if int(seen.get["rows"]) != rows:
         raise RowParityError(f"silver: {seen.get['rows']} lines in, {rows} rows out")
-    W.publish(spark, f"{path}.new", path)
-    written = spark.read.format(fmt).load(path)
+    if table:
+        W.switch(spark, table, staged, fmt)
+        W.drop_old_versions(spark, path, staged)
+    else:
+        W.publish(spark, staged, path)
+    written = spark.table(table) if table else spark.read.format(fmt).load(path)
     report(Q.silver_check(written), out, "dq_silver", fmt)
-    report(J.join_coverage(written, {"supplier": "supplier_name"}), out, "join_coverage", fmt)
+    report(counts, out, "join_lines", fmt)
     W.log_run(spark, f"{out}/run_log", "silver", path, "WRITE", rows, PIPELINE_VERSION)
     return rows
 
 
 def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parquet",
-              params: dict | None = None, exclude: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+              params: dict | None = None, exclude: Sequence[str] = (), partitions: int | None = None,
+              route_rates: str = "all") -> DataFrame:
     """Fit on the training split, write scored test rows by market, save the
     model, return the one-row metrics frame (AUC, accuracy, F1), which is written
     too, with the confusion counts, the importances and the accuracy by market.
 
     ``exclude`` leaves features out, such as those that the label is derived from;
-    ``partitions`` is passed to ``ml.fit``."""
+    ``partitions`` is passed to ``ml.fit``.  ``route_rates="train"`` takes the route
+    features from training rows alone, and each training row's from the other folds."""
+    if route_rates not in ("all", "train"):
+        raise ValueError(route_rates)
     features = [c for c in K.FEATURE_COLS if c not in set(exclude)]
+    if route_rates == "train":
+        silver = M.train_only_route_rates(silver)
     train, test = M.train_test_split(M.model_frame(silver))
     model = M.fit(spark, train, features, params=params, partitions=partitions)
     pred = (M.predictions_table(model, test)

@@ -108,14 +108,32 @@ SIGNAL_COLUMNS = ("commodity_shock_flag", "news_risk_level", "news_risk_score_gl
 ROUTE_COLUMNS = ("route_delay_rate", "route_avg_delay_days", "route_order_count")
 
 
+#: The enrichment joins, in their order.
+JOINS = ("supplier", "country_scores", "weather", "routes")
+
+
+def join_sides(bronze: BronzeTables) -> dict:
+    """Right side, its key columns and the lines' key columns of every enrichment join."""
+    keyed = J.supplier_keyed(bronze.suppliers)
+    low, span = J.supplier_range(keyed)
+    return {
+        "supplier": (keyed, ["sup_key"], [FX.supplier_assignment("order_id", low, span)]),
+        "country_scores": (J.country_side(bronze.country_scores), ["_lpi_country"], [FX.clean_key("order_country")]),
+        "weather": (J.storm_stats_by_state(bronze.weather), ["state_key"], [FX.clean_upper_key("customer_state")]),
+        "routes": (J.route_side(shipping_features(bronze.shipping)), [f"_r_{k}" for k in J.ROUTE_KEYS], list(J.ROUTE_KEYS)),
+    }
+
+
 def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
-           lines_seen: Observation | None = None) -> DataFrame:
+           lines_seen: Observation | None = None, joins_seen: dict[str, Observation] | None = None) -> DataFrame:
     """Steps F1-F4, J1, J2(+F5), J3(+N1), J5, J4 as one plan (no defaults yet).
 
     ``needed`` (default: all) names the output columns a caller reads; steps
-    producing none of them are left out.
+    producing none of them are left out.  ``joins_seen`` (name of ``JOINS`` -> observation)
+    receives what leaves each join.
     """
     want = set(needed) if needed is not None else None
+    seen = joins_seen or {}
 
     def uses(cols) -> bool:
         return want is None or bool(want & set(cols))
@@ -126,29 +144,30 @@ def enrich(bronze: BronzeTables, needed: Sequence[str] | None = None,
         # Q6: only the branch that is written is counted, not the statistics'
         df = df.observe(lines_seen, F.count(F.lit(1)).alias("rows"))
     if uses(SUPPLIER_COLUMNS):
-        df = J.join_suppliers(df, bronze.suppliers)
+        df = J.join_suppliers(df, bronze.suppliers, seen=seen.get("supplier"))
     if uses(COUNTRY_COLUMNS):
-        df = J.join_country_scores(df, bronze.country_scores)
+        df = J.join_country_scores(df, bronze.country_scores, seen=seen.get("country_scores"))
     if uses(WEATHER_COLUMNS):
-        df = J.join_weather(df, bronze.weather)
+        df = J.join_weather(df, bronze.weather, seen=seen.get("weather"))
     if uses(SIGNAL_COLUMNS):
         df = J.attach_scalars(df, **global_signals(bronze, None if want is None else sorted(want)))
     if uses(ROUTE_COLUMNS):
-        df = J.join_route_stats(df, source=lines)
+        df = J.join_route_stats(df, source=lines, seen=seen.get("routes"))
     return df
 
 
 def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[str] | None = None,
-           lines_seen: Observation | None = None) -> DataFrame:
+           lines_seen: Observation | None = None, joins_seen: dict[str, Observation] | None = None) -> DataFrame:
     """The silver table (without lineage columns) with its N2 defaults.
 
     ``columns`` restricts the output (and the enrichment steps) to what a
     reader needs; by default all silver columns are built.  ``lines_seen``
-    receives the number of shipping lines entering the joins.
+    receives the number of shipping lines entering the joins, ``joins_seen`` what leaves
+    each of them.
     """
     cols = list(SILVER_COLUMNS) if columns is None else list(columns)
     cols += [c for c in extra if c not in cols]
-    df = enrich(bronze, None if columns is None else cols, lines_seen)
+    df = enrich(bronze, None if columns is None else cols, lines_seen, joins_seen)
     fills = {k: v for k, v in K.SILVER_DEFAULTS.items() if k in cols}
     out = df.select(*cols)
     return out.fillna(fills) if fills else out

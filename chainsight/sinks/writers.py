@@ -8,6 +8,9 @@ so verifying a write needs no second pass over the data.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +82,34 @@ def publish(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(old, True)
 
 
+def new_version(root: str) -> str:
+    """Folder for the next version of the table kept under ``root``; names sort by time."""
+    return f"{root.rstrip('/')}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def switch(spark: SparkSession, name: str, version: str, fmt: str = "parquet") -> None:
+    """Let readers of the catalogue name ``name`` see the finished table at ``version``.
+
+    One statement to the catalogue, which does it whole or not at all, and no rename, so
+    it also holds where the storage has none: a query that was resolved before reads the
+    earlier version, whose files stay, and every later one the new one.  There is no
+    moment without a table.  (A job may read ``name`` and publish to it.)"""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{version}`")
+
+
+def drop_old_versions(spark: SparkSession, root: str, current: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` versions under ``root`` that are older than ``current``;
+    the caller knows for how long a reader may still use one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(hadoop(root)))
+    older = [n for n in names if n.startswith("version=") and n < current.rstrip("/").rsplit("/", 1)[-1]]
+    gone = older[:max(0, len(older) - keep)]
+    for n in gone:
+        fs.delete(hadoop(f"{root}/{n}"), True)
+    return gone
+
+
 # K5 -------------------------------------------------------------------------
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
                   partition_by: str | list[str] | None = None, same_schema_as: SparkSession | None = None) -> int:

@@ -151,3 +151,36 @@ def test_unlisted_series_are_kept(spark):
 
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "series_id string, value double")
     assert {tuple(r) for r in tag_series(df, {"a": "first"}).collect()} == {("a", 1.0, "first"), ("b", 2.0, "b")}
+
+
+def test_out_of_fold_route_rates(spark):
+    """Against a plain loop, with a third of the lines on one route, unknown keys and test rows."""
+    from chainsight.operators import joins as J
+    from chainsight.operators import ml as M
+
+    rows = [(i, i % 3, "A" if i % 3 == 0 else f"C{i % 11}" if i % 17 else None, "R", f"M{i % 2}", i % 4 - 1, int(i % 4 > 1), i % 6 - 1)
+            for i in range(600)]
+    rows += [(1000, 0, "lonely", "R", "M0", 2, 1, 0)]
+    df = spark.createDataFrame(rows, "order_id long, line_number int, order_country string, order_region string, "
+                                     "shipping_mode string, delay_days int, is_delayed int, fold int")
+    got = J.join_route_stats_out_of_fold(df, "fold", known=F.col("fold") >= 0).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        other = [x for x in rows if x[2:5] == (r.order_country, r.order_region, r.shipping_mode) and None not in x[2:5]
+                 and x[7] >= 0 and x[7] != r.fold]
+        if r.order_country is None:
+            assert r.route_order_count is None
+            continue
+        assert r.route_order_count == len(other)
+        if other:
+            assert abs(r.route_delay_rate - sum(x[6] for x in other) / len(other)) < 1e-12
+            assert abs(r.route_avg_delay_days - sum(x[5] for x in other) / len(other)) < 1e-12
+        else:
+            assert r.route_delay_rate is None
+    # no test outcome reaches any row: turning all of them changes nothing
+    silver = df.drop("fold").withColumn("route_delay_rate", F.lit(0.0)).withColumn("route_avg_delay_days", F.lit(0.0)) \
+        .withColumn("route_order_count", F.lit(0).cast("long"))
+    turned = silver.withColumn("is_delayed", F.when(M.split_flag(), F.col("is_delayed")).otherwise(1 - F.col("is_delayed")))
+    keep = ("order_id", "line_number", "route_delay_rate", "route_avg_delay_days", "route_order_count")
+    a, b = (sorted(map(str, M.train_only_route_rates(x).select(*keep).collect())) for x in (silver, turned))
+    assert a == b and len(set(a)) > 100

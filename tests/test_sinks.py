@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from chainsight.sinks import writers as W
 
@@ -64,3 +65,42 @@ def test_run_log_time_does_not_depend_on_the_zone(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert W.history(spark, log).selectExpr("abs(timestampdiff(MINUTE, logged_at, now())) < 5").first()[0]
+
+
+def test_readers_never_miss_a_table_while_versions_are_published(spark, tmp_dir):
+    import threading
+
+    root, name = f"{tmp_dir}/t", "published_versions"
+    versions = [W.new_version(root) for _ in range(6)]
+    for i, v in enumerate(versions):
+        W.overwrite(spark.range(100).selectExpr("id", f"{i} AS run", "id % 3 AS market"), v, partition_by="market")
+    W.switch(spark, name, versions[0])
+    seen, failed, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = spark.table(name).groupBy("run").count().collect()
+                assert len(rows) == 1 and rows[0]["count"] == 100
+                seen.append(rows[0].run)
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+    readers = [threading.Thread(target=read) for _ in range(3)]
+    for t in readers:
+        t.start()
+    try:
+        for v in versions[1:]:
+            W.switch(spark, name, v)
+            spark.table(name).count()
+        # input = output: the next version is made from the present one
+        more = W.new_version(root)
+        W.overwrite(spark.table(name).withColumn("run", F.col("run") + 1), more, partition_by="market")
+        W.switch(spark, name, more)
+        assert spark.table(name).select("run").distinct().collect()[0].run == 6
+    finally:
+        done.set()
+        for t in readers:
+            t.join()
+    assert not failed and len(seen) > 3
+    assert len(W.drop_old_versions(spark, root, more)) == 4 and spark.table(name).count() == 100
+    spark.sql(f"DROP VIEW {name}")
