@@ -6,6 +6,7 @@ import corpus_pipeline as pipeline
 from chainsight.llm import langid, packing, secret_scan
 from chainsight.llm.common import materialize
 from tests.conftest import SF001
+from .messy import messy
 from .test_decontaminate import plain_leaks
 from .test_packing import check_places
 from .test_simhash import plain_components, plain_fingerprint
@@ -65,3 +66,25 @@ def test_stages_take_an_empty_table(spark):
     for _, stage in pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF001))
         assert docs.count() == 0
+
+
+def test_stages_take_messy_rows(spark):
+    """Nulls, repeated rows, long texts and columns that are named like work columns."""
+    docs = messy(spark).withColumn("n_chars", pipeline.F.lit(1).cast("long"))
+    secret = docs.where("doc_id = 8").withColumn("text", pipeline.F.lit("token = abcdefgh1234 end"))
+    docs = docs.union(secret).union(secret.withColumn("doc_id", pipeline.F.lit(None).cast("long")))
+    columns = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = materialize(stage(spark, docs, SF001))
+        assert docs.columns == columns
+        rows = docs.collect()
+        if name == "language_id":  # null, empty and letterless texts go
+            assert len(rows) == before - 5
+        elif name == "simhash_near_dedup":
+            assert len(rows) == len({r.text for r in rows})
+        elif name == "secret_scan":
+            assert len(rows) == before and [r.n_chars for r in rows if r.text == "[assign] end"] == [12]
+            assert all(r.n_chars == 1 for r in rows if "[assign]" not in r.text)
+    packed = pipeline.STAGES[-1][1](spark, docs, SF001).collect()
+    assert sum(r.piece == 0 for r in packed) == docs.count()
