@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainsight.llm import decontaminate, langid, packing, secret_scan, simhash
-from chainsight.llm.common import materialize, read_table
+from chainsight.llm.common import beside, materialize, read_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Profiles come from the labelled documents; a document without letters, which
     has none, goes.  Short or mixed texts are kept."""
     model = langid.profiles(docs)
-    found = docs.withColumn("_lang", langid.classify_column(F.col("text"), model))
-    return found.where(F.col("_lang.lang_pred") != langid.UNKNOWN).drop("_lang")
+    return docs.where(langid.classify_column(F.col("text"), model)["lang_pred"] != langid.UNKNOWN)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,20 +33,22 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every secret by its kind in brackets; ``n_chars`` follows the text.
+    """Replace every secret by its kind in brackets; a column ``n_chars`` follows the text.
 
-    Findings are joined by blob, by a merge join at every size."""
+    Findings are joined by blob, by a merge join at every size.  Rows without secrets stay
+    as they are, null texts and ids and repeated rows among them."""
     found = secret_scan.scan(docs.select("doc_id", "text")) \
         .where(F.size("findings") > 0).select("blob", "findings").distinct()
-    found = materialize(found)
-    named = docs.withColumn("_blob", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    joined = named.join(found.select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
-                        .hint("merge"), "_blob", "left")
-    text = secret_scan.redact_column(F.col("text"), F.col("_findings"))
-    return joined.withColumn("text", F.when(F.col("_findings").isNotNull(), text).otherwise(F.col("text"))) \
-        .withColumn("n_chars", F.when(F.col("_findings").isNotNull(), F.length("text").cast("long"))
-                    .otherwise(F.col("n_chars"))) \
-        .select(*docs.columns)
+    found = materialize(found).select(F.struct("blob", "findings").alias("found"))
+    work = beside(docs)
+    blob = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    joined = docs.join(found.withColumnRenamed("found", work).hint("merge"), blob == F.col(f"{work}.blob"), "left")
+    hit = F.col(work).isNotNull()
+    text = F.when(hit, secret_scan.redact_column(F.col("text"), F.col(f"{work}.findings"))).otherwise(F.col("text"))
+    done = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return done.select(*[f"`{c}`" for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
