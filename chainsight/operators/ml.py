@@ -253,12 +253,12 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
     AUC = P(score of a positive > score of a negative) + 1/2 P(tie), i.e. the
     rank-sum statistic with mid-ranks (the trapezoidal ROC area).  Rows are
     first reduced to one row per distinct score (partial aggregation, so a
-    score shared by a third of all rows is one row).  The negatives below each
-    score are a prefix sum: distinct scores are cut into ``buckets`` ranges at
-    approximate quantiles; each range is summed in its own task and ranges are
-    offset by the running total of the ones before (``buckets`` rows; their number
-    bounds the parallelism, not the rows).  Rows without a score take no part;
-    ``unscored`` says how many there are.
+    score shared by a third of all rows is one row).  Distinct scores are cut into
+    ``buckets`` ranges at approximate quantiles; each range is ranked in its own task and
+    reduced to one row, its positives, negatives and rank-sum, to which the negatives
+    of all ranges below it are added (``buckets`` rows; their number bounds the
+    parallelism, not the rows).  Rows without a score take no part; ``unscored`` says how
+    many there are.
     ``per_score`` (from ``score_counts``) replaces the first pass when given.
     """
     s = F.col(score)
@@ -266,25 +266,24 @@ def auc_fraction(pred: DataFrame, label: str = "label", score: str = "score", bu
         every = score_counts(pred, label, score)
     else:  # from score_counts, possibly split by prediction
         every = per_score.groupBy(score).agg(*[F.sum(c).alias(c) for c in ("rows", "pos", "neg")])
-    # the row of the missing score stays, with nothing to rank: one plan for all that follows
+    probs = [i / buckets for i in range(1, buckets)]
+    # the quantiles read all the columns that the ranks read, so that the counts run once for both
+    counted = (F.col("rows") >= 0) & (F.col("pos") >= 0) & (F.col("neg") >= 0)
+    bounds = every.agg(F.percentile_approx(F.when(counted, s), probs, 10_000)).scalar()
+    # the row of the missing score stays, with nothing to rank
     scored = s.isNotNull()
     per = every.select(score, *[F.when(scored, F.col(c)).otherwise(0).alias(c) for c in ("pos", "neg")],
-                       F.when(~scored, F.col("rows")).otherwise(0).alias("_unscored"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = per.agg(F.percentile_approx(score, probs, 10_000)).scalar()
-    per = per.withColumn("_bounds", bounds) \
+                       F.when(~scored, F.col("rows")).otherwise(0).alias("_unscored"), bounds.alias("_bounds")) \
         .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < s))).drop("_bounds")
-    totals = per.groupBy("_bucket").agg(F.sum("neg").alias("_bucket_neg"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", F.coalesce(F.sum("_bucket_neg").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    # at most `buckets` rows: a proven bound for the broadcast
-    per = per.join(F.broadcast(offsets), "_bucket")
-    below = (F.col("_offset") + F.col("_below")).cast("decimal(38,0)")
-    term = F.col("pos").cast("decimal(38,0)") * (2 * below + F.col("neg"))
-    out = per.agg(F.sum(term).alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
-                  F.coalesce(F.sum("_unscored"), F.lit(0)).alias("unscored"))
+    below = F.coalesce(F.sum("neg").over(inside), F.lit(0)).cast("decimal(38,0)")
+    ranked = per.withColumn("_term", F.col("pos").cast("decimal(38,0)") * (2 * below + F.col("neg")))
+    ranges = ranked.groupBy("_bucket").agg(F.sum("_term").alias("_term"), *[F.sum(c).alias(c) for c in ("pos", "neg", "_unscored")])
+    before = Window.partitionBy().orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offset = F.coalesce(F.sum("neg").over(before), F.lit(0)).cast("decimal(38,0)")
+    ranges = ranges.withColumn("_term", F.col("_term") + 2 * offset * F.col("pos").cast("decimal(38,0)"))
+    out = ranges.agg(F.sum("_term").alias("auc_num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
+                     F.coalesce(F.sum("_unscored"), F.lit(0)).alias("unscored"))
     return out.withColumn("auc_den2", F.lit(2).cast("decimal(38,0)") * F.col("positives") * F.col("negatives"))
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -24,6 +25,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     deterministic pick; ``dropDuplicates`` would pick an arbitrary row.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and len(order) == 1 and isinstance(df.schema[order[0]].dataType, (NumericType, DateType, TimestampType)):
+        # one number is all there is to find: hash aggregation, so long keys aren't sorted
+        first = F.when(F.bool_or(F.col(order[0]).isNull()), None).otherwise(F.min(order[0]))
+        return df.groupBy(*keys).agg(first.alias(order[0])).select(*df.columns)
     packed = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_first")
     out = df.groupBy(*keys).agg(packed)
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [*order, *rest]]).select(*df.columns)

@@ -184,3 +184,14 @@ def test_out_of_fold_route_rates(spark):
     keep = ("order_id", "line_number", "route_delay_rate", "route_avg_delay_days", "route_order_count")
     a, b = (sorted(map(str, M.train_only_route_rates(x).select(*keep).collect())) for x in (silver, turned))
     assert a == b and len(set(a)) > 100
+
+
+def test_first_per_key_of_a_number_alone_hashes(spark):
+    rows = [("a", 3), ("a", 1), (None, 5), (None, 4), ("b", None), ("b", 2), ("c", 7), ("c", 7)]
+    df = spark.createDataFrame(rows, "title string, feed_order long")
+    out = first_per_key(df, ["title"], ["feed_order"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("a", 1), (None, 4), ("b", None), ("c", 7)], key=str)
+    wide = first_per_key(df.withColumn("x", F.lit(1)), ["title"], ["feed_order"]).drop("x")
+    assert sorted(map(str, wide.collect())) == sorted(map(str, out.collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
