@@ -9,11 +9,14 @@ checked by row count and by the pytest suite.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainsight import PIPELINE_VERSION
+from chainsight import schemas as SC
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
 from chainsight.operators import aggregates as G
@@ -24,6 +27,8 @@ from chainsight.operators import topk as T
 from chainsight.operators.windows import first_per_key
 from chainsight.plans import oracle as O
 from chainsight.plans import silver as S
+from chainsight.run import RunContext
+from chainsight.sources import rows as ROWS
 from chainsight.sources.tables import TEST_NEWS_KEYWORDS, TEST_OIL_METRIC, TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,11 +388,14 @@ _DATES = ("order_date", "shipping_date")
 
 @register("silver_lines", O.sql(["silver"], "SELECT " + ", ".join(
     f"strftime(s.{c}, '%Y-%m-%d') AS {c}" if c in _DATES else "p.p_name AS product_name" if c == "product_name"
-    else f"s.{c}" for c in S.SILVER_COLUMNS) + " FROM silver s JOIN part p ON s.partkey = p.p_partkey"))
+    else f"s.{c}" for c in S.SILVER_COLUMNS) + f""", '2024-02-29 12:00:00.5' AS _silver_processed_at, {O.q(PIPELINE_VERSION)} AS _pipeline_version
+FROM silver s JOIN part p ON s.partkey = p.p_partkey"""))
 def q_silver_lines(spark, sf_dir):
-    """Every column of every silver row."""
-    df = S.silver(bronze(spark, sf_dir, with_product=True))
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in _DATES})
+    """Every column of every silver row, lineage of a given run included."""
+    run = RunContext(datetime(2024, 2, 29, 12, 0, 0, 500_000, timezone.utc), "given")
+    df = S.with_lineage(S.silver(bronze(spark, sf_dir, with_product=True)), run)
+    utc = F.to_utc_timestamp("_silver_processed_at", F.current_timezone()).cast("string")
+    return df.withColumn("_silver_processed_at", utc).withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in _DATES})
 
 
 @register("global_signals", O.sql(["silver"], """
@@ -616,6 +624,83 @@ def q_news_by_query(spark, sf_dir):
     return G.value_distribution(S.dedup_news(TestTables.shared(spark, sf_dir).news_disruptions()), ["query_used"])
 
 
+# ---------------------------------------------------------------------------
+# Raw records as text (S1, S4, S5): written from the tables' values, with every odd form
+# that the formats know, then parsed; the SQL gives the values themselves.
+# ---------------------------------------------------------------------------
+def _kind(order: str, n: int) -> str:
+    return f"pmod({order}, {n}) = 0"
+
+
+@register("parsed_order_lines", O.sql(["lines"], """
+SELECT order_id % 10 AS part, CASE WHEN order_id % 7 = 0 THEN NULL ELSE CAST(order_id AS INTEGER) END AS order_id,
+       CAST(line_number AS INTEGER) AS line_number, days_real, late_delivery_risk, market,
+       CASE WHEN order_id % 11 = 0 THEN 'The "' || order_country || '", ' || order_region ELSE order_country END AS order_country,
+       CASE WHEN order_id % 13 = 0 THEN NULL ELSE order_region END AS order_region,
+       CASE WHEN order_id % 13 = 0 THEN NULL ELSE shipping_mode END AS shipping_mode,
+       CASE WHEN order_id % 13 = 0 THEN NULL ELSE order_profit END AS order_profit, sales,
+       order_id % 7 = 0 OR order_id % 13 = 0 AS bad
+FROM lines"""))
+def q_parsed_order_lines(spark, sf_dir):
+    """Order lines as text lines, quoted, short, and with bad numbers, read back."""
+    text = {src: F.col(dst).cast("string") for src, dst in SC.SHIPPING_ROLES.items()}
+    text["Order_Id"] = F.when(F.expr(_kind("order_id", 7)), "n/a").otherwise(text["Order_Id"])
+    quoted = F.concat(F.lit('"The ""'), F.col("order_country"), F.lit('"", '), F.col("order_region"), F.lit('"'))
+    text["Order_Country"] = F.when(F.expr(_kind("order_id", 11)), quoted).otherwise(F.col("order_country"))
+    names = [n for n, _ in SC.SHIPPING_CSV_COLUMNS]
+    empty = F.lit("")
+
+    def line(columns: list[str]) -> F.Column:
+        return F.concat_ws(",", *[F.coalesce(text.get(n, empty), empty) for n in columns])
+    short = line(names[:names.index("Order_Profit_Per_Order")])
+    rows = lines(spark, sf_dir).withColumn("product_name", F.lit(None).cast("string")).select(
+        F.pmod("order_id", F.lit(10)).alias("part"),
+        F.when(F.expr(_kind("order_id", 13)), short).otherwise(line(names)).alias("line"))
+    return ROWS.parse_order_lines(rows, "line").select(
+        "part", "order_id", "line_number", "days_real", "late_delivery_risk", "market", "order_country", "order_region",
+        "shipping_mode", "order_profit", "sales", "bad")
+
+
+@register("parsed_news", """
+SELECT doc_id, false AS bad, 0 AS item, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'Nr. ' || doc_id END AS title,
+       length(text) AS chars, sha256(text) AS summary_sha256, CASE WHEN doc_id % 3 = 0 THEN 'Unknown' ELSE source END AS source
+FROM documents WHERE doc_id % 9 <> 0
+UNION ALL SELECT doc_id, false, 1, '007', 0, sha256(''), 'Unknown' FROM documents WHERE doc_id % 9 <> 0
+UNION ALL SELECT doc_id, true, NULL, NULL, NULL, NULL, NULL FROM documents WHERE doc_id % 9 = 0""")
+def q_parsed_news(spark, sf_dir):
+    """Documents as RSS feeds, some without title or source, some broken off, read back."""
+    d = TestTables.shared(spark, sf_dir).raw("documents").select("doc_id", "text", "source")
+
+    def escaped(c: str) -> F.Column:
+        return F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    title = F.when(F.expr(_kind("doc_id", 5)), "").otherwise(F.concat(F.lit("<title>Nr. "), F.col("doc_id").cast("string"), F.lit("</title>")))
+    source = F.when(F.expr(_kind("doc_id", 3)), "").otherwise(
+        F.concat(F.lit('<source url="http://x/?a=1&amp;b=2">'), escaped("source"), F.lit("</source>")))
+    first = F.concat(F.lit("<item>"), title, F.lit("<description>"), escaped("text"), F.lit("</description>"), source, F.lit("</item>"))
+    feed = F.concat(F.lit("<rss><channel><link>x</link>"), first, F.when(F.expr(_kind("doc_id", 9)), "<item>").otherwise(
+        "<item><title>007</title></item></channel></rss>"))
+    items = ROWS.parse_feeds(d.select("doc_id", feed.alias("feed")), "feed")
+    return items.select("doc_id", "bad", "item", "title", F.length("summary").alias("chars"),
+                        F.sha2(F.col("summary").cast("binary"), 256).alias("summary_sha256"), "source")
+
+
+@register("parsed_prices", """
+SELECT event_id, false AS bad, strftime(ts, '%Y-%m-%d') AS date, CASE WHEN event_id % 6 = 0 THEN NULL ELSE value END AS value
+FROM events WHERE event_id % 10 <> 0 AND value IS NOT NULL
+UNION ALL SELECT event_id, false, 'x', 2.5 FROM events WHERE event_id % 10 <> 0
+UNION ALL SELECT event_id, true, NULL, NULL FROM events WHERE event_id % 10 = 0""")
+def q_parsed_prices(spark, sf_dir):
+    """Events as price documents with missing and bad values, some broken off, read back."""
+    ev = TestTables.shared(spark, sf_dir).raw("events").select("event_id", "ts", "value")
+    value = F.when(F.expr(_kind("event_id", 6)), "1,5").otherwise(F.col("value").cast("string"))
+    seen = F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), value.alias("value")),
+                   F.struct(F.lit("y").alias("date"), F.lit(".").alias("value")),
+                   F.struct(F.lit("x").alias("date"), F.lit("2.5").alias("value")))
+    whole = F.to_json(F.struct(F.filter(seen, lambda o: o["value"].isNotNull()).alias("observations")))
+    text = F.when(F.expr(_kind("event_id", 10)), F.concat(F.lit('{"observations": ['), F.col("event_id").cast("string"))).otherwise(whole)
+    return ROWS.parse_prices(ev.select("event_id", text.alias("document")), "document")
+
+
 def queries() -> dict[str, Query]:
     from chainsight.plans import catalog_ml  # noqa: F401  (registers the model queries)
     return dict(QUERIES)

@@ -24,7 +24,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from chainsight import PIPELINE_VERSION
 from chainsight.functions import constants as K
 from chainsight.operators import aggregates as G
 from chainsight.operators import joins as J
@@ -32,6 +31,7 @@ from chainsight.operators import ml as M
 from chainsight.operators import quality as Q
 from chainsight.operators.windows import first_per_key
 from chainsight.plans import silver as S
+from chainsight.run import RunContext
 from chainsight.sinks import writers as W
 from chainsight.sources import files as SRC
 
@@ -67,16 +67,17 @@ def report(df: DataFrame, out: str, name: str, fmt: str = "parquet") -> None:
 
 
 def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parquet",
-               drop_columns: Sequence[str] = ()) -> dict[str, int]:
+               drop_columns: Sequence[str] = (), run: RunContext | None = None) -> dict[str, int]:
     """Read every raw source once, write the six bronze tables and the quality
     reports on them.  ``drop_columns``: order-line columns not to store."""
+    run = run or RunContext()
     tables = {
-        "shipping_events": SRC.shipping_bronze(SRC.read_shipping_raw(spark, raw.shipping_csv), drop_columns),
-        "weather_events": SRC.read_weather(spark, raw.storm_csv),
-        "news_disruptions": first_per_key(SRC.read_news(spark, raw.news_dir), ["title"], ["feed_order"]),
-        "commodity_prices": SRC.read_commodity(spark, raw.prices_dir),
-        "supplier_risk": SRC.read_country_scores(spark, raw.country_scores_csv),
-        "supplier_master": SRC.read_suppliers(spark, raw.suppliers, raw.suppliers_fmt),
+        "shipping_events": SRC.shipping_bronze(SRC.read_shipping_raw(spark, raw.shipping_csv), drop_columns, run),
+        "weather_events": SRC.read_weather(spark, raw.storm_csv, run),
+        "news_disruptions": first_per_key(SRC.read_news(spark, raw.news_dir, run=run), ["title"], ["feed_order"]),
+        "commodity_prices": SRC.read_commodity(spark, raw.prices_dir, run=run),
+        "supplier_risk": SRC.read_country_scores(spark, raw.country_scores_csv, run),
+        "supplier_master": SRC.read_suppliers(spark, raw.suppliers, raw.suppliers_fmt, run),
     }
     # commodity and supplier tables keep their schema across runs (K2)
     schema_guarded = {"commodity_prices", "supplier_master"}
@@ -85,7 +86,7 @@ def bronze_job(spark: SparkSession, raw: RawInputs, out: str, fmt: str = "parque
     for name, df in tables.items():
         path = f"{out}/bronze/{name}"
         counts[name] = W.write_counted(df, path, fmt, same_schema_as=spark if name in schema_guarded else None)
-        W.log_run(spark, f"{out}/run_log", "bronze", path, "WRITE", counts[name], PIPELINE_VERSION)
+        W.log_run(spark, f"{out}/run_log", "bronze", path, "WRITE", counts[name], run.version, run)
     bronze = bronze_from_paths(spark, out, fmt)
     report(Q.shipping_check(bronze.shipping), out, "dq_shipping", fmt)
     report(Q.weather_check(bronze.weather), out, "dq_weather", fmt)
@@ -118,7 +119,7 @@ class RowParityError(RuntimeError):
 
 
 def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str = "parquet",
-               table: str | None = None) -> int:
+               table: str | None = None, run: RunContext | None = None) -> int:
     """Build silver in one plan and write it partitioned by market (K3).
 
     Q6, J6: the lines that enter the enrichment joins, those that leave each of them
@@ -132,9 +133,10 @@ def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str =
     beside the others, and the name is switched to it in one step, so that readers of the
     name find a table at any time; without it the table's folder is replaced by renames.
     """
+    run = run or RunContext()
     seen = Observation("silver_input")
     joins = {name: Observation(f"silver_{name}") for name in S.JOINS}
-    df = S.with_lineage(S.silver(bronze, lines_seen=seen, joins_seen=joins))
+    df = S.with_lineage(S.silver(bronze, lines_seen=seen, joins_seen=joins), run)
     path = f"{out}/silver/supply_chain_master"
     staged = W.new_version(path) if table else f"{path}.new"
     rows = W.write_counted(df, staged, fmt, partition_by="market")
@@ -155,13 +157,13 @@ def silver_job(spark: SparkSession, bronze: S.BronzeTables, out: str, fmt: str =
     written = spark.table(table) if table else spark.read.format(fmt).load(path)
     report(Q.silver_check(written), out, "dq_silver", fmt)
     report(counts, out, "join_lines", fmt)
-    W.log_run(spark, f"{out}/run_log", "silver", path, "WRITE", rows, PIPELINE_VERSION)
+    W.log_run(spark, f"{out}/run_log", "silver", path, "WRITE", rows, run.version, run)
     return rows
 
 
 def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parquet",
               params: dict | None = None, exclude: Sequence[str] = (), partitions: int | None = None,
-              route_rates: str = "all") -> DataFrame:
+              route_rates: str = "all", run: RunContext | None = None) -> DataFrame:
     """Fit on the training split, write scored test rows by market, save the
     model, return the one-row metrics frame (AUC, accuracy, F1), which is written
     too, with the confusion counts, the importances and the accuracy by market.
@@ -169,6 +171,7 @@ def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parq
     ``exclude`` leaves features out, such as those that the label is derived from;
     ``partitions`` is passed to ``ml.fit``.  ``route_rates="train"`` takes the route
     features from training rows alone, and each training row's from the other folds."""
+    run = run or RunContext()
     if route_rates not in ("all", "train"):
         raise ValueError(route_rates)
     features = [c for c in K.FEATURE_COLS if c not in set(exclude)]
@@ -177,11 +180,11 @@ def model_job(spark: SparkSession, silver: DataFrame, out: str, fmt: str = "parq
     train, test = M.train_test_split(M.model_frame(silver))
     model = M.fit(spark, train, features, params=params, partitions=partitions)
     pred = (M.predictions_table(model, test)
-            .withColumn("_gold_processed_at", F.current_timestamp())
+            .withColumn("_gold_processed_at", run.stamp())
             .withColumn("_model_version", F.lit(K.MODEL_VERSION)))
     path = f"{out}/gold/risk_predictions"
     rows = W.write_counted(pred, path, fmt, partition_by="market")
-    W.log_run(spark, f"{out}/run_log", "model", path, "WRITE", rows, K.MODEL_VERSION)
+    W.log_run(spark, f"{out}/run_log", "model", path, "WRITE", rows, K.MODEL_VERSION, run)
     W.save_model(model, f"{out}/gold/model/gbt_risk_classifier")
     written = spark.read.format(fmt).load(path)
     report(M.confusion(written, "actual_risk", "predicted_risk"), out, "confusion", fmt)
@@ -201,22 +204,23 @@ def model_metrics(predictions: DataFrame) -> DataFrame:
 
 
 def gold_job(spark: SparkSession, silver: DataFrame, metrics: DataFrame, news: DataFrame, out: str,
-             fmt: str = "parquet") -> dict[str, int]:
+             fmt: str = "parquet", run: RunContext | None = None) -> dict[str, int]:
     """Market, route, supplier and mode marts plus the KPI summary (all computed);
     ``metrics`` is what ``model_job`` returned."""
-    stamp = F.current_timestamp()
+    run = run or RunContext()
+    stamp = run.stamp()
     marts = {
         "market_dashboard": G.market_kpi(silver).withColumn("_processed_at", stamp),
         "route_risk": G.route_risk(silver).withColumn("_processed_at", stamp),
         "supplier_leaderboard": G.supplier_leaderboard(silver).withColumn("_processed_at", stamp),
         "mode_performance": G.mode_performance(silver).withColumn("_processed_at", stamp),
-        "kpi_summary": G.kpi_summary(silver, metrics, news, PIPELINE_VERSION),
+        "kpi_summary": G.kpi_summary(silver, metrics, news, run.version),
     }
     counts = {}
     for name, df in marts.items():
         path = f"{out}/gold/{name}"
         counts[name] = W.write_counted(df, path, fmt)
-        W.log_run(spark, f"{out}/run_log", "gold", path, "WRITE", counts[name], PIPELINE_VERSION)
+        W.log_run(spark, f"{out}/run_log", "gold", path, "WRITE", counts[name], run.version, run)
     return counts
 
 
@@ -225,24 +229,26 @@ def run_on_test_tables(spark: SparkSession, sf_dir: str, out: str) -> dict[str,
     from chainsight.plans.catalog import bronze as test_bronze
 
     b = test_bronze(spark, sf_dir, with_product=True)
-    result: dict[str, object] = {"silver_rows": silver_job(spark, b, out)}
+    run = RunContext()
+    result: dict[str, object] = {"silver_rows": silver_job(spark, b, out, run=run)}
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
-    metrics = model_job(spark, silver, out)
+    metrics = model_job(spark, silver, out, run=run)
     result["model_metrics"] = metrics.first().asDict()
-    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out)
+    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out, run=run)
     return result
 
 
 def run_on_raw_files(spark: SparkSession, raw: RawInputs, out: str, params: dict | None = None) -> dict[str, object]:
     """Raw files -> bronze -> silver -> model -> gold, each stage reading the
     table the previous one wrote."""
-    result: dict[str, object] = {"bronze": bronze_job(spark, raw, out)}
+    run = RunContext()  # one time and id for all tables
+    result: dict[str, object] = {"bronze": bronze_job(spark, raw, out, run=run)}
     b = bronze_from_paths(spark, out)
-    result["silver_rows"] = silver_job(spark, b, out)
+    result["silver_rows"] = silver_job(spark, b, out, run=run)
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
-    metrics = model_job(spark, silver, out, params=params)
+    metrics = model_job(spark, silver, out, params=params, run=run)
     result["model_metrics"] = metrics.first().asDict()
-    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out)
+    result["gold"] = gold_job(spark, silver, metrics, S.news_summary(b), out, run=run)
     return result
 
 

@@ -16,12 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from chainsight import PIPELINE_VERSION
 from chainsight.functions import constants as K
 from chainsight.functions import features as FX
 from chainsight.operators import aggregates as G
 from chainsight.operators import joins as J
 from chainsight.operators.windows import first_per_key
+from chainsight.run import RunContext
 
 
 @dataclass
@@ -173,7 +173,7 @@ def silver(bronze: BronzeTables, extra: Sequence[str] = (), columns: Sequence[st
     return out.fillna(fills) if fills else out
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
-    """K7 for silver: processing time and pipeline version."""
-    return (df.withColumn("_silver_processed_at", F.current_timestamp())
-            .withColumn("_pipeline_version", F.lit(PIPELINE_VERSION)))
+def with_lineage(df: DataFrame, run: RunContext | None = None) -> DataFrame:
+    """K7 for silver: processing time (the run's) and pipeline version."""
+    run = run or RunContext()
+    return df.withColumn("_silver_processed_at", run.stamp()).withColumn("_pipeline_version", F.lit(run.version))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from chainsight.run import RunContext
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -137,18 +139,21 @@ RUN_LOG = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("version", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 
 def log_run(spark: SparkSession, log_path: str, job: str, table_path: str, operation: str,
-            rows: int, version: str = "") -> None:
-    """Append one row to the run log (the write history of every table)."""
-    row = spark.createDataFrame([(job, table_path, operation, int(rows), version)], T.StructType(RUN_LOG.fields[:-1]))
-    row.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(log_path)
+            rows: int, version: str = "", run: RunContext | None = None) -> None:
+    """Append one row to the run log (the write history of every table).  All rows of a run
+    carry its id; ``logged_at`` is the time of the write."""
+    row = spark.createDataFrame([(job, table_path, operation, int(rows), version)], T.StructType(RUN_LOG.fields[:5]))
+    row.withColumn("logged_at", F.current_timestamp()).withColumn("run_id", F.lit(run.run_id if run else None).cast("string")) \
+        .write.mode("append").parquet(log_path)
 
 
 def history(spark: SparkSession, log_path: str, table_path: str | None = None) -> DataFrame:
-    log = spark.read.parquet(log_path)
+    log = spark.read.schema(RUN_LOG).parquet(log_path)  # logs from before a column was added lack it
     if table_path is not None:
         log = log.where(F.col("table_path") == table_path)
     return log.orderBy(F.col("logged_at").desc())

@@ -92,6 +92,15 @@ def test_raw_files_through_all_jobs(spark, tmp_dir):
         lineage = {"ingested_ts", "source"} if name == "commodity_prices" else \
             {"_ingested_at", "_source_name", "_pipeline_version"}
         assert lineage <= columns, name
+    # one clock: every table of the run carries the same time, every log row the same id
+    stamps = {"shipping_events": "_ingested_at", "weather_events": "_ingested_at", "news_disruptions": "_ingested_at",
+              "commodity_prices": "ingested_ts", "supplier_risk": "_ingested_at", "supplier_master": "_ingested_at"}
+    times = {r[0] for n, c in stamps.items() for r in spark.read.parquet(f"{out}/bronze/{n}").select(c).distinct().collect()}
+    times |= {r[0] for r in spark.read.parquet(f"{out}/silver/supply_chain_master").select("_silver_processed_at").distinct().collect()}
+    times |= {r[0] for r in spark.read.parquet(f"{out}/gold/market_dashboard").select("_processed_at").distinct().collect()}
+    times |= {r[0] for r in spark.read.parquet(f"{out}/gold/risk_predictions").select("_gold_processed_at").distinct().collect()}
+    assert len(times) == 1
+    assert len({r.run_id for r in W.history(spark, f"{out}/run_log").collect()}) == 1
     silver = spark.read.parquet(f"{out}/silver/supply_chain_master")
     by_country = {r.order_country: r for r in silver.select("order_country", "lpi_score", "logistics_risk_tier",
                                                             "supplier_risk_flag", "commodity_shock_flag",

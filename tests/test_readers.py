@@ -139,3 +139,32 @@ def test_suppliers_not_null_check(spark, tmp_dir):
     sup = SRC.read_suppliers(spark, path)
     check = SRC.supplier_null_check(sup).first()
     assert check.rows == 2 and check.null_supplier_id == 0
+
+
+def test_text_columns_are_parsed_like_files(spark, tmp_dir):
+    """The row parsers give what the file readers give, and keep and mark bad records."""
+    from chainsight.sources import rows as ROWS
+
+    # header in the file only; a quoted quote, a bad number, a short line, an empty one
+    body = [shipping_line(Order_Id="10", Order_Country='"C, ""I"""'), shipping_line(Order_Id="abc"), "only,2", shipping_line(Sales="")]
+    path = os.path.join(tmp_dir, "lines.csv")
+    with open(path, "w") as f:
+        f.write("\n".join([",".join(f"c{i}" for i in range(53)), *body]) + "\n")
+    text = spark.createDataFrame([(i, b) for i, b in enumerate(body)], "n int, line string")
+    parsed = ROWS.parse_order_lines(text, "line")
+    assert sorted(map(str, parsed.drop("n", "bad").collect())) == sorted(map(str, SRC.read_shipping(spark, path).collect()))
+    assert [r.bad for r in parsed.orderBy("n").collect()] == [False, True, True, False]
+    nothing = ROWS.parse_order_lines(spark.createDataFrame([(None,), ("",)], "line string"), "line").collect()
+    assert len(nothing) == 2 and all(r.order_id is None for r in nothing) and nothing[0].bad
+    # feeds
+    feeds = ["<rss><channel><item><title>a &amp; b</title><source url='u'>S</source></item><item><link>l</link></item></channel></rss>",
+             "<rss><channel><item><title>x", "<rss><channel></channel></rss>", None]
+    rows = ROWS.parse_feeds(spark.createDataFrame(list(enumerate(feeds)), "n int, feed string"), "feed").orderBy("n", "item").collect()
+    assert [(r.n, r.bad, r["item"], r.title, r.link, r.source) for r in rows] == [
+        (0, False, 0, "a & b", "", "S"), (0, False, 1, "", "l", "Unknown"), (1, True, None, None, None, None),
+        (2, False, None, None, None, None), (3, True, None, None, None, None)]
+    # prices
+    docs = ['{"observations":[{"date":"d1","value":"1.5"},{"date":"d2","value":"."},{"date":"d3","value":"x"}]}', '{"observ', None]
+    rows = ROWS.parse_prices(spark.createDataFrame(list(enumerate(docs)), "n int, doc string"), "doc").orderBy("n", "date").collect()
+    assert [(r.n, r.bad, r.date, r.value) for r in rows] == [
+        (0, False, "d1", 1.5), (0, False, "d3", None), (1, True, None, None), (2, True, None, None)]
