@@ -165,6 +165,50 @@ def route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS, salts:
     return out.where(F.col("_first") == 1).drop("_first")
 
 
+def attach_route_stats_window(fact: DataFrame, keys: Sequence[str] = ROUTE_KEYS, salts: int = 64) -> DataFrame:
+    """W3 for each line: the columns of ``join_route_stats`` through windows alone, so that
+    the lines are read once, where ``fact`` is dear to compute twice.
+
+    A route's lines are dealt over ``salts`` groups; one window adds each group up.  The
+    first line of every group then carries the group's sums to all ``salts`` groups of its
+    route (at most ``salts * salts`` small rows a route), and a second window over the same
+    groups adds these up next to the lines.  No task holds more of a route than a group.
+    Lines with a NULL key get no statistics, as they match nothing in ``join_route_stats``."""
+    fact = fact.drop("route_delay_rate", "route_avg_delay_days", "route_order_count")
+    group = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))], "_salt")
+    rows = fact.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                       F.pmod(F.xxhash64("order_id"), F.lit(salts)).alias("_salt"),
+                       F.struct(*[F.col(f"`{c}`") for c in fact.columns]).alias("_line"))
+
+    def total(c: str) -> Column:
+        return F.sum(f"_line.{c}").over(group).cast("long")
+
+    def many(c: str) -> Column:
+        return F.count(f"_line.{c}").over(group)
+    sums = F.struct(total("is_delayed").alias("d"), many("is_delayed").alias("dn"), total("delay_days").alias("s"),
+                    many("delay_days").alias("sn"), many("order_id").alias("n"))
+    rows = rows.select("*", sums.alias("_sums"), F.row_number().over(group.orderBy("_line.order_id")).alias("_first"))
+    none_line, none_sums = (F.lit(None).cast(rows.schema[c].dataType) for c in ("_line", "_sums"))
+    own = F.array(F.struct(F.col("_salt").alias("salt"), F.col("_line").alias("line"), none_sums.alias("sums")))
+    copies = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda t: F.struct(
+        t.cast("long").alias("salt"), none_line.alias("line"), F.col("_sums").alias("sums")))
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = rows.select(*names, F.explode(F.when(F.col("_first") == 1, F.concat(own, copies)).otherwise(own)).alias("_x")) \
+        .select(*names, F.col("_x.salt").alias("_salt"), F.col("_x.line").alias("_line"), F.col("_x.sums").alias("_sums"))
+    known = F.lit(True)
+    for n in names:
+        known = known & F.col(n).isNotNull()
+
+    def all_of(c: str) -> Column:
+        return F.when(known, F.sum(f"_sums.{c}").over(group))
+
+    def rate(a: str, b: str) -> Column:
+        return F.try_divide(all_of(a).cast("double"), all_of(b).cast("double"))
+    return rows.select("_line", rate("d", "dn").alias("route_delay_rate"), rate("s", "sn").alias("route_avg_delay_days"),
+                       all_of("n").alias("route_order_count")) \
+        .where(F.col("_line").isNotNull()).select("_line.*", "route_delay_rate", "route_avg_delay_days", "route_order_count")
+
+
 # J4 without leakage -----------------------------------------------------------
 def fold_of(folds: int, cols: Sequence[str] = ("order_id", "line_number")) -> Column:
     """Fold (0 to ``folds - 1``) of a line: the first 32 bits of the MD5 of its key's text."""

@@ -358,6 +358,18 @@ def q_join_lines(spark, sf_dir):
     return J.join_forecast(S.shipping_features(b.shipping), S.join_sides(b))
 
 
+@register("route_lines_window", O.sql(["lines"], """
+SELECT order_id, line_number, order_country, order_region, shipping_mode,
+       CAST(SUM(is_delayed) OVER r AS DOUBLE) / COUNT(is_delayed) OVER r AS route_delay_rate,
+       CAST(SUM(delay_days) OVER r AS DOUBLE) / COUNT(delay_days) OVER r AS route_avg_delay_days,
+       COUNT(order_id) OVER r AS route_order_count
+FROM lines WINDOW r AS (PARTITION BY order_country, order_region, shipping_mode)"""))
+def q_route_lines_window(spark, sf_dir):
+    """W3 line by line: every order line with its route's statistics, the lines read once."""
+    df = lines(spark, sf_dir).select("order_id", "line_number", *J.ROUTE_KEYS, "is_delayed", "delay_days")
+    return J.attach_route_stats_window(df).drop("is_delayed", "delay_days")
+
+
 _FOLDS = 5
 _FOLD = f"CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR)), 1, 8) AS BIGINT) % {_FOLDS}"
 

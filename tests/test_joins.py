@@ -195,3 +195,34 @@ def test_first_per_key_of_a_number_alone_hashes(spark):
     assert sorted(map(str, wide.collect())) == sorted(map(str, out.collect()))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_window_attach_equals_join_with_a_hot_route(spark):
+    """A third of the lines on one route, NULL keys and values; the lines are read once."""
+    rows = [(i, None if i % 50 == 7 else i % 9, "HOT" if i % 3 == 0 else f"C{i % 13}" if i % 19 else None, "R",
+             f"M{i % 2}" if i % 23 else None, None if i % 31 == 0 else i % 5 - 1, None if i % 37 == 0 else int(i % 5 > 1))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "order_id long, x int, order_country string, order_region string, shipping_mode string, "
+                                     "delay_days int, is_delayed int")
+    want = J.join_route_stats(df)
+    got = J.attach_route_stats_window(df, salts=8)
+    assert got.columns == want.columns
+
+    def rounded(r):
+        return tuple(round(v, 12) if isinstance(v, float) else v for v in r)
+    key = lambda t: tuple(map(str, t))
+    assert sorted(map(rounded, got.collect()), key=key) == sorted(map(rounded, want.collect()), key=key)
+    assert J.attach_route_stats_window(df.where("false")).count() == 0
+
+
+def test_window_attach_reads_the_lines_once(spark):
+    from chainsight.plans import catalog
+    from .conftest import SF001
+
+    plan = catalog.queries()["route_lines_window"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 2 and "Join" in plan  # initial and final plan; the adapter's own joins
+    hot = J.attach_route_stats_window(spark.read.parquet(f"{SF001}/orders.parquet").selectExpr(
+        "o_orderkey AS order_id", "o_orderstatus AS order_country", "o_orderpriority AS order_region", "'m' AS shipping_mode",
+        "1 AS delay_days", "0 AS is_delayed"))
+    text = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 1 and "Join" not in text
