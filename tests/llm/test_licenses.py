@@ -1,6 +1,9 @@
+import math
 import re
 import textwrap
 
+import numpy as np
+
 from chainsight.llm import licenses, queries
 from tests.conftest import SF001, SF01
 from .messy import ROWS, empty, messy
@@ -90,3 +93,64 @@ def test_notices_on_lines_of_their_own_stay_apart():
            "All rights reserved.\nand so on"
     assert [(x["paragraph"], x["family"]) for x in scanner.scan(text)] == \
         [(0, "MIT"), (1, "MIT"), (2, "CC-BY-NC-4.0"), (3, "proprietary")]
+
+
+def plain_line(scanner, text):
+    """Features, softmax and template comparison written out, with the fitted weights."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    templates = [(f, re.findall(r"[^\W_]+", t.lower())) for f, texts in licenses.TEMPLATES.items() for t in texts]
+    pairs = [(f, {(a, b) for a, b in zip(w, w[1:])}) for f, w in templates]
+    families = {}
+    for f, own in pairs:
+        for p in own:
+            families.setdefault(p, set()).add(f)
+    mine = {(a, b) for a, b in zip(words, words[1:])}
+    if not mine & set(families):
+        return None
+    known = {w for _, ws in templates for w in ws}
+    scores = []
+    for k in range(len(licenses.FAMILIES)):
+        score = scanner.weights[-1][k] + 4 * sum(w not in known for w in words) / len(words) * scanner.weights[-2][k]
+        for f in (set(words) & known) | (mine & set(families)):
+            score += scanner.weights[scanner.numbers[f]][k]
+        scores.append(score / scanner.temperature)
+    top = max(scores)
+    shares = [math.exp(s - top) for s in scores]
+    best = max(range(len(scores)), key=lambda k: scores[k])
+    family, probability = licenses.FAMILIES[best], shares[best] / sum(shares)
+    if family == licenses.UNKNOWN or probability < licenses.PROBABILITY:
+        return None
+
+    def worth(p):
+        return 1 / len(families[p]) if p in families else 1.0
+    like = max(sum(map(worth, mine & own)) / min(sum(map(worth, mine)), sum(map(worth, own)))
+               for f, own in pairs if f == family)
+    return (family, probability, like) if like >= licenses.SIMILARITY else None
+
+
+def test_lines_against_plain_version(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    scanner = licenses.train(docs)
+    lines = {line for r in docs.collect() for line in (r.text or "").split("\n") if len(line) < 2000}
+    for texts in licenses.TEMPLATES.values():
+        for t in texts:
+            lines |= {t, t[: len(t) // 2], t + " and some more words of the house", t.replace("the", "a"), "see: " + t.upper()}
+    found = 0
+    for line in sorted(lines):
+        got, want = scanner.line(licenses.words_of(line)), plain_line(scanner, line)
+        assert (got is None) == (want is None), line
+        if got:
+            assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-9 and abs(got[2] - want[2]) < 1e-9, line
+            found += 1
+    assert found > 60
+
+
+def test_softmax_fit_is_stationary():
+    """The gradient of the class-weighted, penalised loss vanishes at the fitted weights."""
+    rng = np.random.default_rng(0)
+    x, y = (rng.random((300, 12)) < 0.4).astype(float), rng.integers(0, len(licenses.FAMILIES), 300)
+    weights = licenses.Scanner.fit(x, y, rounds=3000, decay=1e-2)
+    z = x @ weights
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    share = 1 / np.bincount(y, minlength=len(licenses.FAMILIES))[y] / len(licenses.FAMILIES)
+    assert np.abs(x.T @ ((p - np.eye(len(licenses.FAMILIES))[y]) * share[:, None]) + 1e-2 * weights).max() < 1e-4
