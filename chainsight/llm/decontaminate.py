@@ -7,22 +7,23 @@ similarity to the item (sum of minimal over sum of maximal multiplicities) is
 shuffle:
 
 1. Counting bound, which loses nothing: of the m shingles of such a window at
-   least ``2 * t * m / (1 + t)`` occur in some item.  Shorter or emptier
-   windows are not fingerprinted.
-2. The window's SimHash, from prefix sums of the shingles' bits.  Windows that
-   repeat a shingle, and all windows of an item size of which some item does, go
-   by a counting bound for each item instead, which loses nothing.
-3. Multi-index Hamming blocks: the 64 bits are cut into ``BLOCKS`` blocks, and
-   an item within ``RADIUS`` bits has a block within ``RADIUS // BLOCKS`` bits, so
-   the block tables return every item within the radius.
-4. Exact weighted-shingle similarity, on the words themselves, of the windows
-   and items that remain.
+   least ``2 * t * m / (1 + t)`` occur in the item.  Windows without so many that
+   occur in any item are not fingerprinted; for the others an inverted index from
+   shingles to items gives the items that each of them holds so many of, whatever the
+   number of items.
+2. The window's SimHash, from prefix sums of the shingles' bits.
+3. Multi-index Hamming blocks: the 64 bits are cut into ``BLOCKS`` blocks, and an item
+   within ``RADIUS`` bits has a block within ``RADIUS // BLOCKS`` bits; a pair without such
+   a block is out, the others are compared by all bits.  Where a window repeats a
+   shingle, or some item of its size does, bits are no guide (see below) and this
+   step is left out.
+4. Exact weighted-shingle similarity, on the words themselves, of the pairs that remain.
 
 The SimHash radius: where neither side repeats a shingle, the angle between the
 two shingle vectors is at most 0.48 at similarity 0.8, so 9.7 bits differ on
 average, with a standard deviation of 2.9; the radius lies more than four
 deviations above.  Repeats weigh more in the angle than in the similarity (1000
-shingles of which 111 are one repeated shingle: about 27 bits), hence step 2.
+shingles of which 111 are one repeated shingle: about 27 bits), hence the exception in step 3.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words; the
 documents are read once for each block.
@@ -135,31 +136,24 @@ class Items:
             bits = np.zeros(1 << max(16, math.ceil(math.log2(16 * len(every)))), bool)
             bits[every & np.uint64(len(bits) - 1)] = True
             self.tables[k] = every, bits
-        near = RADIUS // BLOCKS
         for group in self.by_size.values():
-            code = np.array(group["code"], np.uint64)
-            group["code"], group["at"] = code, np.array(group["at"])
-            width = 64 // BLOCKS
-            group["blocks"] = [np.unique((code >> np.uint64(b * width)) & np.uint64((1 << width) - 1),
-                                         return_inverse=True) for b in range(BLOCKS)]
-            group["near"] = near
+            group["code"], group["at"] = np.array(group["code"], np.uint64), np.array(group["at"])
             own = group.pop("own")
             holder = np.repeat(np.arange(len(own)), [len(x) for x in own])
             own = np.concatenate(own)
             order = np.argsort(own, kind="stable")
             group["shingles"], group["holder"] = own[order], holder[order]  # and the items that hold them
 
-    def within(self, size: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, place in the size's group) of all codes within the radius."""
-        group = self.by_size[size]
+    def within(self, size: int, codes: np.ndarray, window: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Which pairs (window, place in the size's group) lie within the radius."""
+        apart = codes[window] ^ self.by_size[size]["code"][item]
         width = 64 // BLOCKS
-        maybe = np.zeros((len(codes), len(group["code"])), bool)
-        for b, (values, place) in enumerate(group["blocks"]):
-            mine = (codes >> np.uint64(b * width)) & np.uint64((1 << width) - 1)
-            maybe |= (np.bitwise_count(mine[:, None] ^ values[None, :]) <= group["near"])[:, place]
-        window, item = np.nonzero(maybe)
-        close = np.bitwise_count(codes[window] ^ group["code"][item]) <= RADIUS
-        return window[close], item[close]
+        near = np.zeros(len(apart), bool)
+        for b in range(BLOCKS):
+            block = (apart >> np.uint64(b * width)) & np.uint64((1 << width) - 1)
+            near |= np.bitwise_count(block) <= RADIUS // BLOCKS
+        near[near] = np.bitwise_count(apart[near]) <= RADIUS
+        return near
 
     def sharing(self, size: int, shingles: np.ndarray, starts: np.ndarray, span: int, need: int):
         """(window, place in the size's group) of all windows with ``need`` or more
@@ -214,14 +208,14 @@ class Items:
                 old = (starts > 0) & (shingles[starts - 1] == shingles[starts + span - 1])
                 starts = starts[~old]
                 again = (repeats[starts + span - 1] >= starts) | group["repeats"]
-                self.compare(words, shingles, size, k, span, starts[~again], best)
-                self.compare(words, shingles, size, k, span, starts[again], best, need)
+                self.compare(words, shingles, size, k, span, need, starts[~again], True, best)
+                self.compare(words, shingles, size, k, span, need, starts[again], False, best)
         return [{"item": self.items[i][0], "similarity": -s, "start": start, "words": n, "bits": bits}
                 for i, (s, start, n, bits) in sorted(best.items())]
 
-    def compare(self, words, shingles, size, k, span, starts, best, need=None) -> None:
-        """Exact similarity of the windows to the items within the radius or, given
-        ``need``, to the items that may reach the threshold by their counts."""
+    def compare(self, words, shingles, size, k, span, need, starts, by_bits, best) -> None:
+        """Exact similarity of the windows to the items of which they hold ``need`` shingles and,
+        ``by_bits``, whose fingerprints lie within the radius."""
         group = self.by_size[size]
         at = 0
         while at < len(starts):
@@ -230,9 +224,11 @@ class Items:
             low = int(some[0])
             sums = bit_sums(shingles[low:int(some[-1]) + span])
             codes = pack_bits(sums[some - low + span] - sums[some - low])
-            pairs = zip(*self.within(size, codes)) if need is None else \
-                self.sharing(size, shingles[low:int(some[-1]) + span], some - low, span, need)
-            for window, place in pairs:
+            pairs = np.array(list(self.sharing(size, shingles[low:int(some[-1]) + span], some - low, span, need)),
+                             np.int64).reshape(-1, 2)
+            if by_bits:
+                pairs = pairs[self.within(size, codes, pairs[:, 0], pairs[:, 1])]
+            for window, place in pairs.tolist():
                 item, start = int(group["at"][place]), int(some[window])
                 n = min(size, len(words))
                 score = similarity(shingle_counts(words[start:start + n], k),
