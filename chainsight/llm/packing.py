@@ -74,9 +74,11 @@ class Encoder(dict):
 
     def __missing__(self, part: str) -> bytes:
         sign = self.signs.get(part[-1])
-        # only where lower-casing leaves letters alone is there a border before the sign
-        if sign is not None and part[:-1].isalpha() and part[:-1].lower().isalpha():
-            return self[part[:-1]] + sign
+        if sign is not None:
+            word = part[:-1]
+            # only where lower-casing leaves letters alone is there a border before the sign
+            if word.isalpha() and (word.isascii() or word.lower().isalpha()):
+                return self[word] + sign
         if part.isascii() and part.isalpha():  # the tokenizer knows ASCII letters as they are, lower-cased
             found = np.array([t.id for t in self.tokenizer.model.tokenize(part.lower())], "<u4").tobytes()
         else:
