@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under the one that the cluster names in
-    ``spark.checkpoint.dir``; a temporary folder only where none is set and all tasks run
-    on the driver's machine (tests)."""
+    """A new folder name under ``chainsight-llm/<application id>`` in the folder that the
+    cluster names in ``spark.checkpoint.dir``; a temporary folder only where none is set and
+    all tasks run on the driver's machine (tests).
+
+    The tables of one application are in one folder: delete it once their results are
+    written, or after a lost run."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="chainsight-llm-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/chainsight-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ SIZE = 300              # n-grams of a profile
 MAX_LANGUAGES = 1000    # more distinct labels than this are refused
 HELD = 1_000_000        # distinct n-grams that a training task holds before it reports
 UNKNOWN = "und"
+LEAST = 0.25            # score below which a text is in none of the profiles' languages
+LETTERS = 40            # letters that it must have to say so
 BLANK = 1               # stands for what isn't a letter; NUL is no letter
 
 _LETTERS: dict[str, np.ndarray] = {}
@@ -165,3 +167,18 @@ def identify(docs: DataFrame, model: dict[str, list[int]], text_col: str = "text
     return docs.withColumn(work, found).select(
         *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")],
         f"{work}.lang_pred", f"{work}.score")
+
+
+def drop_unknown(docs: DataFrame, model: dict[str, list[int]], text_col: str = "text", size: int = SIZE,
+                 least: float = LEAST, letters: int = LETTERS) -> DataFrame:
+    """The rows of ``docs`` whose language one of the profiles describes.
+
+    Texts without letters go, and so do texts of at least ``letters`` letters whose nearest
+    profile is so far off that the score is under ``least``: another script, other letter
+    sequences, or random letters.  Fewer letters are too few to tell; those texts stay.
+    With an empty model all rows go.  Repeated rows, null ids and all columns are kept."""
+    work = beside(docs)
+    score, text = F.col(f"{work}.score"), F.col(f"`{text_col}`")
+    strange = (score < least) & (F.regexp_count(text, F.lit(r"\p{L}")) >= letters)
+    return docs.withColumn(work, classify_column(text, model, size)) \
+        .where((F.col(f"{work}.lang_pred") != UNKNOWN) & ~strange).drop(work)

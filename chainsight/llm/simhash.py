@@ -321,13 +321,17 @@ def forest(codes: DataFrame, max_bits: int) -> DataFrame:
     links = materialize(rows.mapInArrow(forest_tasks(max_bits), LINK_SCHEMA))
     inside = links.where("a IS NOT NULL").select("a", "b")
     chunks = links.where("chunk IS NOT NULL").drop("a", "b")
-    left = chunks.select("block", "node", *[F.col(c).alias(f"left_{c}") for c in
-                                            ("chunk", "mask", "pattern", "members", "labels")])
+    # chunks of one node are paired without their members, which only the pairs left fetch
+    shapes = chunks.select("block", "node", "chunk", "mask", "pattern")
+    left = shapes.select("block", "node", *[F.col(c).alias(f"left_{c}") for c in ("chunk", "mask", "pattern")])
     common = F.col("left_mask").bitwiseAND(F.col("mask"))
-    pairs = left.join(chunks, ["block", "node"]).where(
+    pairs = left.join(shapes, ["block", "node"]).where(
         (F.col("left_chunk") < F.col("chunk"))
-        & (F.bit_count(F.col("left_pattern").bitwiseXOR(F.col("pattern")).bitwiseAND(common)) <= max_bits))
-    bridges = (pairs.select("left_members", "left_labels", "members", "labels")
+        & (F.bit_count(F.col("left_pattern").bitwiseXOR(F.col("pattern")).bitwiseAND(common)) <= max_bits)) \
+        .select("left_chunk", "chunk")
+    members = chunks.select("chunk", "members", "labels")
+    bridges = (pairs.join(members.select(*[F.col(c).alias(f"left_{c}") for c in members.columns]), "left_chunk")
+               .join(members, "chunk").select("left_members", "left_labels", "members", "labels")
                .mapInArrow(bridge_tasks(max_bits), "a long, b long"))
     return inside.union(bridges)
 

@@ -6,7 +6,7 @@ from chainsight.llm import common
 
 
 def session(master, conf=None, folder=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder, setCheckpointDir=lambda path: None)
+    context = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: folder, setCheckpointDir=lambda path: None)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: conf or default), sparkContext=context)
 
 
@@ -17,8 +17,8 @@ def test_cluster_without_a_shared_folder_is_refused(master):
 
 
 def test_the_named_folder_is_taken():
-    assert common.shared_dir(session("yarn", conf="s3://b/x/")).startswith("s3://b/x/")
-    assert common.shared_dir(session("yarn", folder="hdfs://n/y")).startswith("hdfs://n/y/")
+    assert common.shared_dir(session("yarn", conf="s3://b/x/")).startswith("s3://b/x/chainsight-llm/app-1/")
+    assert common.shared_dir(session("yarn", folder="hdfs://n/y")).startswith("hdfs://n/y/chainsight-llm/app-1/")
     assert common.shared_dir(session("local[4]")).startswith("/")
 
 

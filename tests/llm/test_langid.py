@@ -90,3 +90,24 @@ def test_too_many_languages(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
     with pytest.raises(ValueError):
         langid.profiles(messy(spark))
+
+
+def test_strange_languages_go_and_others_stay(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    model = langid.profiles(docs)
+    stay = {"one": 1, "Qx": 2, "Привет мир": 3, "Le 12 mai": 4, "A1 " * 50 + "token": 5}
+    go = {"Привет мир это обычный русский текст о погоде и городе": 6, "这是一个中文文本，" * 8: 7,
+          "zxqj wvkp qqzx jjkw xvzq pkqz wwjx qzvk jxqp zkvw xxqj kzpw": 8, "12 34 !": 9, "": 10}
+    rows = [(n, text, None) for text, n in {**stay, **go}.items()] + [(None, None, None), (1, "one", None)]
+    made = messy(spark, rows)
+    kept = langid.drop_unknown(made, model)
+    assert kept.columns == made.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 2, 3, 4, 5]
+    assert langid.drop_unknown(empty(spark), model).count() == 0 == langid.drop_unknown(made, {}).count()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("run(text") == 1  # classified once
+
+
+def test_every_labelled_document_stays(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("text RLIKE '\\\\p{L}'")
+    assert langid.drop_unknown(docs, langid.profiles(docs)).count() == docs.count()

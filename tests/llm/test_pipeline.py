@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a plain version, on its predecessor's rows."""
 
 import re
+from collections import Counter
 
 import corpus_pipeline as pipeline
 from chainsight.llm import langid, packing, secret_scan
@@ -8,6 +9,7 @@ from chainsight.llm.common import materialize
 from tests.conftest import SF001
 from .messy import messy
 from .test_decontaminate import plain_leaks
+from .test_langid import plain_ngrams, plain_predict, plain_rank
 from .test_packing import check_places
 from .test_simhash import plain_components, plain_fingerprint
 
@@ -16,12 +18,23 @@ def test_stages(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
     columns = docs.columns
+    strange = docs.limit(1).withColumns({"doc_id": pipeline.F.lit(-1).cast("long"), "lang": pipeline.F.lit(None).cast("string"),
+                                         "text": pipeline.F.lit("Привет мир это обычный русский текст о погоде и городе")})
+    docs = docs.union(strange)
     rows = [r.asDict() for r in docs.collect()]
     for name, stage in pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF001))
         got = [r.asDict() for r in docs.collect()]
         if name == "language_id":
-            rows = [r for r in rows if len(langid.ngrams(r["text"]))]
+            counts = {}
+            for r in rows:
+                if r["lang"] is not None:
+                    counts.setdefault(r["lang"], Counter()).update(plain_ngrams(r["text"]))
+            profiles = {k: {g: i for i, g in enumerate(plain_rank(c, langid.SIZE))} for k, c in counts.items()}
+            score = [plain_predict(r["text"], profiles, langid.SIZE)[1] for r in rows]
+            letters = [sum(c.isalpha() for c in r["text"] or "") for r in rows]
+            rows = [r for r, s, n in zip(rows, score, letters) if n and (s >= langid.LEAST or n < langid.LETTERS)]
+            assert not any("Привет" in r["text"] for r in rows)
         elif name == "simhash_near_dedup":
             marks = [(r["doc_id"], plain_fingerprint(r["text"], 3)) for r in rows]
             rows = [r for r, c in zip(rows, plain_components(marks, 3)) if r["doc_id"] == c]
