@@ -16,10 +16,9 @@ from chainsight.llm.common import beside, materialize, read_table
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is known.
 
-    Profiles come from the labelled documents; a document without letters, which
-    has none, goes.  Short or mixed texts are kept."""
-    model = langid.profiles(docs)
-    return docs.where(langid.classify_column(F.col("text"), model)["lang_pred"] != langid.UNKNOWN)
+    Profiles come from the labelled documents.  A document without letters goes, and one
+    whose text is far from every profile (``langid.LEAST``); short or mixed texts are kept."""
+    return langid.drop_unknown(docs, langid.profiles(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
