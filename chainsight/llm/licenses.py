@@ -236,9 +236,10 @@ class Scanner:
         return (FAMILIES[n], float(p[n]), like) if like >= SIMILARITY else None
 
     def runs(self, lines: list[list[str]]) -> list[tuple[int, int]]:
-        """First and last line of each run that is worth more than the runs inside it,
-        the best ones first.  A run's worth: the pairs in common with one template,
-        less ``FOREIGN`` of its other pairs."""
+        """First and last line of each run that is worth more than the runs inside it (as
+        much, where its last line only repeats pairs of the run), the best and longest ones
+        first.  A run's worth: the pairs in common with one template, less ``FOREIGN`` of
+        its other pairs."""
         worth: dict[tuple[int, int], float] = {}
         for first, words in enumerate(lines):
             if not words or len(words) > self.longest:
@@ -261,8 +262,8 @@ class Scanner:
                     break
                 worth[first, last] = own
         best = [(own, first, last) for (first, last), own in worth.items()
-                if own > max(0, worth.get((first + 1, last), 0), worth.get((first, last - 1), 0))]
-        return [(first, last) for _, first, last in sorted(best, key=lambda x: (-x[0], x[2] - x[1], x[1]))]
+                if lines[last] and own > max(0, worth.get((first + 1, last), 0)) and own >= worth.get((first, last - 1), 0)]
+        return [(first, last) for _, first, last in sorted(best, key=lambda x: (-x[0], x[1] - x[2], x[1]))]
 
     def scan(self, text: str | None) -> list[dict]:
         lines = (text or "").split("\n")

@@ -154,3 +154,14 @@ def test_softmax_fit_is_stationary():
     p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
     share = 1 / np.bincount(y, minlength=len(licenses.FAMILIES))[y] / len(licenses.FAMILIES)
     assert np.abs(x.T @ ((p - np.eye(len(licenses.FAMILIES))[y]) * share[:, None]) + 1e-2 * weights).max() < 1e-4
+
+
+def test_last_line_that_repeats_words_belongs_to_the_notice():
+    """The pairs of "the Software" stand earlier in this notice; its last word is alone on a line."""
+    scanner = licenses.Scanner([f"some plain text number {i} of the corpus in the house".split() for i in range(200)])
+    notice = next(t for t in licenses.TEMPLATES["MIT"] if t.startswith("Permission"))
+    head, last = notice.rsplit(" ", 1)
+    for wrapped in (textwrap.fill(head, 78) + "\n" + last, textwrap.fill(head, 40) + "\n# " + last.upper()):
+        text = f"A text.\n\n{wrapped}\n\nsoftware and other words"
+        (found,) = scanner.scan(text)
+        assert text[found["start"]:found["end"]] == wrapped and found["family"] == "MIT"
