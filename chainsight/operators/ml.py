@@ -119,6 +119,12 @@ def risk_pipeline(features: Sequence[str] = K.FEATURE_COLS, params: dict | None
 
 
 # M6 -------------------------------------------------------------------------
+#: Equal training rows are merged where that leaves this many times fewer, at least.
+MERGE_AT = 2
+# A merged row stands for at most so many times the mean number of rows.
+HEAVIEST = 4
+
+
 def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATURE_COLS,
         params: dict | None = None, partitions: int | None = None) -> PipelineModel:
     """Fit the pipeline on a persisted copy of the training rows' used columns.
@@ -126,17 +132,59 @@ def fit(spark: SparkSession, train: DataFrame, features: Sequence[str] = K.FEATU
     Each boosting level is one pass with one task per partition, 250 and more passes
     in all: ``partitions`` (default: as the input comes) deals the rows out once, one
     to three for each task slot of the cluster being a good number.
+
+    The used columns are small numbers of the line and attributes of its route, state,
+    supplier, mode and market, so the more lines there are, the more of them are equal.
+    Where merging halves the rows (``MERGE_AT``), the trees are grown on the merged rows,
+    each weighing as many as it stands for, which gives every node the sums that the rows
+    give it; otherwise on the rows as they are.
     """
     has_ckpt = ensure_checkpoint_dir(spark) is not None
     cols = sorted(set(features) - set(INDEXED.values()) | set(INDEXED) | {"label"})
-    data = train.select(*cols)
-    data = (data.repartition(partitions) if partitions else data).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.select(*cols)
+    merged = merged_rows(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, distinct = merged.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()
+        if n >= MERGE_AT * distinct > 0:
+            return fit_merged(weighted_rows(merged, HEAVIEST * -(-n // distinct)), features, params, partitions, has_ckpt)
+    finally:
+        merged.unpersist()
+    data = (rows.repartition(partitions) if partitions else rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return risk_pipeline(features, params, checkpoint=has_ckpt).fit(data)
     finally:
         data.unpersist()
 
 
+def merged_rows(rows: DataFrame) -> DataFrame:
+    """Each different row once, ``_rows`` being how often it occurs."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def weighted_rows(merged: DataFrame, heaviest: int) -> DataFrame:
+    """``merged_rows`` with a ``_weight`` in place of ``_rows``; what occurs more than
+    ``heaviest`` times comes as several rows, so that the learner's row sample for its
+    thresholds meets it about as often as it would in the rows themselves."""
+    piece = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_rows") / heaviest).cast("int") - 1))
+    return merged.withColumn("_piece", piece) \
+        .withColumn("_weight", F.least(F.lit(heaviest), F.col("_rows") - F.col("_piece") * heaviest)).drop("_rows", "_piece")
+
+
+def fit_merged(weighted: DataFrame, features: Sequence[str] = K.FEATURE_COLS, params: dict | None = None,
+               partitions: int | None = None, checkpoint: bool = True) -> PipelineModel:
+    """The pipeline of ``risk_pipeline`` from rows with a ``_weight``.  The indexer and the
+    scaler know no weights: they read each row as often as it weighs."""
+    data = (weighted.repartition(partitions) if partitions else weighted).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        every = data.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_weight").cast("int")))).drop("_copy")
+        *prepare, boosted = risk_pipeline(features, params, checkpoint).getStages()
+        prepared = Pipeline(stages=prepare).fit(every)
+        trees = boosted.setWeightCol("_weight").fit(prepared.transform(data))
+        return PipelineModel(stages=[*prepared.stages, trees])
+    finally:
+        data.unpersist()
+
+
 # M11 ------------------------------------------------------------------------
 def predictions_table(model: PipelineModel, test: DataFrame) -> DataFrame:
     """Scored test rows; the probability vector is stored as ``array<double>``
