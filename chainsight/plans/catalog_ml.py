@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -223,7 +224,6 @@ FROM long JOIN pos USING (feature) GROUP BY feature, position"""
 
 @register("standardize", _standardize_sql())
 def q_standardize(spark, sf_dir):
-    from pyspark import StorageLevel
     from pyspark.ml import Pipeline
     # two estimators (the indexer, the scaler) each make a pass: persist once
     inputs = sorted(set(K.FEATURE_COLS) - set(M.INDEXED.values()) | set(M.INDEXED))
@@ -438,6 +438,8 @@ def q_model_metrics(spark, sf_dir):
     _, test = split(spark, sf_dir)
     pred = M.predictions_table(fitted_model(spark, sf_dir), test) \
         .withColumn("label", F.col("actual_risk").cast("double"))
-    acc = M.accuracy_f1(pred, "label", "predicted_risk").select("accuracy", "f1", "n")
-    auc = M.area_under_roc(pred, "label", "late_probability").select("auc").scalar()
+    # a row for each score, kept so that the test rows are scored once for all three readers of it
+    per = M.score_counts(pred, "label", "late_probability", "predicted_risk").persist(StorageLevel.MEMORY_AND_DISK)
+    acc = M.accuracy_f1(pred, "label", "predicted_risk", per_score=per).select("accuracy", "f1", "n")
+    auc = M.area_under_roc(pred, "label", "late_probability", per_score=per).select("auc").scalar()
     return acc.withColumn("auc", auc)

@@ -155,3 +155,12 @@ def test_weighted_rows_stand_for_every_row(spark):
     w = M.weighted_rows(merged, 10)
     got = {r.k: (r.n, r.w, r.m) for r in w.groupBy("k").agg(F.count("*").alias("n"), F.sum("_weight").alias("w"), F.max("_weight").alias("m")).collect()}
     assert got == {"a": (1, 1, 1), "b": (1, 10, 10), "c": (2, 11, 10), None: (100, 995, 10)}
+
+
+def test_metrics_from_score_counts_equal_those_of_the_rows(spark):
+    schema = "label double, prediction double, score double"
+    rows = [(1.0, 1.0, 0.9), (0.0, 1.0, 0.9), (1.0, 0.0, 0.2), (0.0, 0.0, 0.1), (0.0, None, None), (None, 1.0, 0.7), (1.0, 0.0, None)]
+    for df in (spark.createDataFrame(rows * 3, schema), spark.createDataFrame([], schema)):
+        per = M.score_counts(df, prediction="prediction")
+        assert M.accuracy_f1(df, per_score=per).first() == M.accuracy_f1(df).first()
+        assert M.area_under_roc(df, per_score=per).first() == M.area_under_roc(df).first()
