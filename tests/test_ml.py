@@ -1,6 +1,8 @@
 """Model pipeline and metrics (M1-M11): fixed-seed fit on sf0.001 and
 metric operators against MLlib's evaluators."""
 
+import os
+
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -150,6 +152,33 @@ def test_rows_that_are_hardly_equal_are_fitted_as_they_are(spark, monkeypatch):
     assert read == [(150, False)]
 
 
+def test_fitted_importance_boosts_no_more_rows_for_more_lines_alike(spark, tmp_dir, monkeypatch):
+    """Orders of the same suppliers, customers and days: twice the lines, the same different rows."""
+    span = spark.read.parquet(f"{SF001}/supplier.parquet").agg(2 * (F.max("s_suppkey") - F.min("s_suppkey")) + 1).first()[0]
+    shift = span * (1 + spark.read.parquet(f"{SF001}/orders.parquet").agg(F.max("o_orderkey")).first()[0])
+    read, seen = {}, M.merged_rows
+    monkeypatch.setattr(M, "merged_rows", lambda rows: (read.setdefault(n, [rows.count()]), seen(rows))[1])
+
+    def stop(self, data, *a):
+        read[n].append(data.count())
+        raise StopIteration
+    monkeypatch.setattr(M.GBTClassifier, "fit", stop)
+    for n in (4, 8):
+        folder = f"{tmp_dir}/{n}"
+        os.mkdir(folder)
+        for t in os.listdir(SF001):
+            key = {"orders.parquet": "o_orderkey", "lineitem.parquet": "l_orderkey"}.get(t)
+            if key is None:
+                os.symlink(f"{SF001}/{t}", f"{folder}/{t}")
+            else:
+                copies = spark.range(n).withColumnRenamed("id", "_k")
+                spark.read.parquet(f"{SF001}/{t}").crossJoin(copies).withColumn(key, F.col(key) + F.col("_k") * shift) \
+                    .drop("_k").write.parquet(f"{folder}/{t}")
+        with pytest.raises(StopIteration):
+            CM.q_fitted_importance(spark, folder)
+    assert read[8][0] > 1.9 * read[4][0] and read[4][1] < read[4][0] / 2 and read[8][1] < 1.05 * read[4][1]
+
+
 def test_weighted_rows_stand_for_every_row(spark):
     merged = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), (None, 995)], "k string, _rows long")
     w = M.weighted_rows(merged, 10)
